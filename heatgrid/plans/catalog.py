@@ -23,7 +23,7 @@ _ORACLE: dict[str, str] = {}
 
 # Fixed parameters of the registered queries.
 RANGE_START, RANGE_END = "1995-01-01", "1996-06-30"
-ONE_CITY = "GERMANY"
+ONE_CITY = "NATION_7"
 
 
 def register(name: str, sql: str | None):
@@ -100,3 +100,447 @@ def _usage_heatmap_long(i: Inputs) -> DataFrame:
     + " from bins b left join cells c on c.bin_order = b.bin_order group by b.bin_order, b.temp_bin"))
 def _usage_heatmap(i: Inputs) -> DataFrame:
     return analysis.usage_heatmap(i.base("avg"))
+
+
+# ============================================================ scans and gates
+from heatgrid.functions.dates import RunMode  # noqa: E402
+from heatgrid.functions.text import city_slug  # noqa: E402
+from heatgrid.operators import quality, stations as stn  # noqa: E402
+from heatgrid.sources import lookups  # noqa: E402
+from heatgrid.sources.fixtures import STATIONS_AS_OF  # noqa: E402
+import datetime as _dt  # noqa: E402
+
+CITY_COLS = ["city", "state", "noaa_station_id", "eia_ba_code", "latitude", "longitude"]
+# run mode of the range-filter query: last 730 days up to a fixed as-of date
+RANGE_MODE, RANGE_AS_OF = RunMode(historical_days=730), _dt.date(1996, 12, 31)
+FRESHNESS_AS_OF = "1998-12-31"
+
+
+@register("weather_raw", with_ctes("select city, date, datatype, value from raw_weather"))
+def _weather_raw(i: Inputs) -> DataFrame:
+    return i.raw_weather().select("city", "date", "datatype", "value")
+
+
+@register("energy_raw", with_ctes("select city, period, type, value from raw_energy"))
+def _energy_raw(i: Inputs) -> DataFrame:
+    return i.raw_energy()
+
+
+@register("city_dim_valid", with_ctes(
+    f"select {', '.join(CITY_COLS)} from city_dim where city is not null and noaa_station_id is not null"))
+def _city_dim_valid(i: Inputs) -> DataFrame:
+    return clean.valid_cities(i.city_dim()).select(*CITY_COLS)
+
+
+@register("energy_ba_gate", with_ctes(
+    "select city, period, type, value from raw_energy where city in (select city from energy_cities)"))
+def _energy_ba_gate(i: Inputs) -> DataFrame:
+    return clean.gate_energy(i.raw_energy(), i.city_dim())
+
+
+_rs, _re = RANGE_MODE.resolve(RANGE_AS_OF)
+
+
+@register("raw_range_filter", with_ctes(
+    f"select city, date, datatype, value from raw_weather "
+    f"where cast(date as date) between date '{_rs}' and date '{_re}'"))
+def _raw_range_filter(i: Inputs) -> DataFrame:
+    s, e = RANGE_MODE.resolve(RANGE_AS_OF)
+    return clean.weather_in_range(i.raw_weather(), s, e).select("city", "date", "datatype", "value")
+
+
+@register("energy_coerced", with_ctes(
+    "select city, cast(period as date) as date, try_cast(value as double) as energy_mwh from raw_energy"))
+def _energy_coerced(i: Inputs) -> DataFrame:
+    return clean.energy_coerced(i.raw_energy())
+
+
+@register("weather_dedup", with_ctes(
+    "select city, cast(date as date) as date, datatype, value from weather_first"))
+def _weather_dedup(i: Inputs) -> DataFrame:
+    return clean.weather_dedup(i.raw_weather())
+
+
+@register("weather_fahrenheit", with_ctes(
+    "select city, cast(date as date) as date, datatype, round(value*9/5+32, 2) as temp_f "
+    "from weather_first where datatype in ('TMAX', 'TMIN')"))
+def _weather_fahrenheit(i: Inputs) -> DataFrame:
+    return clean.weather_fahrenheit(i.raw_weather())
+
+
+@register("missing_cities", with_ctes(
+    "select distinct city from city_dim c where city is not null "
+    "and not exists (select 1 from merged m where m.city = c.city)"))
+def _missing_cities(i: Inputs) -> DataFrame:
+    return mst.missing_cities(i.city_dim(), i.merged())
+
+
+@register("city_slug", with_ctes("""
+select c.city, replace(lower(c.city), ' ', '_') as slug,
+  c.cfg_pos = max(c.cfg_pos) over (partition by replace(lower(c.city), ' ', '_')) as owns_file
+from city_dim c where c.city is not null"""))
+def _city_slug(i: Inputs) -> DataFrame:
+    cd = i.city_dim().filter(F.col("city").isNotNull())
+    owners = mst.slug_owners(cd).select("slug", F.col("city").alias("_owner"))
+    return (
+        cd.select("city", city_slug(F.col("city")).alias("slug"))
+        .join(owners, "slug")
+        .select("city", "slug", (F.col("city") == F.col("_owner")).alias("owns_file"))
+    )
+
+
+@register("city_dim_cast", with_ctes("""
+select city, try_cast(cast(latitude as varchar) as double) as latitude,
+  try_cast(cast(longitude as varchar) as double) as longitude,
+  coalesce(bool_and((latitude is null or try_cast(cast(latitude as varchar) as double) is not null)
+               and (longitude is null or try_cast(cast(longitude as varchar) as double) is not null)) over (), true) as edit_valid
+from city_dim"""))
+def _city_dim_cast(i: Inputs) -> DataFrame:
+    text = i.city_dim().select(
+        "city", F.col("latitude").cast("string").alias("latitude"),
+        F.col("longitude").cast("string").alias("longitude"))
+    return stn.city_dim_cast(text).select("city", "latitude", "longitude", "edit_valid")
+
+
+# ============================================================ quality
+def _q_sql(body: str) -> str:
+    return with_ctes(body)
+
+
+_DUP_SQL = """
+select 'noaa_' || replace(lower(city), ' ', '_') || '.json' as file, 'Duplicate Raw Data' as "check",
+  'WARNING' as level,
+  'Duplicate weather data points found. This can cause processing errors. Taking first entry.' as message,
+  '{"duplicate_groups": ' || count(*) || ', "duplicate_rows": ' || sum(n) || '}' as details
+from (select city, cast(date as date) d, datatype, count(*) n from raw_weather group by all having count(*) > 1) g
+group by city"""
+
+_PYF = "regexp_replace(printf('%.2f', {x}), '(\\.\\d)0$', '\\1')"
+
+_TEMP_SQL = f"""
+select 'noaa_' || replace(lower(city), ' ', '_') || '.json' as file, 'Temperature Logic' as "check",
+  'WARNING' as level,
+  'Date ' || cast(date as varchar) || ': TMIN (' || {_PYF.format(x='TMIN_F')} || '°F) > TMAX ('
+    || {_PYF.format(x='TMAX_F')} || '°F).' as message,
+  '{{"date": "' || cast(date as varchar) || '", "tmin_f": ' || {_PYF.format(x='TMIN_F')}
+    || ', "tmax_f": ' || {_PYF.format(x='TMAX_F')} || '}}' as details
+from weather_daily where TMIN_F > TMAX_F"""
+
+_NEG_SQL = f"""
+select 'eia_' || replace(lower(city), ' ', '_') || '.json' as file, 'Negative Energy' as "check",
+  'WARNING' as level,
+  'Date ' || cast(date as varchar) || ': Negative energy consumption detected ('
+    || {_PYF.format(x='energy_mwh')} || ' MWh).' as message,
+  '{{"date": "' || cast(date as varchar) || '", "energy_mwh": ' || {_PYF.format(x='energy_mwh')}
+    || '}}' as details
+from energy_daily where energy_mwh < 0"""
+
+
+@register("q_duplicates", _q_sql(_DUP_SQL))
+def _q_duplicates(i: Inputs) -> DataFrame:
+    return quality.q_duplicates(i.raw_weather())
+
+
+@register("q_duplicate_rows", with_ctes("""
+select r.city, cast(r.date as date) as date, r.datatype, r.value from raw_weather r
+where (r.city, cast(r.date as date), r.datatype) in (
+  select (city, cast(date as date), datatype) from raw_weather group by all having count(*) > 1)"""))
+def _q_duplicate_rows(i: Inputs) -> DataFrame:
+    return quality.duplicate_rows(i.raw_weather())
+
+
+@register("q_temp_logic", _q_sql(_TEMP_SQL))
+def _q_temp_logic(i: Inputs) -> DataFrame:
+    return quality.q_temp_logic(i.weather_daily())
+
+
+@register("q_negative_energy", _q_sql(_NEG_SQL))
+def _q_negative_energy(i: Inputs) -> DataFrame:
+    return quality.q_negative_energy(i.energy_daily())
+
+
+_BAD_SQL = """
+select 'noaa_' || replace(lower(city), ' ', '_') || '.json' as file, 'Data Pivoting' as "check",
+  'ERROR' as level,
+  'Could not pivot data, likely due to duplicate TMAX/TMIN values for a single day. Error: unparsable date or corrupt record in file' as message,
+  '{}' as details
+from (select city, cast(date as varchar) as date from raw_weather) r
+group by city having bool_or(date is not null and try_cast(date as timestamp) is null)"""
+
+
+@register("q_bad_files", _q_sql(_BAD_SQL))
+def _q_bad_files(i: Inputs) -> DataFrame:
+    raw = i.raw_weather().withColumn("date", F.col("date").cast("string"))
+    return quality.q_bad_files(raw)
+
+
+@register("quality_report", _q_sql(
+    "select * from (" + _DUP_SQL + ") union all select * from (" + _TEMP_SQL
+    + ") union all select * from (" + _NEG_SQL + ")"))
+def _quality_report(i: Inputs) -> DataFrame:
+    return quality.quality_report(i.raw_weather(), i.weather_daily(), i.energy_daily())
+
+
+@register("quality_view", _q_sql(
+    "select level, \"check\", message, file from (select * from (" + _DUP_SQL + ") union all select * from ("
+    + _TEMP_SQL + ") union all select * from (" + _NEG_SQL + "))"))
+def _quality_view(i: Inputs) -> DataFrame:
+    return quality.quality_view(
+        quality.quality_report(i.raw_weather(), i.weather_daily(), i.energy_daily()))
+
+
+@register("quality_summary", _q_sql(
+    "select \"check\", level, count(*) as n_issues from (select * from (" + _DUP_SQL
+    + ") union all select * from (" + _TEMP_SQL + ") union all select * from (" + _NEG_SQL
+    + ")) group by all"))
+def _quality_summary(i: Inputs) -> DataFrame:
+    return quality.quality_summary(
+        quality.quality_report(i.raw_weather(), i.weather_daily(), i.energy_daily()))
+
+
+@register("q_missing_values", with_ctes("""
+select city, column_name, n_rows, n_missing from (
+  select city, count(*) as n_rows, count(*) - count(date) as date, count(*) - count(TMAX_F) as TMAX_F,
+    count(*) - count(TMIN_F) as TMIN_F, count(*) - count(energy_mwh) as energy_mwh
+  from master group by city
+) unpivot (n_missing for column_name in (date, TMAX_F, TMIN_F, energy_mwh))"""))
+def _q_missing_values(i: Inputs) -> DataFrame:
+    return quality.q_missing_values(i.master())
+
+
+@register("q_outliers", with_ctes("""
+select city, date, column_name, value, case
+  when column_name in ('TMAX_F', 'TMIN_F') and value > 130 then 'temperature above 130°F'
+  when column_name in ('TMAX_F', 'TMIN_F') and value < -50 then 'temperature below -50°F'
+  when column_name = 'energy_mwh' and value < 0 then 'negative energy' end as rule
+from (select city, date, TMAX_F, TMIN_F, energy_mwh from master)
+unpivot (value for column_name in (TMAX_F, TMIN_F, energy_mwh))
+where rule is not null"""))
+def _q_outliers(i: Inputs) -> DataFrame:
+    return quality.q_outliers(i.master())
+
+
+@register("q_freshness", with_ctes(f"""
+select city, max(date) as latest_date,
+  datediff('day', max(date), date '{FRESHNESS_AS_OF}') as days_since_latest
+from master group by city"""))
+def _q_freshness(i: Inputs) -> DataFrame:
+    return quality.q_freshness(i.master(), FRESHNESS_AS_OF)
+
+
+# ============================================================ analysis
+_ANA_COLS = "date, TMAX_F, TMIN_F, energy_mwh, city, latitude, longitude, temp_for_analysis"
+
+
+def _ana_sql(body: str, **kw) -> str:
+    return with_ctes(body, ana_cte(**kw))
+
+
+@register("analysis_base", _ana_sql(f"select {_ANA_COLS} from ana"))
+def _analysis_base(i: Inputs) -> DataFrame:
+    return i.base("avg")
+
+
+for _m in ("max", "min", "avg"):
+    def _mk(m):
+        @register(f"temp_metric_{m}", _ana_sql("select city, date, temp_for_analysis from ana", metric=m))
+        def _q(i: Inputs) -> DataFrame:
+            return i.base(m).select("city", "date", "temp_for_analysis")
+        return _q
+    _mk(_m)
+
+
+@register("date_filter", _ana_sql(f"select {_ANA_COLS} from ana", start=RANGE_START, end=RANGE_END))
+def _date_filter(i: Inputs) -> DataFrame:
+    return i.base("avg", RANGE_START, RANGE_END)
+
+
+@register("city_filter", _ana_sql(f"select {_ANA_COLS} from ana", city=ONE_CITY))
+def _city_filter(i: Inputs) -> DataFrame:
+    return i.base("avg", city=ONE_CITY)
+
+
+@register("filtered_export", _ana_sql(f"select {_ANA_COLS} from ana", start=RANGE_START, end=RANGE_END,
+                                      city=ONE_CITY))
+def _filtered_export(i: Inputs) -> DataFrame:
+    return i.base("avg", RANGE_START, RANGE_END, ONE_CITY)
+
+
+@register("with_coordinates", with_ctes(
+    "select m.date, m.TMAX_F, m.TMIN_F, m.energy_mwh, m.city, c.latitude, c.longitude "
+    "from master m left join coords c on m.city = c.city"))
+def _with_coordinates(i: Inputs) -> DataFrame:
+    return analysis.with_coordinates(i.master(), i.city_dim())
+
+
+@register("date_bounds", with_ctes("select min(date) as min_date, max(date) as max_date from master"))
+def _date_bounds(i: Inputs) -> DataFrame:
+    return analysis.date_bounds(i.master())
+
+
+@register("city_list", with_ctes("select distinct city from master"))
+def _city_list(i: Inputs) -> DataFrame:
+    return analysis.city_list(i.master())
+
+
+@register("kpis", _ana_sql("""
+select count(distinct city) as n_cities,
+  cast((select datediff('day', min(date), max(date)) + 1 from master) as integer) as duration_days,
+  round(avg(TMAX_F), 6) as avg_tmax_f, round(avg(TMIN_F), 6) as avg_tmin_f,
+  round(cast(sum(cast(energy_mwh as decimal(28,6))) as double) / count(energy_mwh), 6) as avg_energy_mwh
+from ana having count(*) > 0"""))
+def _kpis(i: Inputs) -> DataFrame:
+    return analysis.kpis(i.base("avg"), i.master())
+
+
+@register("time_series", _ana_sql("select date, city, temp_for_analysis, energy_mwh from ana"))
+def _time_series(i: Inputs) -> DataFrame:
+    return analysis.time_series(i.base("avg"))
+
+
+@register("total_energy_by_date", _ana_sql("""
+select date, coalesce(cast(round_even(sum(cast(energy_mwh as decimal(28,6))), 2) as double), 0.0) as total_energy_mwh
+from ana group by date"""))
+def _total_energy_by_date(i: Inputs) -> DataFrame:
+    return analysis.total_energy_by_date(i.base("avg"))
+
+
+@register("weekend_bands", _ana_sql("""
+select distinct date, cast(date as timestamp) - interval 12 hour as band_start,
+  cast(date as timestamp) + interval 12 hour as band_end
+from ana where isodow(date) >= 6"""))
+def _weekend_bands(i: Inputs) -> DataFrame:
+    return analysis.weekend_bands(i.base("avg"))
+
+
+@register("ols_correlation", _ana_sql("""
+select count(*) as n, round(regr_intercept(energy_mwh, temp_for_analysis), 6) as intercept,
+  round(regr_slope(energy_mwh, temp_for_analysis), 6) as slope,
+  round(regr_r2(energy_mwh, temp_for_analysis), 9) as r2,
+  round(corr(temp_for_analysis, energy_mwh), 9) as r
+from ana where energy_mwh is not null having count(*) > 0"""))
+def _ols_correlation(i: Inputs) -> DataFrame:
+    return analysis.ols_correlation(i.base("avg"))
+
+
+@register("regression_line", _ana_sql("""
+select p.point, round(p.x, 6) as temp, round(b0 + b1 * p.x, 6) as energy_fit
+from (select regr_intercept(energy_mwh, temp_for_analysis) b0, regr_slope(energy_mwh, temp_for_analysis) b1,
+             min(temp_for_analysis) x_min, max(temp_for_analysis) x_max
+      from ana where energy_mwh is not null having count(*) > 0) f,
+     lateral (select 0 as point, x_min as x union all select 1, x_max) p"""))
+def _regression_line(i: Inputs) -> DataFrame:
+    return analysis.regression_line(i.base("avg"))
+
+
+_LATEST = "latest as (select * exclude (rn) from (select *, row_number() over (partition by city order by date desc) rn from ana) where rn = 1)"
+
+
+@register("latest_per_city", _ana_sql(
+    f"select {_ANA_COLS} from (select * from ana qualify row_number() over (partition by city order by date desc) = 1)"))
+def _latest_per_city(i: Inputs) -> DataFrame:
+    return analysis.latest_per_city(i.base("avg")).select(*_ANA_COLS.split(", "))
+
+
+_GEO_TAIL = """
+, rng as (select min(energy_mwh) as color_min, max(energy_mwh) as color_max from latest),
+geo as (
+  select l.*, p.energy_prev_day,
+    case when p.energy_prev_day <> 0 then (l.energy_mwh - p.energy_prev_day) / p.energy_prev_day * 100
+         when l.energy_mwh > 0 then 'inf'::double when l.energy_mwh < 0 then '-inf'::double end as energy_pct_change
+  from latest l left join prev p on l.city = p.city)
+select g.city, g.date, g.latitude, g.longitude, g.temp_for_analysis, g.energy_mwh, g.energy_prev_day,
+  g.energy_pct_change, coalesce(g.energy_mwh, 1000.0) as size_for_map,
+  case when g.energy_mwh is null then 'Energy data not available' else format('{:,.0f}', g.energy_mwh) || ' MWh' end
+    as hover_energy_text,
+  case when g.energy_pct_change is null then 'No prior day data'
+       when g.energy_pct_change = 'inf'::double then '+inf% vs yesterday'
+       when g.energy_pct_change = '-inf'::double then '-inf% vs yesterday'
+       else printf('%+.1f%% vs yesterday', g.energy_pct_change) end as hover_pct_change_text,
+  r.color_min, r.color_max
+from geo g cross join rng r
+where g.latitude is not null and g.longitude is not null and g.temp_for_analysis is not null"""
+
+
+def _geo_sql(prev: str) -> str:
+    sql = with_ctes("select 1", ana_cte(metric="avg"))
+    head = sql[: sql.rindex("select 1")].rstrip()
+    return head + ",\n" + _LATEST + ",\n" + prev + _GEO_TAIL
+
+
+@register("geo_latest", _geo_sql(
+    "prev as (select city, energy_mwh as energy_prev_day from ana "
+    "where date = (select min(date) - 1 from latest))"))
+def _geo_latest(i: Inputs) -> DataFrame:
+    return analysis.geo_latest(i.filtered("avg"))
+
+
+@register("geo_latest_per_city_prev", _geo_sql(
+    "prev as (select a.city, a.energy_mwh as energy_prev_day from ana a join latest l "
+    "on a.city = l.city and a.date = l.date - 1)"))
+def _geo_latest_per_city_prev(i: Inputs) -> DataFrame:
+    return analysis.geo_latest_per_city_prev(i.filtered("avg"))
+
+
+_BIN_CASE = """case when temp_for_analysis < 50 then 0 when temp_for_analysis < 60 then 1
+  when temp_for_analysis < 70 then 2 when temp_for_analysis < 80 then 3
+  when temp_for_analysis < 90 then 4 else 5 end"""
+
+
+@register("temp_bins", _ana_sql(f"""
+select city, date, temp_for_analysis, {_BIN_CASE} as bin_order,
+  ['<50°F', '50-60°F', '60-70°F', '70-80°F', '80-90°F', '>90°F'][{_BIN_CASE} + 1] as temp_bin
+from ana"""))
+def _temp_bins(i: Inputs) -> DataFrame:
+    return analysis.with_temp_bins(i.base("avg")).select(
+        "city", "date", "temp_for_analysis", "bin_order", "temp_bin")
+
+
+# ============================================================ stations
+def _tier_sql() -> str:
+    return f"""
+tiered as (select *, case when maxdate >= timestamp '{STATIONS_AS_OF}' - interval 1 year and id like 'GHCND:USW%'
+                            then 1 when maxdate >= timestamp '{STATIONS_AS_OF}' - interval 1 year then 2 else 3 end as tier
+           from stations),
+found as (select state, id as noaa_station_id, name, latitude, longitude, tier from tiered t
+          where tier = (select min(tier) from tiered u where u.state = t.state)),
+city_ba as ({lookups.values_sql(lookups.CITY_TO_BA, ('city_token', 'city_ba'))}),
+state_ba as ({lookups.values_sql(lookups.STATE_TO_BA, ('state_key', 'state_ba'))}),
+fips as ({lookups.values_sql(lookups.STATE_FIPS, ('state', 'fips'))}),
+mapped as (
+  select f.*, coalesce(c.city_ba, s.state_ba, 'N/A') as eia_ba_code,
+    case when c.city_ba is not null then 'City Match' when s.state_ba is not null then 'State Estimate'
+         else 'No Match' end as match_type
+  from found f
+  left join city_ba c on c.city_token = split_part(split_part(lower(f.name), ',', 1), ' ', 1)
+  left join state_ba s on s.state_key = lower(f.state))"""
+
+
+def _st_sql(body: str) -> str:
+    sql = with_ctes("select 1")
+    head = sql[: sql.rindex("select 1")].rstrip()
+    return head + ",\n" + _tier_sql() + "\n" + body
+
+
+@register("stations_by_state", _st_sql(
+    "select s.*, f.fips from stations s join fips f on s.state = f.state where s.state = 'Texas'"))
+def _stations_by_state(i: Inputs) -> DataFrame:
+    return stn.stations_by_state(i.stations(), "Texas")
+
+
+@register("station_search", _st_sql("select * from found"))
+def _station_search(i: Inputs) -> DataFrame:
+    return stn.station_search(i.stations(), STATIONS_AS_OF)
+
+
+@register("station_ba_map", _st_sql("select * from mapped"))
+def _station_ba_map(i: Inputs) -> DataFrame:
+    return stn.station_ba_map(stn.station_search(i.stations(), STATIONS_AS_OF))
+
+
+@register("city_dim_append", _st_sql(
+    f"select {', '.join(CITY_COLS)} from city_dim union all "
+    "select name as city, state, noaa_station_id, eia_ba_code, latitude, longitude from mapped"))
+def _city_dim_append(i: Inputs) -> DataFrame:
+    found = stn.station_ba_map(stn.station_search(i.stations(), STATIONS_AS_OF))
+    return stn.city_dim_append(i.city_dim(), found).select(*CITY_COLS)
