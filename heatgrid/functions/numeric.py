@@ -46,7 +46,8 @@ def pct_change(cur: Column, prev: Column) -> Column:
     NULL if either side is NULL; prev = 0 gives +/-inf, 0/0 gives NULL.
     """
     return (
-        F.when(prev != 0, (cur - prev) / prev * 100)
+        F.when(cur.isNull() | prev.isNull(), F.lit(None).cast("double"))
+        .when(prev != 0, (cur - prev) / prev * 100)
         .when(cur > 0, F.lit(POS_INF))
         .when(cur < 0, F.lit(NEG_INF))
     )

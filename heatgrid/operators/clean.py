@@ -60,10 +60,17 @@ def _file_checks_needed(raw: DataFrame) -> bool:
 
 
 def weather_in_range(raw: DataFrame, start=None, end=None) -> DataFrame:
-    """Raw readings inside an inclusive run range (S6); pushed to the scan."""
+    """Raw readings inside an inclusive run range (S6); pushed to the scan.
+
+    Rows whose date text does not parse are kept, so a failed file is still
+    seen (and reported) as a whole by Q4.
+    """
     if start is None and end is None:
         return raw
-    return raw.filter(in_range(to_day(raw, "date"), start, end))
+    keep = in_range(to_day(raw, "date"), start, end)
+    if _file_checks_needed(raw):
+        keep = keep | _row_is_bad(raw)
+    return raw.filter(keep)
 
 
 def weather_dedup(raw: DataFrame) -> DataFrame:
@@ -124,6 +131,37 @@ def weather_daily(raw: DataFrame, city_dim: DataFrame | None = None,
     return daily
 
 
+def weather_keys(raw: DataFrame) -> DataFrame:
+    """Refresh stage: one row per (city, date, datatype) of the raw readings.
+
+    ``value`` is the first reading in landing order, ``n`` the number of
+    readings (duplicates when > 1, Q1) and ``bad`` whether any of them is a
+    corrupt record or has an unparsable date (Q4). A single partial hash
+    aggregate over the raw table feeds the daily pivot and both checks.
+    """
+    aggs = [F.min_by("value", "pos").alias("value"), F.count(F.lit(1)).alias("n")]
+    aggs.append((F.bool_or(_row_is_bad(raw)) if _file_checks_needed(raw) else F.lit(False)).alias("bad"))
+    return raw.groupBy("city", to_day(raw, "date").alias("date"), "datatype").agg(*aggs)
+
+
+def weather_daily_from_keys(keys: DataFrame, city_dim: DataFrame | None = None) -> DataFrame:
+    """``weather_daily`` from the stage table; failed files contribute nothing.
+
+    Keys are unique per (city, date, datatype), so ``max`` picks the one value.
+    """
+    bad = keys.filter("bad").select("city").distinct()
+    dt = F.col("datatype")
+    daily = (
+        keys.join(bad, "city", "left_anti")
+        .groupBy("city", "date")
+        .agg(*[F.max(F.when(dt == name, F.col("value"))).alias(name) for name in PIVOT_DATATYPES])
+        .select("city", "date", c_to_f(F.col("TMAX")).alias("TMAX_F"), c_to_f(F.col("TMIN")).alias("TMIN_F"))
+    )
+    if city_dim is not None:
+        daily = daily.join(valid_cities(city_dim).select("city"), "city", "left_semi")
+    return daily
+
+
 # ---------------------------------------------------------------- energy
 def energy_coerced(raw_energy: DataFrame) -> DataFrame:
     """``(city, date, energy_mwh)`` per record, value coerced to double."""
@@ -139,10 +177,30 @@ def energy_daily(raw_energy: DataFrame, city_dim: DataFrame | None = None,
     """Daily energy per city: exact sum, half-even to 2 decimals.
 
     NULL values are skipped, an all-NULL day gives 0.0, NULL dates are
-    dropped. Only cities passing the BA gate contribute (S5).
+    dropped. Only cities passing the BA gate contribute (S5). A landed file
+    with a corrupt record or an unparsable period contributes nothing and
+    raises no warning, as in the reference.
     """
-    rec = energy_coerced(raw_energy).filter(in_range(F.col("date"), start, end))
-    daily = rec.groupBy("city", "date").agg(sum_or_zero(F.col("energy_mwh")).alias("energy_mwh"))
+    checks = _has_corrupt(raw_energy) or dict(raw_energy.dtypes)["period"] == "string"
+    keep = in_range(F.col("date"), start, end)
+    if checks:
+        bad = bad_day(raw_energy, "period")
+        if _has_corrupt(raw_energy):
+            bad = bad | F.col("_corrupt").isNotNull()
+        rec = raw_energy.select(
+            "city", to_day(raw_energy, "period").alias("date"),
+            coerce_double(F.col("value")).alias("energy_mwh"), bad.alias("_bad"))
+        keep = keep | F.col("_bad")
+    else:
+        rec = energy_coerced(raw_energy)
+    rec = rec.filter(keep)
+    aggs = [sum_or_zero(F.col("energy_mwh")).alias("energy_mwh")]
+    if checks:
+        aggs.append(F.bool_or("_bad").alias("_bad"))
+    daily = rec.groupBy("city", "date").agg(*aggs)
+    if checks:
+        failed = daily.filter("_bad").select("city").distinct()
+        daily = daily.join(failed, "city", "left_anti").filter(F.col("date").isNotNull()).drop("_bad")
     if city_dim is not None:
         daily = daily.join(energy_cities(city_dim), "city", "left_semi")
     return daily

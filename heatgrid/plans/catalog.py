@@ -446,7 +446,8 @@ _GEO_TAIL = """
 , rng as (select min(energy_mwh) as color_min, max(energy_mwh) as color_max from latest),
 geo as (
   select l.*, p.energy_prev_day,
-    case when p.energy_prev_day <> 0 then (l.energy_mwh - p.energy_prev_day) / p.energy_prev_day * 100
+    case when l.energy_mwh is null or p.energy_prev_day is null then null
+         when p.energy_prev_day <> 0 then (l.energy_mwh - p.energy_prev_day) / p.energy_prev_day * 100
          when l.energy_mwh > 0 then 'inf'::double when l.energy_mwh < 0 then '-inf'::double end as energy_pct_change
   from latest l left join prev p on l.city = p.city)
 select g.city, g.date, g.latitude, g.longitude, g.temp_for_analysis, g.energy_mwh, g.energy_prev_day,

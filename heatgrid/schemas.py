@@ -11,6 +11,7 @@ RAW_WEATHER = T.StructType([
     T.StructField("date", T.StringType()),
     T.StructField("datatype", T.StringType()),
     T.StructField("value", T.DoubleType()),
+    T.StructField("pos", T.LongType()),  # landing order, written by our own landing sink
     T.StructField("_corrupt", T.StringType()),
 ])
 
@@ -18,6 +19,7 @@ RAW_WEATHER = T.StructType([
 RAW_ENERGY = T.StructType([
     T.StructField("period", T.StringType()),
     T.StructField("value", T.StringType()),
+    T.StructField("pos", T.LongType()),
     T.StructField("_corrupt", T.StringType()),
 ])
 
