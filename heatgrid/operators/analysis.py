@@ -29,8 +29,8 @@ def coordinates(city_dim: DataFrame) -> DataFrame:
     return (
         city_dim.filter(F.col("city").isNotNull())
         .groupBy("city")
-        .agg(F.max_by(F.struct("latitude", "longitude"), "cfg_pos").alias("c"))
-        .select("city", "c.latitude", "c.longitude")
+        .agg(F.max_by("latitude", "cfg_pos").alias("latitude"),
+             F.max_by("longitude", "cfg_pos").alias("longitude"))
     )
 
 
@@ -171,14 +171,12 @@ def regression_line(base: DataFrame, digits: int = 6) -> DataFrame:
 def latest_per_city(base: DataFrame) -> DataFrame:
     """Row at each city's maximum date, (city, date) being unique.
 
-    ``max_by`` is a partial aggregate: no sort of a whole city's rows.
+    A partial hash aggregate finds each city's last date (no sort of a whole
+    city's rows, unlike a ranking window); the one-row-per-city result is
+    joined back on the unique key, broadcast when AQE measures it small.
     """
-    cols = [c for c in base.columns if c != "city"]
-    return (
-        base.groupBy("city")
-        .agg(F.max_by(F.struct(*cols), "date").alias("r"))
-        .select("city", *[F.col(f"r.{c}").alias(c) for c in cols])
-    )
+    last = base.groupBy("city").agg(F.max("date").alias("date"))
+    return base.join(last, ["city", "date"]).select(*base.columns)
 
 
 def _geo(latest: DataFrame, prev: DataFrame, city: str | None) -> DataFrame:

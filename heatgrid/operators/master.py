@@ -30,13 +30,16 @@ def missing_cities(city_dim: DataFrame, merged: DataFrame) -> DataFrame:
 
 
 def master(merged: DataFrame, city_dim: DataFrame) -> DataFrame:
-    """Merged rows plus one all-NULL placeholder per missing city."""
-    placeholders = missing_cities(city_dim, merged)
-    return (
-        merged.select(*MASTER_COLUMNS)
-        .unionByName(placeholders, allowMissingColumns=True)
-        .select(*MASTER_COLUMNS)
-    )
+    """Merged rows plus one all-NULL placeholder per missing city.
+
+    Written as ``configured names LEFT JOIN merged``: a city with rows keeps
+    them, a city without gets the one NULL row the join emits. ``merged`` is
+    read once (an anti join plus union would derive it twice from the raw
+    tables, since the pruned second copy cannot reuse the first exchange).
+    Merged cities are always configured ones, so no row is lost.
+    """
+    names = configured_names(city_dim).distinct()
+    return names.join(merged, "city", "left").select(*MASTER_COLUMNS)
 
 
 def build_master(raw_weather: DataFrame, raw_energy: DataFrame, city_dim: DataFrame,

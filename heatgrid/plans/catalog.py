@@ -274,11 +274,17 @@ def _q_bad_files(i: Inputs) -> DataFrame:
     return quality.q_bad_files(raw)
 
 
+def _stage_report(i: Inputs) -> DataFrame:
+    from heatgrid.plans.refresh import report_from_stage
+    keys, processed = i.stage()
+    return report_from_stage(keys, processed)
+
+
 @register("quality_report", _q_sql(
     "select * from (" + _DUP_SQL + ") union all select * from (" + _TEMP_SQL
     + ") union all select * from (" + _NEG_SQL + ")"))
 def _quality_report(i: Inputs) -> DataFrame:
-    return quality.quality_report(i.raw_weather(), i.weather_daily(), i.energy_daily())
+    return _stage_report(i)
 
 
 @register("quality_view", _q_sql(
@@ -286,7 +292,7 @@ def _quality_report(i: Inputs) -> DataFrame:
     + _TEMP_SQL + ") union all select * from (" + _NEG_SQL + "))"))
 def _quality_view(i: Inputs) -> DataFrame:
     return quality.quality_view(
-        quality.quality_report(i.raw_weather(), i.weather_daily(), i.energy_daily()))
+        _stage_report(i))
 
 
 @register("quality_summary", _q_sql(
@@ -295,7 +301,7 @@ def _quality_view(i: Inputs) -> DataFrame:
     + ")) group by all"))
 def _quality_summary(i: Inputs) -> DataFrame:
     return quality.quality_summary(
-        quality.quality_report(i.raw_weather(), i.weather_daily(), i.energy_daily()))
+        _stage_report(i))
 
 
 @register("q_missing_values", with_ctes("""
@@ -390,7 +396,8 @@ select count(distinct city) as n_cities,
   round(cast(sum(cast(energy_mwh as decimal(28,6))) as double) / count(energy_mwh), 6) as avg_energy_mwh
 from ana having count(*) > 0"""))
 def _kpis(i: Inputs) -> DataFrame:
-    return analysis.kpis(i.base("avg"), i.master())
+    m = i.master_snapshot()
+    return analysis.kpis(i.base("avg", master=m), m)
 
 
 @register("time_series", _ana_sql("select date, city, temp_for_analysis, energy_mwh from ana"))
@@ -439,7 +446,7 @@ _LATEST = "latest as (select * exclude (rn) from (select *, row_number() over (p
 @register("latest_per_city", _ana_sql(
     f"select {_ANA_COLS} from (select * from ana qualify row_number() over (partition by city order by date desc) = 1)"))
 def _latest_per_city(i: Inputs) -> DataFrame:
-    return analysis.latest_per_city(i.base("avg")).select(*_ANA_COLS.split(", "))
+    return analysis.latest_per_city(i.base("avg", master=i.master_snapshot())).select(*_ANA_COLS.split(", "))
 
 
 _GEO_TAIL = """
@@ -473,14 +480,14 @@ def _geo_sql(prev: str) -> str:
     "prev as (select city, energy_mwh as energy_prev_day from ana "
     "where date = (select min(date) - 1 from latest))"))
 def _geo_latest(i: Inputs) -> DataFrame:
-    return analysis.geo_latest(i.filtered("avg"))
+    return analysis.geo_latest(i.filtered("avg", master=i.master_snapshot()))
 
 
 @register("geo_latest_per_city_prev", _geo_sql(
     "prev as (select a.city, a.energy_mwh as energy_prev_day from ana a join latest l "
     "on a.city = l.city and a.date = l.date - 1)"))
 def _geo_latest_per_city_prev(i: Inputs) -> DataFrame:
-    return analysis.geo_latest_per_city_prev(i.filtered("avg"))
+    return analysis.geo_latest_per_city_prev(i.filtered("avg", master=i.master_snapshot()))
 
 
 _BIN_CASE = """case when temp_for_analysis < 50 then 0 when temp_for_analysis < 60 then 1

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from heatgrid.operators import analysis, clean, master as mst
+from heatgrid.session import ensure_checkpoint_dir
 from heatgrid.sources import fixtures
 
 
@@ -45,9 +46,34 @@ class Inputs:
     def master(self) -> DataFrame:
         return mst.master(self.merged(), self.city_dim())
 
+    def stage(self) -> tuple[DataFrame, DataFrame]:
+        """The refresh's two stage tables, materialized: weather keys and processed.
+
+        One scan per raw table feeds the daily pivot, the duplicate check and
+        every later quality check (as in ``plans.refresh``).
+        """
+        ensure_checkpoint_dir(self.spark)
+        keys = clean.weather_keys(self.raw_weather()).checkpoint(eager=True)
+        weather = clean.weather_daily_from_keys(keys, self.city_dim())
+        processed = mst.weather_energy_outer(weather, self.energy_daily()).checkpoint(eager=True)
+        return keys, processed
+
+    def master_snapshot(self) -> DataFrame:
+        """The refresh's master as a materialized snapshot (what the dashboard reads).
+
+        Written once to the session's checkpoint folder (shared storage named
+        by ``spark.checkpoint.dir`` on a cluster), which also cuts the lineage
+        back to the raw tables: views that read the master several times, or
+        a retried task, never recompute the refresh.
+        """
+        ensure_checkpoint_dir(self.spark)
+        return self.master().checkpoint(eager=True)
+
     # analysis frames
-    def filtered(self, metric: str = "avg", start=None, end=None) -> DataFrame:
-        return analysis.date_filtered(self.master(), self.city_dim(), start, end, metric)
+    def filtered(self, metric: str = "avg", start=None, end=None, master: DataFrame | None = None) -> DataFrame:
+        m = self.master() if master is None else master
+        return analysis.date_filtered(m, self.city_dim(), start, end, metric)
 
-    def base(self, metric: str = "avg", start=None, end=None, city=None) -> DataFrame:
-        return analysis.select_city(self.filtered(metric, start, end), city)
+    def base(self, metric: str = "avg", start=None, end=None, city=None,
+             master: DataFrame | None = None) -> DataFrame:
+        return analysis.select_city(self.filtered(metric, start, end, master), city)

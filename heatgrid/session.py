@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of snapshots are removed once their DataFrame is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
