@@ -552,3 +552,28 @@ def _station_ba_map(i: Inputs) -> DataFrame:
 def _city_dim_append(i: Inputs) -> DataFrame:
     found = stn.station_ba_map(stn.station_search(i.stations(), STATIONS_AS_OF))
     return stn.city_dim_append(i.city_dim(), found).select(*CITY_COLS)
+
+
+# ============================================================ selection variants
+@register("kpis_city_range", _ana_sql(f"""
+select count(distinct city) as n_cities,
+  cast(datediff('day', date '{RANGE_START}', date '{RANGE_END}') + 1 as integer) as duration_days,
+  round(avg(TMAX_F), 6) as avg_tmax_f, round(avg(TMIN_F), 6) as avg_tmin_f,
+  round(cast(sum(cast(energy_mwh as decimal(28,6))) as double) / count(energy_mwh), 6) as avg_energy_mwh
+from ana having count(*) > 0""", metric="max", start=RANGE_START, end=RANGE_END, city=ONE_CITY))
+def _kpis_city_range(i: Inputs) -> DataFrame:
+    return analysis.kpis(i.base("max", RANGE_START, RANGE_END, ONE_CITY), None, RANGE_START, RANGE_END)
+
+
+def _heat_sql_for(final: str, **kw) -> str:
+    sql = with_ctes("select 1", ana_cte(**kw))
+    head = sql[: sql.rindex("select 1")].rstrip()
+    return head + _HEAT_LONG_SQL + final
+
+
+@register("usage_heatmap_city_max", _heat_sql_for("""
+select b.bin_order, b.temp_bin, d.day_order, d.day_of_week, c.avg_energy_mwh
+from bins b cross join days d left join cells c on c.bin_order = b.bin_order and c.day_order = d.day_order""",
+                                                  metric="max", city=ONE_CITY))
+def _usage_heatmap_city_max(i: Inputs) -> DataFrame:
+    return analysis.usage_heatmap_long(i.base("max", city=ONE_CITY))
