@@ -81,25 +81,52 @@ def q_duplicates(raw: DataFrame, start=None, end=None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q2, Q3
-def q_temp_logic(weather_daily: DataFrame, start=None, end=None) -> DataFrame:
-    """One WARNING per day with TMIN_F > TMAX_F; rows are flagged, not removed (F1, Q2)."""
-    bad = weather_daily.filter(F.col("TMIN_F") > F.col("TMAX_F"))
+class RowCheck:
+    """A per-row check: its condition and the report columns of a flagged row."""
+
+    def __init__(self, cond: Column, file: Column, check: str, level: str, message: Column, details: Column):
+        self.cond, self.file, self.check, self.level = cond, file, check, level
+        self.message, self.details = message, details
+
+
+def report_struct(c: RowCheck) -> Column:
+    return F.struct(c.file.alias("file"), F.lit(c.check).alias("check"), F.lit(c.level).alias("level"),
+                    c.message.alias("message"), c.details.alias("details"))
+
+
+def temp_logic_check(start=None, end=None) -> RowCheck:
+    """TMIN_F > TMAX_F on a day; rows are flagged, not removed (F1, Q2)."""
     tmin, tmax = py_float_text(F.col("TMIN_F")), py_float_text(F.col("TMAX_F"))
     d = F.col("date").cast("string")
     msg = F.concat(F.lit("Date "), d, F.lit(": TMIN ("), tmin, F.lit("°F) > TMAX ("), tmax, F.lit("°F)."))
     details = F.concat(F.lit('{"date": '), _json_date(F.col("date")), F.lit(', "tmin_f": '), tmin,
                        F.lit(', "tmax_f": '), tmax, F.lit("}"))
-    return _report(bad, landing_file("noaa", F.col("city"), start, end), TEMP_CHECK, WARNING, msg, details)
+    return RowCheck(F.col("TMIN_F") > F.col("TMAX_F"), landing_file("noaa", F.col("city"), start, end),
+                    TEMP_CHECK, WARNING, msg, details)
 
 
-def q_negative_energy(energy_daily: DataFrame, start=None, end=None) -> DataFrame:
-    """One WARNING per day whose summed energy is negative (F2, Q3)."""
-    bad = energy_daily.filter(F.col("energy_mwh") < 0)
+def negative_energy_check(start=None, end=None) -> RowCheck:
+    """Summed daily energy below zero (F2, Q3)."""
     e = py_float_text(F.col("energy_mwh"))
     msg = F.concat(F.lit("Date "), F.col("date").cast("string"),
                    F.lit(": Negative energy consumption detected ("), e, F.lit(" MWh)."))
     details = F.concat(F.lit('{"date": '), _json_date(F.col("date")), F.lit(', "energy_mwh": '), e, F.lit("}"))
-    return _report(bad, landing_file("eia", F.col("city"), start, end), ENERGY_CHECK, WARNING, msg, details)
+    return RowCheck(F.col("energy_mwh") < 0, landing_file("eia", F.col("city"), start, end),
+                    ENERGY_CHECK, WARNING, msg, details)
+
+
+def _apply(df: DataFrame, c: RowCheck) -> DataFrame:
+    return _report(df.filter(c.cond), c.file, c.check, c.level, c.message, c.details)
+
+
+def q_temp_logic(weather_daily: DataFrame, start=None, end=None) -> DataFrame:
+    """One WARNING per day with TMIN_F > TMAX_F (Q2)."""
+    return _apply(weather_daily, temp_logic_check(start, end))
+
+
+def q_negative_energy(energy_daily: DataFrame, start=None, end=None) -> DataFrame:
+    """One WARNING per day whose summed energy is negative (Q3)."""
+    return _apply(energy_daily, negative_energy_check(start, end))
 
 
 # ---------------------------------------------------------------- Q4

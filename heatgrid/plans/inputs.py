@@ -47,15 +47,17 @@ class Inputs:
         return mst.master(self.merged(), self.city_dim())
 
     def stage(self) -> tuple[DataFrame, DataFrame]:
-        """The refresh's two stage tables, materialized: weather keys and processed.
+        """The refresh's stage tables: weather keys (materialized) and processed.
 
         One scan per raw table feeds the daily pivot, the duplicate check and
-        every later quality check (as in ``plans.refresh``).
+        every later quality check (as in ``plans.refresh``); the keys are read
+        twice (report and pivot), so they are checkpointed, while processed
+        is read by one pass only.
         """
         ensure_checkpoint_dir(self.spark)
         keys = clean.weather_keys(self.raw_weather()).checkpoint(eager=True)
         weather = clean.weather_daily_from_keys(keys, self.city_dim())
-        processed = mst.weather_energy_outer(weather, self.energy_daily()).checkpoint(eager=True)
+        processed = mst.weather_energy_outer(weather, self.energy_daily())
         return keys, processed
 
     def master_snapshot(self) -> DataFrame:

@@ -47,18 +47,41 @@ def refresh(spark: SparkSession, weather_path: str, energy_path: str, city_dim:
     return paths
 
 
+def _first_checks(rows: DataFrame, checks: list) -> DataFrame:
+    """Emit zero or more report rows per input row in one pass: ``checks`` is a
+    list of (condition, report struct) pairs, kept where the condition holds."""
+    arr = F.array(*[F.when(cond, rec) for cond, rec in checks])
+    return rows.select(F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("r")).select("r.*")
+
+
+def _rec(file, check: str, level: str, message, details):
+    return F.struct(file.alias("file"), F.lit(check).alias("check"), F.lit(level).alias("level"),
+                    message.alias("message"), details.alias("details"))
+
+
 def report_from_stage(keys: DataFrame, processed: DataFrame, start=None, end=None) -> DataFrame:
-    """Q1-Q4 from the stage and processed tables (written after the master)."""
-    bad = keys.filter("bad").select("city").distinct()
-    ok = keys.join(bad, "city", "left_anti")
-    dups = ok.filter(F.col("n") > 1).groupBy("city").agg(
-        F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows"))
-    details = F.concat(F.lit('{"duplicate_groups": '), F.col("groups").cast("string"),
-                       F.lit(', "duplicate_rows": '), F.col("rows").cast("string"), F.lit("}"))
-    q1 = quality._report(dups, quality.landing_file("noaa", F.col("city"), start, end),
-                         quality.DUPLICATE_CHECK, quality.WARNING, F.lit(quality.DUPLICATE_MESSAGE), details)
-    q2 = quality.q_temp_logic(processed, start, end)
-    q4 = quality._report(bad, quality.landing_file("noaa", F.col("city"), start, end),
-                         quality.PIVOT_CHECK, quality.ERROR, F.lit(quality.PIVOT_MESSAGE), F.lit("{}"))
-    q3 = quality.q_negative_energy(processed.filter(F.col("energy_mwh").isNotNull()), start, end)
-    return q1.unionByName(q2).unionByName(q4).unionByName(q3).select(*QUALITY_COLUMNS)
+    """Q1-Q4 from the stage and processed tables (written after the master).
+
+    One aggregate over the stage keys gives the per-file duplicate summary
+    (Q1) and the failed-file flag (Q4); one pass over the processed rows gives
+    the per-day temperature (Q2) and energy (Q3) warnings.
+    """
+    per_file = keys.groupBy("city").agg(
+        F.bool_or("bad").alias("bad"),
+        F.count(F.when(F.col("n") > 1, 1)).alias("groups"),
+        F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("rows"),
+    )
+    noaa = quality.landing_file("noaa", F.col("city"), start, end)
+    dup_details = F.concat(F.lit('{"duplicate_groups": '), F.col("groups").cast("string"),
+                           F.lit(', "duplicate_rows": '), F.col("rows").cast("string"), F.lit("}"))
+    file_checks = _first_checks(per_file, [
+        (~F.col("bad") & (F.col("groups") > 0),
+         _rec(noaa, quality.DUPLICATE_CHECK, quality.WARNING, F.lit(quality.DUPLICATE_MESSAGE), dup_details)),
+        (F.col("bad"),
+         _rec(noaa, quality.PIVOT_CHECK, quality.ERROR, F.lit(quality.PIVOT_MESSAGE), F.lit("{}"))),
+    ])
+    day_checks = _first_checks(processed, [
+        (c.cond, quality.report_struct(c))
+        for c in (quality.temp_logic_check(start, end), quality.negative_energy_check(start, end))
+    ])
+    return file_checks.unionByName(day_checks).select(*QUALITY_COLUMNS)
