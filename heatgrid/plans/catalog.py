@@ -577,3 +577,45 @@ from bins b cross join days d left join cells c on c.bin_order = b.bin_order and
                                                   metric="max", city=ONE_CITY))
 def _usage_heatmap_city_max(i: Inputs) -> DataFrame:
     return analysis.usage_heatmap_long(i.base("max", city=ONE_CITY))
+
+
+# ============================================================ end to end through the landing path
+import os as _os  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from heatgrid.plans.refresh import refresh as _refresh  # noqa: E402
+from heatgrid.session import ensure_checkpoint_dir as _ckpt_dir  # noqa: E402
+from heatgrid.sources import landed as _landed, sinks as _sinks  # noqa: E402
+
+# run range of the end-to-end refresh: wide enough to hold every fixture date
+REFRESH_RANGE = ("1970-01-01", "2029-12-31")
+
+
+def _run_refresh(i: Inputs) -> dict[str, str]:
+    """Land the fixture's raw tables as JSON Lines, then run the refresh job.
+
+    Everything is written under the session's checkpoint folder (shared
+    storage on a cluster), in a fresh sub-folder per call.
+    """
+    root = _os.path.join(_ckpt_dir(i.spark), f"refresh-{_uuid.uuid4().hex}")
+    w_root, e_root = _os.path.join(root, "landing", "noaa"), _os.path.join(root, "landing", "eia")
+    _sinks.land_readings(i.raw_weather(), w_root)
+    _sinks.land_readings(i.raw_energy().drop("type"), e_root)
+    return _refresh(i.spark, w_root, e_root, i.city_dim(), _os.path.join(root, "out"),
+                    RunMode(fetch_range=REFRESH_RANGE))
+
+
+@register("refresh_master", with_ctes("select date, TMAX_F, TMIN_F, energy_mwh, city from master"))
+def _refresh_master(i: Inputs) -> DataFrame:
+    return _landed.read_master(i.spark, _run_refresh(i)["master"])
+
+
+_SUFFIX = f"_{REFRESH_RANGE[0]}_to_{REFRESH_RANGE[1]}.json"
+
+
+@register("refresh_quality_report", _q_sql(
+    "select * from (" + _DUP_SQL.replace("'.json'", f"'{_SUFFIX}'") + ") union all select * from ("
+    + _TEMP_SQL.replace("'.json'", f"'{_SUFFIX}'") + ") union all select * from ("
+    + _NEG_SQL.replace("'.json'", f"'{_SUFFIX}'") + ")"))
+def _refresh_quality_report(i: Inputs) -> DataFrame:
+    return _landed.read_quality_report(i.spark, _run_refresh(i)["quality_report"])

@@ -11,7 +11,8 @@ RAW_WEATHER = T.StructType([
     T.StructField("date", T.StringType()),
     T.StructField("datatype", T.StringType()),
     T.StructField("value", T.DoubleType()),
-    T.StructField("pos", T.LongType()),  # landing order, written by our own landing sink
+    # landing order written by our own landing sink; wide enough for any sequence key
+    T.StructField("pos", T.DecimalType(38, 0)),
     T.StructField("_corrupt", T.StringType()),
 ])
 
@@ -19,7 +20,7 @@ RAW_WEATHER = T.StructType([
 RAW_ENERGY = T.StructType([
     T.StructField("period", T.StringType()),
     T.StructField("value", T.StringType()),
-    T.StructField("pos", T.LongType()),
+    T.StructField("pos", T.DecimalType(38, 0)),
     T.StructField("_corrupt", T.StringType()),
 ])
 

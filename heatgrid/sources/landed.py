@@ -58,7 +58,7 @@ def read_landed(spark: SparkSession, path: str, source: str, city_dim: DataFrame
     df = _read_json(spark, path, schema, multi_line)
     # a landed sequence number wins; legacy files fall back to scan order
     df = df.withColumn("_file", F.col("_metadata.file_name")).withColumn(
-        "pos", F.coalesce(F.col("pos"), F.monotonically_increasing_id()))
+        "pos", F.coalesce(F.col("pos"), F.monotonically_increasing_id().cast("decimal(38,0)")))
     if multi_line:
         df = df.filter(F.col("_file").rlike(_NAME_RE.format(src=source)))
     return _with_city(df, source, city_dim)

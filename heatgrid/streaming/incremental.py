@@ -45,7 +45,7 @@ def landing_stream(spark: SparkSession, weather_root: str, energy_root: str) ->
 
 def _split(batch: DataFrame, city_dim: DataFrame):
     owners = mst.slug_owners(city_dim)
-    rows = batch.join(owners, "slug").withColumn("pos", F.coalesce("pos", F.monotonically_increasing_id()))
+    rows = batch.join(owners, "slug").withColumn("pos", F.coalesce("pos", F.monotonically_increasing_id().cast("decimal(38,0)")))
     w = rows.filter(F.col("source") == "noaa").select("city", "date", "datatype", "value", "pos", "_corrupt")
     e = rows.filter(F.col("source") == "eia").select("city", "period", "value", "_corrupt")
     return w, e.withColumn("value", F.col("value").cast("string"))
