@@ -9,17 +9,32 @@ from heatgrid.functions.text import city_slug
 from heatgrid.schemas import MASTER_COLUMNS, QUALITY_COLUMNS
 
 
-def land_readings(df: DataFrame, root: str) -> None:
+def land_readings(df: DataFrame, root: str, rebalance: bool = False) -> None:
     """S3: land raw readings of many cities as splittable JSON Lines,
     one ``slug=`` folder per city. A city with no rows has no folder, which
-    reads back as zero rows (the reference's empty ``[]`` file)."""
-    (df.withColumn("slug", city_slug(F.col("city"))).drop("city")
-       .write.mode("overwrite").partitionBy("slug").json(root))
+    reads back as zero rows (the reference's empty ``[]`` file).
+
+    Fetches normally arrive per city, so each task writes one folder and no
+    shuffle is needed. When every task holds many cities, ``rebalance=True``
+    adds an AQE rebalance on the slug first: rows of a city are gathered into
+    advisory-sized partitions and a hot city is split across several, so the
+    folder gets a few large files instead of one small file per task.
+    """
+    out = df.withColumn("slug", city_slug(F.col("city"))).drop("city")
+    if rebalance:
+        out = out.hint("rebalance", "slug")
+    out.write.mode("overwrite").partitionBy("slug").json(root)
 
 
 def write_processed(merged: DataFrame, path: str) -> None:
-    """Per-city processed table, one ``city=`` partition per city."""
-    merged.select(*MASTER_COLUMNS).write.mode("overwrite").partitionBy("city").parquet(path)
+    """Per-city processed table, one ``city=`` partition per city.
+
+    Processed rows are one per city-day, so a city holds at most one row per
+    day of the run: repartitioning by city is never skewed and writes one
+    file per city instead of one per shuffle task and city.
+    """
+    (merged.select(*MASTER_COLUMNS).repartition("city")
+       .write.mode("overwrite").partitionBy("city").parquet(path))
 
 
 def sorted_master(master: DataFrame) -> DataFrame:
