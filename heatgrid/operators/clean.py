@@ -23,7 +23,14 @@ NO_BA_CODES = ["NONE", "N/A"]
 
 # ---------------------------------------------------------------- city gates
 def valid_cities(city_dim: DataFrame) -> DataFrame:
-    """Configured entries that are processed: name and station id present."""
+    """Configured entries that are processed: name and station id present.
+
+    Configuration entries carry ``entry_complete`` (both keys present, even
+    with an empty value, as the reference checks); other dimensions use
+    non-NULL values.
+    """
+    if "entry_complete" in city_dim.columns:
+        return city_dim.filter(F.col("city").isNotNull() & F.col("entry_complete"))
     return city_dim.filter(F.col("city").isNotNull() & F.col("noaa_station_id").isNotNull())
 
 

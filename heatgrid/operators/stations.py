@@ -85,6 +85,8 @@ def city_dim_append(city_dim: DataFrame, chosen: DataFrame) -> DataFrame:
         .withColumn("cfg_pos", F.col("_top") + 1 + F.col("_seq"))
         .drop("_top", "_seq")
     )
+    if "entry_complete" in city_dim.columns:
+        added = added.withColumn("entry_complete", F.lit(True))
     return city_dim.unionByName(added)
 
 

@@ -57,6 +57,10 @@ CITY_DIM = T.StructType([
     T.StructField("cfg_pos", T.LongType()),
 ])
 
+# Configuration entries also record whether their required keys are present
+# (the reference checks key presence, not values).
+CITY_DIM_ENTRIES = T.StructType(CITY_DIM.fields + [T.StructField("entry_complete", T.BooleanType())])
+
 STATIONS = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("name", T.StringType()),

@@ -107,5 +107,6 @@ def city_dim_from_entries(spark: SparkSession, entries: list[dict]) -> DataFrame
                 return None
         rows.append((e.get("name"), e.get("state"), e.get("noaa_station_id"),
                      None if e.get("eia_ba_code") is None else str(e.get("eia_ba_code")),
-                     num(e.get("latitude")), num(e.get("longitude")), pos))
-    return spark.createDataFrame(rows, schemas.CITY_DIM)
+                     num(e.get("latitude")), num(e.get("longitude")), pos,
+                     "name" in e and "noaa_station_id" in e))
+    return spark.createDataFrame(rows, schemas.CITY_DIM_ENTRIES)

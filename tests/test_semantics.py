@@ -199,3 +199,16 @@ def test_quality_messages(spark):
     assert r.file == "noaa_new_york_2024-01-01_to_2024-01-31.json"
     assert r.message == "Date 2024-01-02: TMIN (38.6°F) > TMAX (30.2°F)."
     assert r.details == '{"date": "2024-01-02", "tmin_f": 38.6, "tmax_f": 30.2}'
+
+
+def test_entry_key_presence_not_value(spark):
+    from heatgrid.sources.landed import city_dim_from_entries
+    cd = city_dim_from_entries(spark, [
+        {"name": "A", "noaa_station_id": None, "eia_ba_code": "PJM"},   # keys present: processed
+        {"name": "B", "eia_ba_code": "PJM"},                             # key missing: skipped
+        {"noaa_station_id": "x"},                                        # no name: skipped
+    ])
+    assert [r.city for r in clean.valid_cities(cd).collect()] == ["A"]
+    assert [r.city for r in clean.energy_cities(cd).collect()] == ["A"]
+    names = sorted(r.city for r in mst.configured_names(cd).collect())
+    assert names == ["A", "B"]                                           # placeholders still cover B
