@@ -18,6 +18,7 @@ from heatgrid.functions.temperature import (
     temp_bin_order, temp_metric,
 )
 from heatgrid.functions.text import energy_text, pct_text
+from heatgrid.sources.local import local_table
 
 TEMP = "temp_for_analysis"
 MISSING_ENERGY_SIZE = 1000.0  # map marker size when energy is missing (fixed value)
@@ -232,7 +233,7 @@ def with_temp_bins(base: DataFrame) -> DataFrame:
 
 
 def _bin_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(TEMP_BIN_LABELS)), "bin_order int, temp_bin string")
+    return local_table(spark, list(enumerate(TEMP_BIN_LABELS)), "bin_order int, temp_bin string")
 
 
 def usage_heatmap_long(base: DataFrame) -> DataFrame:
@@ -246,7 +247,7 @@ def usage_heatmap_long(base: DataFrame) -> DataFrame:
         .groupBy("bin_order", day_order(F.col("date")).alias("day_order"))
         .agg(F.bround(exact_mean(F.col("energy_mwh")), 0).alias("avg_energy_mwh"))
     )
-    days = spark.createDataFrame(list(enumerate(WEEKDAYS)), "day_order int, day_of_week string")
+    days = local_table(spark, list(enumerate(WEEKDAYS)), "day_order int, day_of_week string")
     grid = _bin_table(spark).crossJoin(F.broadcast(days))  # 42 fixed cells
     return grid.join(cells, ["bin_order", "day_order"], "left").select(
         "bin_order", "temp_bin", "day_order", "day_of_week", "avg_energy_mwh")

@@ -8,7 +8,7 @@ aggregation (at most one row per city-day per task). No window sorts a city.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heatgrid.functions.dates import bad_day, in_range, to_day
@@ -112,6 +112,18 @@ def _fused_daily(raw: DataFrame) -> DataFrame:
     return raw.groupBy("city", to_day(raw, "date").alias("date")).agg(*aggs)
 
 
+def _drop_failed_files(daily: DataFrame) -> DataFrame:
+    """Drop every city (landing file) with a ``_bad`` day, in one pass.
+
+    A window per city over the *aggregated* rows: a city has at most one row
+    per day there, so even a city with a third of all raw readings is a small
+    window partition, and the raw table is not read a second time (an anti
+    join with a derived bad-city list would re-derive the aggregate).
+    """
+    failed = F.max(F.col("_bad").cast("int")).over(Window.partitionBy("city")) == 1
+    return daily.withColumn("_failed", failed).filter(~F.col("_failed")).drop("_failed", "_bad")
+
+
 def bad_weather_cities(fused: DataFrame) -> DataFrame:
     """Cities (landing files) with any corrupt record or unparsable date (Q4)."""
     return fused.filter("_bad").select("city").distinct()
@@ -127,7 +139,7 @@ def weather_daily(raw: DataFrame, city_dim: DataFrame | None = None,
     """
     fused = _fused_daily(weather_in_range(raw, start, end))
     if "_bad" in fused.columns:
-        fused = fused.join(bad_weather_cities(fused), "city", "left_anti")
+        fused = _drop_failed_files(fused)
     daily = fused.select(
         "city", "date",
         c_to_f(F.col("TMAX")).alias("TMAX_F"),
@@ -206,8 +218,7 @@ def energy_daily(raw_energy: DataFrame, city_dim: DataFrame | None = None,
         aggs.append(F.bool_or("_bad").alias("_bad"))
     daily = rec.groupBy("city", "date").agg(*aggs)
     if checks:
-        failed = daily.filter("_bad").select("city").distinct()
-        daily = daily.join(failed, "city", "left_anti").filter(F.col("date").isNotNull()).drop("_bad")
+        daily = _drop_failed_files(daily).filter(F.col("date").isNotNull())
     if city_dim is not None:
         daily = daily.join(energy_cities(city_dim), "city", "left_semi")
     return daily

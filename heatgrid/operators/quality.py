@@ -17,6 +17,7 @@ from heatgrid.functions.dates import to_day
 from heatgrid.functions.text import city_slug, py_float_text
 from heatgrid.operators import clean
 from heatgrid.schemas import QUALITY_COLUMNS
+from heatgrid.sources.local import local_table
 
 WARNING, ERROR = "WARNING", "ERROR"
 # Fixed report texts.
@@ -133,7 +134,7 @@ def q_negative_energy(energy_daily: DataFrame, start=None, end=None) -> DataFram
 def bad_weather_files(raw: DataFrame) -> DataFrame:
     """Cities whose weather landing file has a corrupt record or bad date."""
     if not clean._file_checks_needed(raw):
-        return raw.sparkSession.createDataFrame([], "city string")
+        return local_table(raw.sparkSession, [], "city string")
     return clean.bad_weather_cities(clean._fused_daily(raw))
 
 

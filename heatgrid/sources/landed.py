@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from heatgrid import schemas
 from heatgrid.operators.master import slug_owners
+from heatgrid.sources.local import local_table
 
 _NAME_RE = r"^{src}_(.+)_(\d{{4}}-\d{{2}}-\d{{2}})_to_(\d{{4}}-\d{{2}}-\d{{2}})\.json$"
 
@@ -109,4 +110,4 @@ def city_dim_from_entries(spark: SparkSession, entries: list[dict]) -> DataFrame
                      None if e.get("eia_ba_code") is None else str(e.get("eia_ba_code")),
                      num(e.get("latitude")), num(e.get("longitude")), pos,
                      "name" in e and "noaa_station_id" in e))
-    return spark.createDataFrame(rows, schemas.CITY_DIM_ENTRIES)
+    return local_table(spark, rows, schemas.CITY_DIM_ENTRIES)

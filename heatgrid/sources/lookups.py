@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from heatgrid.sources.local import local_table
+
 # ---- fixed values: city name (lower case) -> BA code
 CITY_TO_BA = {
     'new york': 'NYIS',
@@ -226,15 +228,15 @@ STATE_FIPS = {
 
 
 def city_ba_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(CITY_TO_BA.items()), "city_token string, city_ba string")
+    return local_table(spark, list(CITY_TO_BA.items()), "city_token string, city_ba string")
 
 
 def state_ba_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(STATE_TO_BA.items()), "state_key string, state_ba string")
+    return local_table(spark, list(STATE_TO_BA.items()), "state_key string, state_ba string")
 
 
 def fips_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(STATE_FIPS.items()), "state string, fips string")
+    return local_table(spark, list(STATE_FIPS.items()), "state string, fips string")
 
 
 def values_sql(d: dict, cols: tuple[str, str]) -> str:
