@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from heatgrid.functions.dates import in_range
 from heatgrid.functions.numeric import exact_mean, pct_change, safe_corr, sum_or_zero
 from heatgrid.functions.temperature import (
-    TEMP_BIN_LABELS, WEEKDAYS, day_name, day_order, is_weekend, temp_bin_label,
+    TEMP_BIN_LABELS, WEEKDAYS, day_order, is_weekend, temp_bin_label,
     temp_bin_order, temp_metric,
 )
 from heatgrid.functions.text import energy_text, pct_text
@@ -254,13 +254,17 @@ def usage_heatmap_long(base: DataFrame) -> DataFrame:
 
 
 def usage_heatmap(base: DataFrame) -> DataFrame:
-    """Wide heatmap: one row per bin in fixed order, one column per weekday."""
+    """Wide heatmap: one row per bin in fixed order, one column per weekday.
+
+    One conditional mean per weekday in a single aggregate (the weekday names
+    are fixed), so it is one codegen'd hash aggregate and one shuffle.
+    """
+    dow = day_order(F.col("date"))
+    e = F.col("energy_mwh")
     cells = (
         with_temp_bins(base).filter(F.col("bin_order").isNotNull())
-        .withColumn("day_of_week", day_name(F.col("date")))
         .groupBy("bin_order")
-        .pivot("day_of_week", WEEKDAYS)
-        .agg(F.bround(exact_mean(F.col("energy_mwh")), 0))
+        .agg(*[F.bround(exact_mean(F.when(dow == k, e)), 0).alias(d) for k, d in enumerate(WEEKDAYS)])
     )
     # at most 6 rows (one per bin) by construction: a proven broadcast bound
     return (

@@ -212,3 +212,13 @@ def test_entry_key_presence_not_value(spark):
     assert [r.city for r in clean.energy_cities(cd).collect()] == ["A"]
     names = sorted(r.city for r in mst.configured_names(cd).collect())
     assert names == ["A", "B"]                                           # placeholders still cover B
+
+
+def test_day_names_and_weekend(spark):
+    from heatgrid.functions.temperature import WEEKDAYS, day_name, day_order, is_weekend
+    days = [D(2024, 1, 1) + dt.timedelta(days=k) for k in range(7)]   # Monday .. Sunday
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    rows = df.select(day_name(F.col("d")).alias("n"), day_order(F.col("d")).alias("o"),
+                     is_weekend(F.col("d")).alias("w")).collect()
+    assert [r.n for r in rows] == WEEKDAYS and [r.o for r in rows] == list(range(7))
+    assert [r.w for r in rows] == [False] * 5 + [True] * 2
