@@ -6,15 +6,24 @@ with the data) and returns a lazy DataFrame. Column names equal the oracle's.
 
 from __future__ import annotations
 
+import datetime as _dt
+import os as _os
+import uuid as _uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heatgrid.functions.dates import RunMode
 from heatgrid.functions.temperature import WEEKDAYS
-from heatgrid.operators import analysis, clean, master as mst
+from heatgrid.functions.text import city_slug
+from heatgrid.operators import analysis, clean, master as mst, quality, stations as stn
 from heatgrid.plans.inputs import Inputs
 from heatgrid.plans.oracle import ana_cte, with_ctes
+from heatgrid.plans.refresh import refresh as _refresh, report_from_stage
+from heatgrid.session import ensure_checkpoint_dir as _ckpt_dir
+from heatgrid.sources import landed as _landed, lookups, sinks as _sinks
+from heatgrid.sources.fixtures import STATIONS_AS_OF
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -103,12 +112,6 @@ def _usage_heatmap(i: Inputs) -> DataFrame:
 
 
 # ============================================================ scans and gates
-from heatgrid.functions.dates import RunMode  # noqa: E402
-from heatgrid.functions.text import city_slug  # noqa: E402
-from heatgrid.operators import quality, stations as stn  # noqa: E402
-from heatgrid.sources import lookups  # noqa: E402
-from heatgrid.sources.fixtures import STATIONS_AS_OF  # noqa: E402
-import datetime as _dt  # noqa: E402
 
 CITY_COLS = ["city", "state", "noaa_station_id", "eia_ba_code", "latitude", "longitude"]
 # run mode of the range-filter query: last 730 days up to a fixed as-of date
@@ -275,7 +278,6 @@ def _q_bad_files(i: Inputs) -> DataFrame:
 
 
 def _stage_report(i: Inputs) -> DataFrame:
-    from heatgrid.plans.refresh import report_from_stage
     keys, processed = i.stage()
     return report_from_stage(keys, processed)
 
@@ -580,12 +582,7 @@ def _usage_heatmap_city_max(i: Inputs) -> DataFrame:
 
 
 # ============================================================ end to end through the landing path
-import os as _os  # noqa: E402
-import uuid as _uuid  # noqa: E402
 
-from heatgrid.plans.refresh import refresh as _refresh  # noqa: E402
-from heatgrid.session import ensure_checkpoint_dir as _ckpt_dir  # noqa: E402
-from heatgrid.sources import landed as _landed, sinks as _sinks  # noqa: E402
 
 # run range of the end-to-end refresh: wide enough to hold every fixture date
 REFRESH_RANGE = ("1970-01-01", "2029-12-31")
