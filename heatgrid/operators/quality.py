@@ -204,4 +204,4 @@ def q_freshness(master: DataFrame, as_of) -> DataFrame:
     """Latest date per city and days since it, against ``as_of`` (Q8)."""
     return master.groupBy("city").agg(F.max("date").alias("latest_date")).select(
         "city", "latest_date",
-        F.datediff(F.lit(as_of).cast("date"), F.col("latest_date")).alias("days_since_latest"))
+        F.datediff(F.lit(as_of).cast("date"), F.col("latest_date")).cast("long").alias("days_since_latest"))
