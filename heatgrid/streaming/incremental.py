@@ -73,6 +73,9 @@ def run_scheduled_refresh(spark: SparkSession, weather_root: str, energy_root: s
     ``checkpoint_location`` must be on shared storage (it is the stream's
     progress record); a run with no new files leaves the snapshot as it is.
     """
+    # No rate limit is set on the sources (no maxFilesPerTrigger), so an
+    # availableNow run takes everything landed since the last run as one
+    # batch: the snapshot it writes covers the whole run, as in the reference.
     q = (
         landing_stream(spark, weather_root, energy_root)
         .writeStream
