@@ -3,7 +3,7 @@
 Each view is one lazy DataFrame over the whole master. The master has one
 row per city-day, so every aggregate here runs after map-side partial
 aggregation; single-row results (bounds, global minima) are joined back as
-one-row broadcasts, the only broadcasts with a bound proven by construction.
+scalar subqueries (evaluated once, no join).
 """
 
 from __future__ import annotations
@@ -82,15 +82,16 @@ def kpis(base: DataFrame, master: DataFrame, start=None, end=None) -> DataFrame:
 
     Duration is end - start + 1 of the requested range (defaults: master
     bounds), not the number of observed days. No row when ``base`` is empty.
+    ``master`` is only read when a bound is missing.
     """
     if start is not None and end is not None:
         dur = F.datediff(F.lit(end).cast("date"), F.lit(start).cast("date")) + 1
-        bounds = None
     else:
-        b = date_bounds(master)
-        lo = F.lit(start).cast("date") if start is not None else F.col("min_date")
-        hi = F.lit(end).cast("date") if end is not None else F.col("max_date")
-        bounds = b.select((F.datediff(hi, lo) + 1).alias("duration_days"))
+        # one scalar subquery over the master (evaluated once, no join)
+        b = master.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+        lo = F.lit(start).cast("date") if start is not None else b.getField("lo")
+        hi = F.lit(end).cast("date") if end is not None else b.getField("hi")
+        dur = F.datediff(hi, lo) + 1
     stats = base.agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_distinct("city").alias("n_cities"),
@@ -98,10 +99,7 @@ def kpis(base: DataFrame, master: DataFrame, start=None, end=None) -> DataFrame:
         F.round(F.avg("TMIN_F"), 6).alias("avg_tmin_f"),
         F.round(exact_mean(F.col("energy_mwh")), 6).alias("avg_energy_mwh"),
     ).filter(F.col("_n") > 0)
-    if bounds is None:
-        out = stats.withColumn("duration_days", dur)
-    else:
-        out = stats.crossJoin(F.broadcast(bounds))  # one row by construction
+    out = stats.withColumn("duration_days", dur)
     return out.select("n_cities", F.col("duration_days").cast("int").alias("duration_days"),
                       "avg_tmax_f", "avg_tmin_f", "avg_energy_mwh")
 
@@ -181,13 +179,15 @@ def latest_per_city(base: DataFrame) -> DataFrame:
 
 
 def _geo(latest: DataFrame, prev: DataFrame, city: str | None) -> DataFrame:
-    # colour range over every latest row, before the city filter and F7
-    rng = latest.agg(F.min("energy_mwh").alias("color_min"), F.max("energy_mwh").alias("color_max"))
+    # colour range over every latest row, before the city filter and F7 (A11):
+    # one scalar subquery, evaluated once
+    rng = latest.agg(F.struct(F.min("energy_mwh").alias("lo"), F.max("energy_mwh").alias("hi"))).scalar()
     e, p = F.col("energy_mwh"), F.col("energy_prev_day")
     m = (
         latest.join(prev, "city", "left")
         .withColumn("energy_pct_change", pct_change(e, p))
-        .crossJoin(F.broadcast(rng))  # one row by construction
+        .withColumn("color_min", rng.getField("lo"))
+        .withColumn("color_max", rng.getField("hi"))
     )
     m = select_city(m, city).filter(
         F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col(TEMP).isNotNull())
@@ -208,11 +208,9 @@ def geo_latest(filtered: DataFrame, city: str | None = None) -> DataFrame:
     global date: the minimum over cities of their latest date, minus one.
     """
     latest = latest_per_city(filtered)
-    prev_day = latest.agg((F.min("date") - F.expr("INTERVAL 1 DAY")).cast("date").alias("prev_date"))
-    prev = (
-        filtered.join(F.broadcast(prev_day), F.col("date") == F.col("prev_date"))
-        .select("city", F.col("energy_mwh").alias("energy_prev_day"))
-    )
+    prev_day = latest.agg(F.date_sub(F.min("date"), 1)).scalar()  # scalar subquery
+    prev = filtered.filter(F.col("date") == prev_day).select(
+        "city", F.col("energy_mwh").alias("energy_prev_day"))
     return _geo(latest, prev, city)
 
 
@@ -247,8 +245,11 @@ def usage_heatmap_long(base: DataFrame) -> DataFrame:
         .groupBy("bin_order", day_order(F.col("date")).alias("day_order"))
         .agg(F.bround(exact_mean(F.col("energy_mwh")), 0).alias("avg_energy_mwh"))
     )
-    days = local_table(spark, list(enumerate(WEEKDAYS)), "day_order int, day_of_week string")
-    grid = _bin_table(spark).crossJoin(F.broadcast(days))  # 42 fixed cells
+    grid = local_table(
+        spark,
+        [(b, bl, d, dn) for b, bl in enumerate(TEMP_BIN_LABELS) for d, dn in enumerate(WEEKDAYS)],
+        "bin_order int, temp_bin string, day_order int, day_of_week string",
+    )  # the 42 fixed cells
     return grid.join(cells, ["bin_order", "day_order"], "left").select(
         "bin_order", "temp_bin", "day_order", "day_of_week", "avg_energy_mwh")
 

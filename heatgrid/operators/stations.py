@@ -76,14 +76,11 @@ def city_dim_append(city_dim: DataFrame, chosen: DataFrame) -> DataFrame:
     configuration positions after every existing one, in the order given
     (monotonic ids: unique and increasing in input order, no global sort).
     """
-    top = city_dim.agg(F.coalesce(F.max("cfg_pos"), F.lit(-1)).alias("_top"))
+    top = city_dim.agg(F.coalesce(F.max("cfg_pos"), F.lit(-1))).scalar()  # scalar subquery
     added = (
         chosen.select(F.col("name").alias("city"), "state", "noaa_station_id", "eia_ba_code",
                       "latitude", "longitude")
-        .withColumn("_seq", F.monotonically_increasing_id())
-        .crossJoin(F.broadcast(top))  # one row by construction
-        .withColumn("cfg_pos", F.col("_top") + 1 + F.col("_seq"))
-        .drop("_top", "_seq")
+        .withColumn("cfg_pos", top + 1 + F.monotonically_increasing_id())
     )
     if "entry_complete" in city_dim.columns:
         added = added.withColumn("entry_complete", F.lit(True))
@@ -100,6 +97,8 @@ def city_dim_cast(city_dim_text: DataFrame) -> DataFrame:
     lon = F.col("longitude").try_cast("double")
     ok_row = ((F.col("latitude").isNull() | lat.isNotNull())
               & (F.col("longitude").isNull() | lon.isNotNull()))
-    cast = city_dim_text.withColumn("_ok", ok_row).withColumn("latitude", lat).withColumn("longitude", lon)
-    flag = cast.agg(F.coalesce(F.bool_and("_ok"), F.lit(True)).alias("edit_valid"))
-    return cast.drop("_ok").crossJoin(F.broadcast(flag))  # one row by construction
+    flag = city_dim_text.agg(F.coalesce(F.bool_and(ok_row), F.lit(True))).scalar()  # scalar subquery
+    return (
+        city_dim_text.withColumn("latitude", lat).withColumn("longitude", lon)
+        .withColumn("edit_valid", flag)
+    )
