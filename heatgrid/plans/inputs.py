@@ -6,7 +6,8 @@ given tables, so every query's work grows with the data it reads.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import functools
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,34 +16,57 @@ from heatgrid.session import ensure_checkpoint_dir
 from heatgrid.sources import fixtures
 
 
+def _memo(fn):
+    """Build each shared input once per query: one DataFrame object is reused
+    wherever the plan needs it (fewer Py4J round trips and table resolutions
+    while building, identical subtrees for exchange reuse). Materializing
+    inputs (checkpoints) are not memoized."""
+    @functools.wraps(fn)
+    def wrapper(self, *args, **kwargs):
+        key = (fn.__name__, args, tuple(sorted(kwargs.items())))
+        if key not in self._cache:
+            self._cache[key] = fn(self, *args, **kwargs)
+        return self._cache[key]
+    return wrapper
+
+
 @dataclass
 class Inputs:
     spark: SparkSession
     sf_dir: str
+    _cache: dict = field(default_factory=dict, repr=False)
 
     # landing tables
+    @_memo
     def city_dim(self) -> DataFrame:
         return fixtures.city_dim(self.spark, self.sf_dir)
 
+    @_memo
     def raw_weather(self) -> DataFrame:
         return fixtures.raw_weather(self.spark, self.sf_dir)
 
+    @_memo
     def raw_energy(self) -> DataFrame:
         return fixtures.raw_energy(self.spark, self.sf_dir)
 
+    @_memo
     def stations(self) -> DataFrame:
         return fixtures.stations(self.spark, self.sf_dir)
 
     # refresh outputs
+    @_memo
     def weather_daily(self) -> DataFrame:
         return clean.weather_daily(self.raw_weather(), self.city_dim())
 
+    @_memo
     def energy_daily(self) -> DataFrame:
         return clean.energy_daily(self.raw_energy(), self.city_dim())
 
+    @_memo
     def merged(self) -> DataFrame:
         return mst.weather_energy_outer(self.weather_daily(), self.energy_daily())
 
+    @_memo
     def master(self) -> DataFrame:
         return mst.master(self.merged(), self.city_dim())
 
