@@ -33,3 +33,15 @@ def test_each_run_replaces_snapshot_with_new_files(spark, scratch):
     run_scheduled_refresh(spark, os.path.join(land, "noaa"), os.path.join(land, "eia"), cd, out, ckpt)
     m = {(r.city, r.date): (r.TMIN_F, r.energy_mwh) for r in landed.read_master(spark, os.path.join(out, "master")).collect()}
     assert m == {("Chicago", dt.date(2024, 1, 2)): (33.8, 7.0), ("New York", None): (None, None)}
+
+
+def test_run_without_new_files_keeps_snapshot(spark, scratch):
+    cd = landed.city_dim_from_entries(spark, CONFIG)
+    land, out, ckpt = (os.path.join(scratch, x) for x in ("landing", "out", "ckpt"))
+    _land(spark, land, [("Chicago", "2024-02-01", "TMAX", 0.0, 1)], [("Chicago", "2024-02-01", "5")], "1")
+    args = (spark, os.path.join(land, "noaa"), os.path.join(land, "eia"), cd, out, ckpt)
+    run_scheduled_refresh(*args)
+    first = sorted(tuple(r) for r in landed.read_master(spark, os.path.join(out, "master")).collect())
+    run_scheduled_refresh(*args)                       # nothing new landed
+    again = sorted(tuple(r) for r in landed.read_master(spark, os.path.join(out, "master")).collect())
+    assert first == again and len(first) == 2
