@@ -41,7 +41,9 @@ def test_run_without_new_files_keeps_snapshot(spark, scratch):
     _land(spark, land, [("Chicago", "2024-02-01", "TMAX", 0.0, 1)], [("Chicago", "2024-02-01", "5")], "1")
     args = (spark, os.path.join(land, "noaa"), os.path.join(land, "eia"), cd, out, ckpt)
     run_scheduled_refresh(*args)
-    first = sorted(tuple(r) for r in landed.read_master(spark, os.path.join(out, "master")).collect())
+    def snapshot():
+        return sorted((tuple(r) for r in landed.read_master(spark, os.path.join(out, "master")).collect()), key=repr)
+    first = snapshot()
     run_scheduled_refresh(*args)                       # nothing new landed
-    again = sorted(tuple(r) for r in landed.read_master(spark, os.path.join(out, "master")).collect())
+    again = snapshot()
     assert first == again and len(first) == 2
