@@ -48,7 +48,10 @@ def get_session(master: str | None = None, app_name: str = "heatgrid",
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("WARN")
+    try:
+        spark.sparkContext.setLogLevel("WARN")
+    except Exception:  # Spark Connect
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -59,7 +62,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster that setting names shared storage and is used as is. Only
     when it is unset (local tests) a scratch folder is created for it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current

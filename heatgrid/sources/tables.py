@@ -19,8 +19,15 @@ from heatgrid.session import table_path
 _SCHEMAS: dict[tuple[str, str], T.StructType] = {}
 
 
+def _session_key(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect sessions expose no SparkContext
+        return str(id(spark))
+
+
 def table_schema(spark: SparkSession, path: str) -> T.StructType:
-    key = (spark.sparkContext.applicationId, path)
+    key = (_session_key(spark), path)
     if key not in _SCHEMAS:
         _SCHEMAS[key] = spark.read.parquet(path).schema
     return _SCHEMAS[key]
