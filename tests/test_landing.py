@@ -129,3 +129,19 @@ def test_range_filter_keeps_bad_rows_for_file_check(spark):
     assert sorted(r.date for r in kept.collect()) == ["2024-01-01", "garbage"]
     assert clean.weather_daily(kept).count() == 0                       # A's file failed as a whole
     assert clean.weather_daily(raw.filter(F.col("city") == "B")).count() == 1
+
+
+def test_slug_collision_through_landing(spark, scratch):
+    # two configured names share the file noaa_new_york_...: the later one owns it,
+    # the earlier becomes a placeholder
+    cfg = [{"name": "New York", "noaa_station_id": "a", "eia_ba_code": "NYIS"},
+           {"name": "new york", "noaa_station_id": "b", "eia_ba_code": "NYIS"}]
+    raw = os.path.join(scratch, "raw")
+    os.makedirs(raw)
+    _write(raw, "noaa_new_york_2024-01-01_to_2024-01-01.json",
+           [{"date": "2024-01-01T00:00:00", "datatype": "TMAX", "value": 0.0}])
+    cd = landed.city_dim_from_entries(spark, cfg)
+    out = os.path.join(scratch, "out")
+    paths = refresh(spark, raw, raw, cd, out, RunMode(fetch_range=("2024-01-01", "2024-01-01")), multi_line=True)
+    rows = {(r.city, r.date, r.TMAX_F) for r in landed.read_master(spark, paths["master"]).collect()}
+    assert rows == {("new york", dt.date(2024, 1, 1), 32.0), ("New York", None, None)}

@@ -222,3 +222,41 @@ def test_day_names_and_weekend(spark):
                      is_weekend(F.col("d")).alias("w")).collect()
     assert [r.n for r in rows] == WEEKDAYS and [r.o for r in rows] == list(range(7))
     assert [r.w for r in rows] == [False] * 5 + [True] * 2
+
+
+def test_coordinate_edit_rejected_as_a_whole(spark):
+    text = spark.createDataFrame([("A", "40.5", "-70"), ("B", None, "x1"), ("C", "1", "2")],
+                                 "city string, latitude string, longitude string")
+    rows = stn.city_dim_cast(text).collect()
+    assert all(r.edit_valid is False for r in rows)
+    assert [(r.city, r.latitude, r.longitude) for r in rows if r.city == "A"] == [("A", 40.5, -70.0)]
+    ok = stn.city_dim_cast(text.filter("city <> 'B'")).collect()
+    assert all(r.edit_valid for r in ok)
+
+
+def test_date_range_must_be_ordered(spark):
+    m = spark.createDataFrame([(D(2024, 1, 1), 50.0, 40.0, 1.0, "A")],
+                              "date date, TMAX_F double, TMIN_F double, energy_mwh double, city string")
+    cd = city_dim(spark, [("A", "S", "st", "PJM", 1.0, 2.0)])
+    with pytest.raises(ValueError):
+        analysis.analysis_base(m, cd, "2024-02-01", "2024-01-01")
+    assert analysis.analysis_base(m, cd, "2024-01-01", "2024-01-01").count() == 1
+
+
+def test_station_state_needs_fips(spark):
+    st = spark.createDataFrame([("GHCND:USW1", "X", 0.0, 0.0, D(2024, 1, 1), "Texas"),
+                                ("GHCND:USW2", "Y", 0.0, 0.0, D(2024, 1, 1), "Atlantis")],
+                               "id string, name string, latitude double, longitude double, maxdate date, state string")
+    assert [r.fips for r in stn.stations_by_state(st, "Texas").collect()] == ["48"]
+    assert stn.stations_by_state(st, "Atlantis").count() == 0
+
+
+def test_append_keeps_duplicates_and_orders_after_config(spark):
+    cd = city_dim(spark, [("A", "S", "st", "PJM", 1.0, 2.0)])
+    chosen = spark.createDataFrame([("A", "S", "GHCND:USW9", "PJM", 3.0, 4.0)],
+                                   "name string, state string, noaa_station_id string, eia_ba_code string, "
+                                   "latitude double, longitude double")
+    out = stn.city_dim_append(cd, chosen)
+    assert out.count() == 2                                              # no dedup
+    coords = {r.city: (r.latitude, r.longitude) for r in analysis.coordinates(out).collect()}
+    assert coords == {"A": (3.0, 4.0)}                                   # appended entry wins
