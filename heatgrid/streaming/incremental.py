@@ -38,17 +38,21 @@ def landing_stream(spark: SparkSession, weather_root: str, energy_root: str) ->
             .json(root)
             .withColumn("source", F.lit(name))
         )
-    w = src(weather_root, schemas.RAW_WEATHER, "noaa")
-    e = src(energy_root, schemas.RAW_ENERGY, "eia")
+    # the sources' ``value`` types differ (double reading, text energy value):
+    # keep them in separate columns so the union casts nothing
+    w = src(weather_root, schemas.RAW_WEATHER, "noaa").withColumnRenamed("value", "w_value")
+    e = src(energy_root, schemas.RAW_ENERGY, "eia").withColumnRenamed("value", "e_value")
     return w.unionByName(e, allowMissingColumns=True)
 
 
 def _split(batch: DataFrame, city_dim: DataFrame):
     owners = mst.slug_owners(city_dim)
     rows = batch.join(owners, "slug").withColumn("pos", F.coalesce("pos", F.monotonically_increasing_id().cast("decimal(38,0)")))
-    w = rows.filter(F.col("source") == "noaa").select("city", "date", "datatype", "value", "pos", "_corrupt")
-    e = rows.filter(F.col("source") == "eia").select("city", "period", "value", "_corrupt")
-    return w, e.withColumn("value", F.col("value").cast("string"))
+    w = rows.filter(F.col("source") == "noaa").select(
+        "city", "date", "datatype", F.col("w_value").alias("value"), "pos", "_corrupt")
+    e = rows.filter(F.col("source") == "eia").select(
+        "city", "period", F.col("e_value").alias("value"), "_corrupt")
+    return w, e
 
 
 def refresh_batch(batch: DataFrame, city_dim: DataFrame, out_dir: str) -> None:
