@@ -129,12 +129,6 @@ def _energy_raw(i: Inputs) -> DataFrame:
     return i.raw_energy()
 
 
-@register("city_dim_valid", with_ctes(
-    f"select {', '.join(CITY_COLS)} from city_dim where city is not null and noaa_station_id is not null"))
-def _city_dim_valid(i: Inputs) -> DataFrame:
-    return clean.valid_cities(i.city_dim()).select(*CITY_COLS)
-
-
 @register("energy_ba_gate", with_ctes(
     "select city, period, type, value from raw_energy where city in (select city from energy_cities)"))
 def _energy_ba_gate(i: Inputs) -> DataFrame:
@@ -178,33 +172,6 @@ def _missing_cities(i: Inputs) -> DataFrame:
     return mst.missing_cities(i.city_dim(), i.merged())
 
 
-@register("city_slug", with_ctes("""
-select c.city, replace(lower(c.city), ' ', '_') as slug,
-  c.cfg_pos = max(c.cfg_pos) over (partition by replace(lower(c.city), ' ', '_')) as owns_file
-from city_dim c where c.city is not null"""))
-def _city_slug(i: Inputs) -> DataFrame:
-    cd = i.city_dim().filter(F.col("city").isNotNull())
-    owners = mst.slug_owners(cd).select("slug", F.col("city").alias("_owner"))
-    return (
-        cd.select("city", city_slug(F.col("city")).alias("slug"))
-        .join(owners, "slug")
-        .select("city", "slug", (F.col("city") == F.col("_owner")).alias("owns_file"))
-    )
-
-
-@register("city_dim_cast", with_ctes("""
-select city, try_cast(cast(latitude as varchar) as double) as latitude,
-  try_cast(cast(longitude as varchar) as double) as longitude,
-  coalesce(bool_and((latitude is null or try_cast(cast(latitude as varchar) as double) is not null)
-               and (longitude is null or try_cast(cast(longitude as varchar) as double) is not null)) over (), true) as edit_valid
-from city_dim"""))
-def _city_dim_cast(i: Inputs) -> DataFrame:
-    text = i.city_dim().select(
-        "city", F.col("latitude").cast("string").alias("latitude"),
-        F.col("longitude").cast("string").alias("longitude"))
-    return stn.city_dim_cast(text).select("city", "latitude", "longitude", "edit_valid")
-
-
 # ============================================================ quality
 def _q_sql(body: str) -> str:
     return with_ctes(body)
@@ -552,8 +519,58 @@ def _station_ba_map(i: Inputs) -> DataFrame:
     f"select {', '.join(CITY_COLS)} from city_dim union all "
     "select name as city, state, noaa_station_id, eia_ba_code, latitude, longitude from mapped"))
 def _city_dim_append(i: Inputs) -> DataFrame:
-    found = stn.station_ba_map(stn.station_search(i.stations(), STATIONS_AS_OF))
-    return stn.city_dim_append(i.city_dim(), found).select(*CITY_COLS)
+    return i.city_list().select(*CITY_COLS)
+
+
+# ============================================================ the appended city list (onboarding -> save -> refresh)
+# Config entries plus the stations picked by the search (U5): the city list a
+# refresh validates (S4), slugs (P7) and whose coordinates a save casts.
+# It grows with the station catalogue.
+_APPENDED_SQL = f"""
+appended as (
+  select {', '.join(CITY_COLS)}, cfg_pos from city_dim
+  union all
+  select name as city, state, noaa_station_id, eia_ba_code, latitude, longitude,
+         1000000 + row_number() over (order by noaa_station_id) as cfg_pos
+  from mapped)"""
+
+
+def _appended_sql(body: str) -> str:
+    return _st_sql("," + _APPENDED_SQL + "\n" + body)
+
+
+@register("city_dim_valid", _appended_sql(
+    f"select {', '.join(CITY_COLS)} from appended where city is not null and noaa_station_id is not null"))
+def _city_dim_valid(i: Inputs) -> DataFrame:
+    return clean.valid_cities(i.city_list()).select(*CITY_COLS)
+
+
+@register("city_slug", _appended_sql("""
+select city, replace(lower(city), ' ', '_') as slug,
+  city = arg_max(city, cfg_pos) over (partition by replace(lower(city), ' ', '_')) as owns_file
+from appended where city is not null"""))
+def _city_slug(i: Inputs) -> DataFrame:
+    cd = i.city_list().filter(F.col("city").isNotNull())
+    owners = mst.slug_owners(cd).select("slug", F.col("city").alias("_owner"))
+    return (
+        cd.select("city", city_slug(F.col("city")).alias("slug"))
+        .join(owners, "slug")
+        .select("city", "slug", (F.col("city") == F.col("_owner")).alias("owns_file"))
+    )
+
+
+@register("city_dim_cast", _appended_sql("""
+select city, try_cast(cast(latitude as varchar) as double) as latitude,
+  try_cast(cast(longitude as varchar) as double) as longitude,
+  coalesce(bool_and((latitude is null or try_cast(cast(latitude as varchar) as double) is not null)
+               and (longitude is null or try_cast(cast(longitude as varchar) as double) is not null)) over (), true) as edit_valid
+from appended"""))
+def _city_dim_cast(i: Inputs) -> DataFrame:
+    text = i.city_list().select(
+        "city", F.col("latitude").cast("string").alias("latitude"),
+        F.col("longitude").cast("string").alias("longitude"))
+    return stn.city_dim_cast(text).select("city", "latitude", "longitude", "edit_valid")
+
 
 
 # ============================================================ selection variants

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heatgrid.operators import analysis, clean, master as mst
+from heatgrid.operators import analysis, clean, master as mst, stations as stn
 from heatgrid.session import ensure_checkpoint_dir
 from heatgrid.sources import fixtures
 
@@ -53,6 +53,12 @@ class Inputs:
     def stations(self) -> DataFrame:
         return fixtures.stations(self.spark, self.sf_dir)
 
+    @_memo
+    def city_list(self) -> DataFrame:
+        """Configured cities plus every station the search picks (U5), with its BA."""
+        found = stn.station_ba_map(stn.station_search(self.stations(), fixtures.STATIONS_AS_OF))
+        return stn.city_dim_append(self.city_dim(), found)
+
     # refresh outputs
     @_memo
     def weather_daily(self) -> DataFrame:
