@@ -34,6 +34,7 @@ def _memo(fn):
 class Inputs:
     spark: SparkSession
     sf_dir: str
+    published_fixture: bool = False   # FIXTURES.md's documented weather variant (tests only)
     _cache: dict = field(default_factory=dict, repr=False)
 
     # landing tables
@@ -43,7 +44,7 @@ class Inputs:
 
     @_memo
     def raw_weather(self) -> DataFrame:
-        return fixtures.raw_weather(self.spark, self.sf_dir)
+        return fixtures.raw_weather(self.spark, self.sf_dir, all_flags=not self.published_fixture)
 
     @_memo
     def raw_energy(self) -> DataFrame:

@@ -13,7 +13,7 @@ from heatgrid.sources.fixtures import STATIONS_AS_OF
 
 @pytest.fixture(scope="module")
 def inp(spark):
-    return Inputs(spark, SF01)
+    return Inputs(spark, SF01, published_fixture=True)
 
 
 def test_refresh_counts(inp):
