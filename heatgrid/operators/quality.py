@@ -145,22 +145,9 @@ def q_bad_files(raw: DataFrame, start=None, end=None) -> DataFrame:
                    F.lit(PIVOT_MESSAGE), F.lit("{}"))
 
 
-def quality_report(raw_weather: DataFrame, weather_daily: DataFrame, energy_daily: DataFrame,
-                   start=None, end=None) -> DataFrame:
-    """All warnings of a refresh (U4). A failed weather file reports only Q4."""
-    raw_ok = raw_weather
-    if clean._file_checks_needed(raw_weather):
-        raw_ok = raw_weather.join(bad_weather_files(raw_weather), "city", "left_anti")
-    parts = [
-        q_duplicates(raw_ok, start, end),
-        q_temp_logic(weather_daily, start, end),
-        q_bad_files(raw_weather, start, end),
-        q_negative_energy(energy_daily, start, end),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*QUALITY_COLUMNS)
+# The full report of a refresh (U4) is ``plans.refresh.report_from_stage``: it
+# reads the refresh's stage table once for Q1 and Q4 and the processed rows
+# once for Q2 and Q3.
 
 
 def quality_view(report: DataFrame) -> DataFrame:

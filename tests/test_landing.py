@@ -145,3 +145,19 @@ def test_slug_collision_through_landing(spark, scratch):
     paths = refresh(spark, raw, raw, cd, out, RunMode(fetch_range=("2024-01-01", "2024-01-01")), multi_line=True)
     rows = {(r.city, r.date, r.TMAX_F) for r in landed.read_master(spark, paths["master"]).collect()}
     assert rows == {("new york", dt.date(2024, 1, 1), 32.0), ("New York", None, None)}
+
+
+def test_station_catalogue_round_trip(spark, scratch):
+    from heatgrid.operators import stations
+    path = os.path.join(scratch, "stations")
+    os.makedirs(path)
+    _write(path, "part-0.json", "\n".join(json.dumps(r) for r in [
+        {"id": "GHCND:USW00012960", "name": "HOUSTON INTERCONTINENTAL AIRPORT, TX US", "latitude": 29.98,
+         "longitude": -95.36, "maxdate": "2024-05-30", "state": "Texas"},
+        {"id": "GHCND:USC00414300", "name": "HOUSTON WESTBURY, TX US", "latitude": 29.66,
+         "longitude": -95.5, "maxdate": "2024-05-30", "state": "Texas"},
+    ]))
+    st = landed.read_stations(spark, path)
+    found = stations.station_ba_map(stations.station_search(st, "2024-06-01")).collect()
+    assert [(r.noaa_station_id, r.eia_ba_code, r.match_type) for r in found] == [
+        ("GHCND:USW00012960", "ERCO", "City Match")]
