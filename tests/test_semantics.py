@@ -260,3 +260,19 @@ def test_append_keeps_duplicates_and_orders_after_config(spark):
     assert out.count() == 2                                              # no dedup
     coords = {r.city: (r.latitude, r.longitude) for r in analysis.coordinates(out).collect()}
     assert coords == {"A": (3.0, 4.0)}                                   # appended entry wins
+
+
+def test_map_texts_for_zero_previous_day(spark):
+    rows = [
+        (D(2024, 1, 9), 50.0, 40.0, 0.0, "A", 1.0, 1.0, 45.0),
+        (D(2024, 1, 10), 50.0, 40.0, 1500.5, "A", 1.0, 1.0, 45.0),
+        (D(2024, 1, 9), 50.0, 40.0, 0.0, "B", 2.0, 2.0, 45.0),
+        (D(2024, 1, 10), 50.0, 40.0, None, "B", 2.0, 2.0, 45.0),
+    ]
+    base = spark.createDataFrame(rows, "date date, TMAX_F double, TMIN_F double, energy_mwh double, city string, "
+                                       "latitude double, longitude double, temp_for_analysis double")
+    g = {r.city: r for r in analysis.geo_latest(base).collect()}
+    assert g["A"].hover_pct_change_text == "+inf% vs yesterday" and g["A"].hover_energy_text == "1,500 MWh"
+    assert g["B"].energy_pct_change is None and g["B"].hover_pct_change_text == "No prior day data"
+    assert g["B"].hover_energy_text == "Energy data not available" and g["B"].size_for_map == 1000.0
+    assert len(analysis.geo_latest(base, city="A").collect()) == 1
