@@ -122,7 +122,7 @@ def _compare(threshold: float, tables: int, probes: int):
                 np.add.at(counts, j, copies[i])
                 edges.append(np.stack([i, j], 1))
         out = [(int(cid[i]), None, int(counts[i])) for i in np.flatnonzero(counts)]
-        return out + [(int(cid[i]), int(cid[j]), 0) for i, j in _forest(edges, len(cid))]
+        return out + [(int(cid[i]), int(cid[j]), 0) for i, j in shared.forest(edges, len(cid))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
@@ -177,22 +177,6 @@ def _first(a: np.ndarray, b: np.ndarray, table: int, code: int) -> np.ndarray:
     return first & (place == code)
 
 
-def _forest(edges: list[np.ndarray], n: int) -> list[tuple[int, int]]:
-    """Links between each member and the first of its component."""
-    label = np.arange(n)
-    pairs = np.concatenate(edges) if edges else np.zeros((0, 2), np.int64)
-    while len(pairs):
-        before = label.copy()
-        low = np.minimum(label[pairs[:, 0]], label[pairs[:, 1]])
-        for side in (0, 1):
-            np.minimum.at(label, pairs[:, side], low)
-            np.minimum.at(label, before[pairs[:, side]], low)
-        label = label[label]
-        if (label == before).all():
-            break
-    return [(int(label[i]), int(i)) for i in np.flatnonzero(label != np.arange(n))]
-
-
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, tables: int = TABLES, functions: int = FUNCTIONS,
                     probes: int = PROBES, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding, label): vec_id, n_links, component_id, kept.

@@ -17,10 +17,14 @@ Steps, each a Spark job:
    elsewhere. Documents with enough keys of their own for a whole prefix have
    no partner and end here;
 3. the classes left exchange their keys once more, and get prefixes and postings;
-4. candidates: in rounds, a document meets one or two hubs of its postings that
-   are of another component, so a group of n copies takes about n checks and
-   not n squared. Pairs of different components that still share a posting are
-   then all checked, so no link between components is lost.
+4. candidates: in rounds, a document meets up to ``HUBS`` hubs of its postings
+   that are of another component, those that share most postings with it first,
+   so a group of n copies takes about n checks and not n squared. Pairs of
+   different components that still share a posting are then all checked, so no
+   link between components is lost: a short posting's as rows, a long one's as
+   matrix products of its blocks, which write links only. A shared key counts only if the places of
+   the key in both orders leave room for enough common keys behind it
+   (positional filter; a pair that links passes it at its first common key).
 """
 
 from __future__ import annotations
@@ -29,14 +33,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from heatgrid.llm import shared, words
 from heatgrid.llm.words import U, mix, pack48, unpack48
 
-RANGE_BYTES = 16 << 20      # text whose keys meet in one task of the frequency exchange
-ROUNDS = 6                  # hub rounds at most, before all other pairs are checked
+RANGE_BYTES = 24 << 20      # text whose keys meet in one task of the frequency exchange
+RANGE_KEYS = 3 << 20        # keys that meet in one task of the second exchange
+ROUNDS = 4                  # hub rounds at most, before all other pairs are checked
+SEEDS, HUBS = 3, 4          # hubs per posting and round: 2 * SEEDS; checks per document and round
+LONG = 32                   # rows of a posting, from which on its pairs are compared in blocks
+BLOCK = 512                 # its rows per block
 ORDERS = 3
 _SEEDS = [0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89]
 
@@ -145,9 +153,9 @@ def _prefixes(percent: int, orders: int):
                     continue
                 level = np.log2(df).astype(np.int64)
                 prefixes = []
-                for k in range(orders):
+                for k in range(orders):     # each in its order
                     rank = np.lexsort((mix(keys ^ U(_SEEDS[k % 4] + k)), df if k == 0 else level))
-                    prefixes.append(pack48(np.sort(keys[rank[:first - own]])))
+                    prefixes.append(pack48(keys[rank[:first - own]]))
                 rows.append((doc, n, pack48(np.sort(keys)), prefixes))
             cols = list(zip(*rows)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, schema)], schema=schema)
@@ -159,9 +167,11 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = [unpack48(p) for p in batch.column(2).to_pylist()]
         size = np.array([len(k) for k in keys], np.int64)
         flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(flat), *(pa.array(np.repeat(batch.column(c).to_numpy(), size)) for c in (0, 1))],
-            names=["key", "doc", "n"])
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+        doc, n, own = (np.repeat(batch.column(c).to_numpy(), size) for c in (0, 1, 3))
+        # room: the key itself and all keys behind it; the document's own keys come first
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, (flat, doc, n, n - own - place))),
+                                         names=["key", "doc", "n", "room"])
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -184,6 +194,46 @@ def _verify(percent: int):
     return run
 
 
+def _overlaps(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of all pairwise intersections of arrays of distinct keys."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = times > 1
+    row, column = row[often[column]], (np.cumsum(often) - 1)[column[often[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    for k in range(0, int(often.sum()), width):
+        a, b = np.searchsorted(column, (k, k + width))
+        part = np.zeros((len(sets), width), np.float32)
+        part[row[a:b], column[a:b] - k] = 1
+        total += part @ part.T
+    return total.astype(np.int64)
+
+
+def _compare_blocks(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        doc, comp, n, room, block = (table.column(c).to_numpy() for c in ("doc", "comp", "n", "room", "block"))
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        open_ = comp[:, None] < comp[None]      # either order of a pair is enough
+        if low != high:
+            open_ &= block[:, None] != block[None]
+        size = n[:, None] + n[None]
+        open_ &= np.minimum(room[:, None], room[None]) * (100 + percent) >= size * percent
+        prefixes = table.column("prefixes").to_pylist()
+        for k in range(1, len(prefixes[0])):
+            if open_.any():
+                open_ &= _overlaps([unpack48(p[k]) for p in prefixes]) > 0
+        edges = []
+        if open_.any():
+            both = _overlaps([unpack48(k) for k in table.column("keys").to_pylist()])
+            edges = [np.stack(np.nonzero(open_ & (100 * both >= percent * (size - both))), 1)]
+        links = shared.forest(edges, len(doc))
+        return pa.table({"a": pa.array([doc[i] for i, _ in links], pa.int64()),
+                         "b": pa.array([doc[j] for _, j in links], pa.int64())})
+    return run
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"),
                                  F.col("keys").alias(f"k{x}"), F.col("prefixes").alias(f"p{x}"))
@@ -224,51 +274,65 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, orders: i
                       .filter(F.col("n_shingles") - F.col("shared") < cut).select("doc_id", *sig))
     texts = (docs.join(left, "doc_id").select("doc_id", "text", "sig_a", "sig_b", "n_shingles")
              .dropDuplicates(["doc_id", "text"]))
-    answered = (texts.mapInArrow(_send(n, ranges, True), _BLOCK_SQL)
+    keys = left.agg(F.sum("n_shingles")).first()[0] or 0
+    answered = (texts.mapInArrow(_send(n, max(1, -(-keys // RANGE_KEYS)), True), _BLOCK_SQL)
                 .groupBy("range").applyInArrow(_shared_keys, "doc_id long, keys binary, dfs binary")
                 .groupBy("doc_id").agg(F.collect_list(F.struct("keys", "dfs")).alias("parts")))
     sets = stage.keep("sets", answered.join(left.select("doc_id", F.col("n_shingles").alias("n")), "doc_id")
                       .select("doc_id", "n", "parts")
                       .mapInArrow(_prefixes(percent, orders),
                                   "doc_id long, n long, keys binary, prefixes array<binary>"))
-    posts = stage.keep("posts", sets.select("doc_id", "n", F.col("prefixes")[0])
-                       .mapInArrow(_postings, "key long, doc long, n long"))
-
-    similar = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    links, comp = None, None
-    for r in range(ROUNDS):
+    own = F.col("n") - F.octet_length("keys") / 6
+    posts = (sets.select("doc_id", "n", F.col("prefixes")[0], own.cast("long"))
+             .mapInArrow(_postings, "key long, doc long, n long, room long"))
+    posts = stage.keep("posts", _roomy(stage.keep("all_posts", posts), percent))
+
+    similar = ((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+               & (F.least("ra", "rb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent))
+
+    def all_pairs(known: DataFrame) -> DataFrame:
+        known = _roomy(known, percent).join(known.groupBy("key").agg(F.count("*").alias("rows")), "key")
+        a, b = (known.filter(F.col("rows") < LONG)
+                .select("key", F.col("doc").alias(x), F.col("comp").alias(f"c{x}"), F.col("n").alias(f"n{x}"),
+                        F.col("room").alias(f"r{x}")) for x in "ab")
+        rest = a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & similar)
+        blocks = F.ceil(F.col("rows") / BLOCK).cast("int")
+        spread = (known.filter(F.col("rows") >= LONG).withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int"))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+                  .select("key", "doc", "comp", "n", "room", "block", F.least("block", "other").alias("low"),
+                          F.greatest("block", "other").alias("high")))
+        held = sets.select(F.col("doc_id").alias("doc"), "keys", "prefixes")
+        long = (spread.join(held, "doc").groupBy("key", "low", "high")
+                .applyInArrow(_compare_blocks(percent), "a long, b long"))
+        return stage.keep("rest", _links(rest.select("a", "b").distinct(), sets, percent).unionByName(long))
+
+    links, comp, before = None, None, float("inf")
+    for r in range(ROUNDS + 1):
         known = _labelled(posts, comp)
         if r:
             known = stage.keep(f"open{r}", _open(known))
             n_rows, n_pairs = known.agg(F.count("*"), F.sum("cross")).first()
             if not n_rows:
                 break
-            if n_pairs <= 4 * n_rows:      # few pairs are left: all of them
-                a, b = (known.select("key", F.col("doc").alias(x), F.col("comp").alias(f"c{x}"),
-                                     F.col("n").alias(f"n{x}")) for x in "ab")
-                rest = a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & similar)
-                links = _more(links, stage.keep("rest", _links(rest.select("a", "b").distinct(), sets, percent)))
+            # few pairs are left, or rounds no longer help: all that pass the positional filter
+            if n_pairs <= 4 * n_rows or r == ROUNDS or n_pairs > 0.7 * before:
+                links = _more(links, all_pairs(known))
                 comp = shared.components(stage, f"comp{r}", links)
                 break
-        rank = F.struct(F.xxhash64("doc", F.lit(r)).alias("h"), F.col("doc").alias("hub"),
-                        F.col("comp").alias("hc"), F.col("n").alias("hn"))
-        hubs = known.groupBy("key").agg(F.min(rank).alias("lo"), F.max(rank).alias("hi"))
-        hub = F.when(F.col("comp") != F.col("lo.hc"), F.col("lo")).when(F.col("comp") != F.col("hi.hc"), F.col("hi"))
-        met = known.join(hubs, "key").select("doc", "n", hub.alias("h")).filter("h is not null")
-        pairs = (met.select("doc", "h.hub", F.col("n").alias("na"), F.col("h.hn").alias("nb"), F.col("h.h"))
-                 .filter(similar).groupBy("doc").agg(F.min(F.struct("h", "hub")).alias("x"),
-                                                     F.max(F.struct("h", "hub")).alias("y"))
-                 .select("doc", F.explode(F.array("x.hub", "y.hub")).alias("hub"))
+            before = n_pairs
+        rank = [F.struct(F.xxhash64("doc", F.lit(SEEDS * r + k)).alias("h"), F.col("doc").alias("hub"),
+                         F.col("comp").alias("hc"), F.col("n").alias("nb"), F.col("room").alias("rb"))
+                for k in range(SEEDS)]
+        hubs = known.groupBy("key").agg(F.array(*(f(x) for x in rank for f in (F.min, F.max))).alias("hubs"))
+        met = (known.join(hubs, "key").select("doc", "comp", F.col("n").alias("na"), F.col("room").alias("ra"),
+                                              F.explode("hubs").alias("x"))
+               .select("doc", "comp", "na", "ra", "x.*").filter((F.col("comp") != F.col("hc")) & similar)
+               .groupBy("doc", "hub").agg(F.count("*").alias("times")))
+        best = Window.partitionBy("doc").orderBy(F.desc("times"), F.xxhash64("hub", F.lit(r)))
+        pairs = (met.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= HUBS)
                  .select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct())
         links = _more(links, stage.keep(f"hub{r}", _links(pairs, sets, percent)))
         comp = shared.components(stage, f"comp{r}", links)
-    else:
-        known = stage.keep("open", _open(_labelled(posts, comp)))
-        a, b = (known.select("key", F.col("doc").alias(x), F.col("comp").alias(f"c{x}"),
-                             F.col("n").alias(f"n{x}")) for x in "ab")
-        rest = a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & similar)
-        links = _more(links, stage.keep("rest", _links(rest.select("a", "b").distinct(), sets, percent)))
-        comp = shared.components(stage, "comp", links)
     of = (members.select("doc_id", "rep").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
           .select("doc_id", F.coalesce("comp", "rep").alias("comp")))
     return (sigs.join(of, "doc_id", "left")
@@ -283,7 +347,15 @@ def _labelled(posts: DataFrame, comp: DataFrame | None) -> DataFrame:
     if comp is None:
         return posts.withColumn("comp", F.col("doc"))
     return (posts.join(comp.withColumnRenamed("id", "doc"), "doc", "left")
-            .select("key", "doc", "n", F.coalesce("comp", "doc").alias("comp")))
+            .select("key", "doc", "n", "room", F.coalesce("comp", "doc").alias("comp")))
+
+
+def _roomy(posts: DataFrame, percent: int) -> DataFrame:
+    """Rows with room for the common keys that a link to the smallest set of their posting takes."""
+    least = posts.groupBy("key").agg(F.min("n").alias("least"), F.count("*").alias("rows")).filter("rows > 1")
+    other = F.greatest("least", F.floor((F.col("n") * percent + 99) / 100))
+    return (posts.join(least, "key").filter(F.col("room") * (100 + percent) >= (F.col("n") + other) * percent)
+            .drop("least", "rows"))
 
 
 def _open(known: DataFrame) -> DataFrame:

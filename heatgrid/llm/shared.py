@@ -123,3 +123,19 @@ def components(stage: Stage, name: str, links: DataFrame, rounds: int = 60) -> D
         if not changed:
             return label
     raise RuntimeError(f"links did not settle in {rounds} rounds")
+
+
+def forest(edges: list[np.ndarray], n: int) -> list[tuple[int, int]]:
+    """Links between each member and the first of its component."""
+    label = np.arange(n)
+    pairs = np.concatenate(edges) if edges else np.zeros((0, 2), np.int64)
+    while len(pairs):
+        before = label.copy()
+        low = np.minimum(label[pairs[:, 0]], label[pairs[:, 1]])
+        for side in (0, 1):
+            np.minimum.at(label, pairs[:, side], low)
+            np.minimum.at(label, before[pairs[:, side]], low)
+        label = label[label]
+        if (label == before).all():
+            break
+    return [(int(label[i]), int(i)) for i in np.flatnonzero(label != np.arange(n))]
