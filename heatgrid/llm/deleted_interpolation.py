@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from heatgrid.llm import shared, words
 from heatgrid.llm.words import U
 
-CELL_BYTES = 32 << 20       # text whose bigrams meet in one cell
-CHUNK_BYTES = 12 << 20      # text whose bigrams go into one message
+CELL_BYTES = 16 << 20       # text whose bigrams meet in one cell
+CHUNK_BYTES = 6 << 20       # text whose bigrams go into one message
 STEPS = 8                   # histogram steps per unit of the natural logarithm
 EM_ROUNDS = 60
 NO_ID = -(1 << 63)
