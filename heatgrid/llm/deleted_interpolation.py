@@ -35,10 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heatgrid.llm import shared, words
-from heatgrid.llm.words import U
+from heatgrid.llm.words import U, pack_ints, pack_sorted, unpack_ints, unpack_sorted
 
-CELL_BYTES = 16 << 20       # text whose bigrams meet in one cell
-CHUNK_BYTES = 6 << 20       # text whose bigrams go into one message
+CELL_BYTES = 20 << 20       # text whose bigrams meet in one cell
+CHUNK_BYTES = 3 << 20       # text whose bigrams go into one message
 STEPS = 8                   # histogram steps per unit of the natural logarithm
 EM_ROUNDS = 60
 NO_ID = -(1 << 63)
@@ -97,27 +97,26 @@ def _word_counts(side: int):
                 edges = np.searchsorted(parts[order], np.arange(side + 1))
                 for p in np.flatnonzero(np.diff(edges)):
                     i = order[edges[p]:edges[p + 1]]
-                    yield _batch([{"cell": int(p), "k1": keys[i].tobytes(), "k2": row[i].tobytes(),
-                                   "a": col[i].tobytes(), "b": fit[i].astype("<i8").tobytes(),
-                                   "c": off[i].astype("<i8").tobytes()}])
+                    yield _batch([{"cell": int(p), "k1": pack_sorted(keys[i]), "k2": pack_ints(row[i]),
+                                   "a": pack_ints(col[i]), "b": pack_ints(fit[i]), "c": pack_ints(off[i])}])
     return run
 
 
-def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+def _joined(table: pa.Table, name: str, unpack=unpack_ints) -> np.ndarray:
+    return np.concatenate([np.zeros(0, U), *map(unpack, table.column(name).to_pylist())])
 
 
 def _deal_counts(side: int):
     """A part's sums, dealt to the cells that need them."""
     def run(table: pa.Table) -> pa.Table:
         part = table.column("cell")[0].as_py()
-        keys = _joined(table, "k1", U)
-        order = np.argsort(keys)
+        keys = _joined(table, "k1", unpack_sorted)
+        order = np.argsort(keys, kind="stable")     # sorted runs
         ordered = keys[order]
         first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         keys = ordered[first]
-        row, col = (np.bitwise_or.reduceat(_joined(table, c, U)[order], first) for c in ("k2", "a"))
-        fit, off = (np.add.reduceat(_joined(table, c, "<i8")[order], first) for c in ("b", "c"))
+        row, col = (np.bitwise_or.reduceat(_joined(table, c)[order], first) for c in ("k2", "a"))
+        fit, off = (np.add.reduceat(_joined(table, c)[order], first) for c in ("b", "c"))
         token = keys != START
         known, seen = (fit + off > 0) & token, (fit > 0) & token
         rows = [{"cell": -1, "kind": TOTALS, "n_train": int((fit + off)[token].sum()),
@@ -127,8 +126,8 @@ def _deal_counts(side: int):
             for kind, mask, cell in ((CONTEXTS, row, part * side + other), (TOKENS, col, other * side + part)):
                 i = np.flatnonzero(mask & bit)
                 if len(i):
-                    rows.append({"cell": cell, "kind": kind, "k1": keys[i].tobytes(),
-                                 "a": fit[i].astype("<i8").tobytes(), "b": off[i].astype("<i8").tobytes()})
+                    rows.append({"cell": cell, "kind": kind, "k1": pack_sorted(keys[i]),
+                                 "a": pack_ints(fit[i]), "b": pack_ints(off[i])})
         return pa.Table.from_batches([_batch(rows)])
     return run
 
@@ -164,11 +163,9 @@ def _send_bigrams(side: int):
                     contexts, entries = np.unique(u[i], return_counts=True)
                     tokens, token = np.unique(w[i], return_inverse=True)
                     docs, text = np.unique(d[i], return_inverse=True)
-                    small = "<u2" if max(len(tokens), len(docs)) < 65536 else "<u4"
-                    yield _batch([{"cell": int(c), "kind": BIGRAMS, "k1": keys[contexts].tobytes(),
-                                   "k2": keys[tokens].tobytes(), "a": entries.astype("<u4").tobytes(),
-                                   "b": token.astype(small).tobytes() + text.astype(small).tobytes(),
-                                   "c": times[i].astype("<u4").tobytes(),
+                    yield _batch([{"cell": int(c), "kind": BIGRAMS, "k1": pack_sorted(keys[contexts]),
+                                   "k2": pack_sorted(keys[tokens]), "a": pack_ints(entries),
+                                   "b": pack_ints(np.concatenate([token, text])), "c": pack_ints(times[i]),
                                    "d": ids[base + docs].astype("<i8").tobytes()
                                    + folds[base + docs].astype("<u1").tobytes()}])
     return run
@@ -190,19 +187,18 @@ def _fill_cell(n_fit: int):
         counts = {}
         for k in (CONTEXTS, TOKENS):
             part = table.filter(pa.array(kind == k))
-            keys = _joined(part, "k1", U)
-            order = np.argsort(keys)
-            counts[k] = (keys[order], _joined(part, "a", "<i8")[order], _joined(part, "b", "<i8")[order])
+            keys = _joined(part, "k1", unpack_sorted)
+            order = np.argsort(keys, kind="stable")
+            counts[k] = (keys[order], *(_joined(part, x)[order].astype(np.int64) for x in "ab"))
         ids, folds, cols = [], [], {"code": [], "doc": [], "times": []}
         for k1, k2, a, b, c, d in zip(*(table.filter(pa.array(kind == BIGRAMS)).column(x).to_pylist()
                                         for x in ("k1", "k2", "a", "b", "c", "d"))):
-            times = np.frombuffer(c, "<u4")
-            pair = np.frombuffer(b, "<u2" if len(b) == 4 * len(times) else "<u4").astype(np.int64)
-            u = np.searchsorted(counts[CONTEXTS][0], np.repeat(np.frombuffer(k1, U), np.frombuffer(a, "<u4")))
-            w = np.searchsorted(counts[TOKENS][0], np.frombuffer(k2, U))[pair[:len(times)]]
+            times, pair = unpack_ints(c), unpack_ints(b).astype(np.int64)
+            u = np.repeat(np.searchsorted(counts[CONTEXTS][0], unpack_sorted(k1)), unpack_ints(a).astype(np.int64))
+            w = np.searchsorted(counts[TOKENS][0], unpack_sorted(k2))[pair[:len(times)]]
             cols["code"].append((u.astype(U) << U(32)) | w.astype(U))
-            cols["doc"].append(pair[len(times):] + sum(map(len, folds)))
-            cols["times"].append(times)
+            cols["doc"].append((pair[len(times):] + sum(map(len, folds))).astype(np.uint32))
+            cols["times"].append(times.astype(np.uint32))
             ids.append(np.frombuffer(d, "<i8", len(d) // 9))
             folds.append(np.frombuffer(d, "<u1", offset=8 * (len(d) // 9)))
         if not ids:
@@ -219,9 +215,9 @@ def _fill_cell(n_fit: int):
         grid, sums = _histogram(off, fit, u_fit[u], w_fit[w], n_fit)
         uses = np.diff(np.append(first, len(code)))
         return pa.Table.from_pylist([{
-            "cell": table.column("cell")[0].as_py(), "kinds": kinds.astype("<i8").tobytes(),
-            "uses": uses.astype("<u4").tobytes(), "docs": ids.astype("<i8").tobytes(),
-            "doc": doc.astype("<u4").tobytes(), "times": times.astype("<u4").tobytes(),
+            "cell": table.column("cell")[0].as_py(), "kinds": pack_ints(kinds.ravel()),
+            "uses": pack_ints(uses), "docs": ids.astype("<i8").tobytes(),
+            "doc": pack_ints(doc), "times": pack_ints(times),
             "grid": grid.astype("<i8").tobytes(), "grid_sums": sums.astype("<f8").tobytes()}], schema=_CELL)
     return run
 
@@ -270,15 +266,14 @@ def _score(weights: dict, n_train: int, v_train: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for kinds, uses, docs, doc, times in zip(*(c.to_pylist() for c in batch.columns)):
-                uses, times = np.frombuffer(uses, "<u4"), np.frombuffer(times, "<u4")
-                both, u, w = np.frombuffer(kinds, "<i8").reshape(3, -1)
+                uses, times, doc = (unpack_ints(x).astype(np.int64) for x in (uses, times, doc))
+                both, u, w = unpack_ints(kinds).astype(np.int64).reshape(3, -1)
                 weight = table[_bucket(u)].T
                 p = weight[1] * w / max(1, n_train) + weight[2] / (v_train + 1) + np.where(
                     u > 0, weight[0] * both / np.maximum(u, 1), 0)
                 lost = np.where(u > 0, 0, weight[0])     # an unseen context's share goes to the words
                 p = np.log10(p + lost * w / max(1, n_train))
                 base = np.log10((w + 0.1) / (n_train + 0.1 * (v_train + 1)))
-                doc = np.frombuffer(doc, "<u4")
                 ids, at = np.unique(np.frombuffer(docs, "<i8"), return_inverse=True)
                 doc = at[doc]
                 total = lambda x: np.bincount(doc, times * np.repeat(x, uses), minlength=len(ids))
@@ -311,6 +306,7 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     side = max(1, math.isqrt(max(0, size - 1) // CELL_BYTES) + 1)
     counts = stage.keep("counts", docs.mapInArrow(_word_counts(side), _SQL).groupBy("cell")
                         .applyInArrow(_deal_counts(side), _SQL), "zstd")
+    stage.release()
     n_train, n_fit, v_train, v_fit = (x or 0 for x in counts.filter(f"kind = {TOTALS}").agg(
         *(F.sum(x) for x in _NAMES[-4:])).first())
     cells = stage.keep("cells", counts.filter(f"kind <> {TOTALS}")

@@ -177,3 +177,28 @@ def unpack48(raw: bytes) -> np.ndarray:
     out = np.zeros((len(part), 8), np.uint8)
     out[:, :6] = part
     return out.view("<u8").ravel()
+
+
+def pack_ints(values: np.ndarray) -> bytes:
+    """Whole numbers from 0, in as many bytes as the largest takes, compressed by byte place."""
+    values = values.astype("<u8")
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return len(values).to_bytes(6, "little") + bytes([width]) + pa.compress(planes, "zstd", asbytes=True)
+
+
+def unpack_ints(raw: bytes) -> np.ndarray:
+    n, width = int.from_bytes(raw[:6], "little"), raw[6]
+    planes = np.frombuffer(pa.decompress(raw[7:], n * width, "zstd", asbytes=True), np.uint8).reshape(width, n)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Ascending 64-bit keys, as their steps."""
+    return pack_ints(np.diff(keys, prepend=U(0)))
+
+
+def unpack_sorted(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpack_ints(raw), dtype=U)
