@@ -21,7 +21,8 @@ frequent word loads one task, and a cell needs the counts of its own words only:
    the deleted tenth's counts over (bucket, log estimates);
 3. the driver runs EM on the summed histogram, whose size is bounded by its
    grid and not by the data;
-4. each cell scores its bigrams, and sums per document follow.
+4. each cell scores its bigrams; its sums per document, packed by ranges of ids,
+   are added up.
 """
 
 from __future__ import annotations
@@ -136,6 +137,15 @@ def _bits(n: int) -> int:
     return max(1, int(n).bit_length())
 
 
+def _pack_ids(ids: np.ndarray, folds: np.ndarray) -> bytes:
+    return pack_ints(np.concatenate([np.diff(ids.astype("<i8").view(U), prepend=U(0)), folds.astype(U)]))
+
+
+def _unpack_ids(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps, folds = unpack_ints(raw).reshape(2, -1)
+    return np.cumsum(steps, dtype=U).view(np.int64), folds
+
+
 def _send_bigrams(side: int):
     """(cell; words as context, words as token, per context its entries, per entry token, text and times)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,8 +176,7 @@ def _send_bigrams(side: int):
                     yield _batch([{"cell": int(c), "kind": BIGRAMS, "k1": pack_sorted(keys[contexts]),
                                    "k2": pack_sorted(keys[tokens]), "a": pack_ints(entries),
                                    "b": pack_ints(np.concatenate([token, text])), "c": pack_ints(times[i]),
-                                   "d": ids[base + docs].astype("<i8").tobytes()
-                                   + folds[base + docs].astype("<u1").tobytes()}])
+                                   "d": _pack_ids(ids[base + docs], folds[base + docs])}])
     return run
 
 
@@ -199,8 +208,9 @@ def _fill_cell(n_fit: int):
             cols["code"].append((u.astype(U) << U(32)) | w.astype(U))
             cols["doc"].append((pair[len(times):] + sum(map(len, folds))).astype(np.uint32))
             cols["times"].append(times.astype(np.uint32))
-            ids.append(np.frombuffer(d, "<i8", len(d) // 9))
-            folds.append(np.frombuffer(d, "<u1", offset=8 * (len(d) // 9)))
+            own, fold = _unpack_ids(d)
+            ids.append(own)
+            folds.append(fold)
         if not ids:
             return pa.Table.from_batches([], _CELL)
         code, doc, times, ids, fold = (np.concatenate(x) for x in (*cols.values(), ids, folds))
@@ -216,7 +226,7 @@ def _fill_cell(n_fit: int):
         uses = np.diff(np.append(first, len(code)))
         return pa.Table.from_pylist([{
             "cell": table.column("cell")[0].as_py(), "kinds": pack_ints(kinds.ravel()),
-            "uses": pack_ints(uses), "docs": ids.astype("<i8").tobytes(),
+            "uses": pack_ints(uses), "docs": _pack_ids(ids, fold),
             "doc": pack_ints(doc), "times": pack_ints(times),
             "grid": grid.astype("<i8").tobytes(), "grid_sums": sums.astype("<f8").tobytes()}], schema=_CELL)
     return run
@@ -260,7 +270,7 @@ def fit_weights(grid: list[tuple], v_fit: int) -> dict[int, tuple[float, float,
     return out
 
 
-def _score(weights: dict, n_train: int, v_train: int):
+def _score(weights: dict, n_train: int, v_train: int, ranges: int):
     table = np.array([weights.get(b, weights[-1]) for b in range(65)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,16 +284,30 @@ def _score(weights: dict, n_train: int, v_train: int):
                 lost = np.where(u > 0, 0, weight[0])     # an unseen context's share goes to the words
                 p = np.log10(p + lost * w / max(1, n_train))
                 base = np.log10((w + 0.1) / (n_train + 0.1 * (v_train + 1)))
-                ids, at = np.unique(np.frombuffer(docs, "<i8"), return_inverse=True)
+                ids, at = np.unique(_unpack_ids(docs)[0], return_inverse=True)
                 doc = at[doc]
                 total = lambda x: np.bincount(doc, times * np.repeat(x, uses), minlength=len(ids))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array(total(np.ones(len(uses))).astype(np.int64)),
-                     pa.array(total(w > 0).astype(np.int64)), pa.array(total(base)), pa.array(total(p))],
-                    names=["id", "n_tokens", "n_known", "base_score", "score"])
+                cols = [total(x) for x in (np.ones(len(uses)), w > 0, base, p)]
+                used = np.flatnonzero(cols[0])
+                part = words.mix(ids[used].view(U)) % U(ranges)
+                order = used[np.argsort(part, kind="stable")]
+                edges = np.searchsorted(np.sort(part), np.arange(ranges + 1, dtype=U))
+                yield pa.RecordBatch.from_pylist([
+                    {"range": int(r), "sums": np.concatenate([ids[i].view(np.float64), *(c[i] for c in cols)]).tobytes()}
+                    for r in np.flatnonzero(np.diff(edges)) for i in [order[edges[r]:edges[r + 1]]]],
+                    schema=pa.schema([("range", pa.int32()), ("sums", pa.binary())]))
     return run
 
 
+def _add_up(table: pa.Table) -> pa.Table:
+    parts = [np.frombuffer(x, "<f8").reshape(5, -1) for x in table.column("sums").to_pylist()]
+    cols = np.concatenate(parts, 1)
+    ids, at = np.unique(cols[0].view(np.int64), return_inverse=True)
+    n, known, base, score = (np.bincount(at, c, minlength=len(ids)) for c in cols[1:])
+    return pa.table({"id": ids, "n_tokens": n.astype(np.int64), "n_known": known.astype(np.int64),
+                     "base_score": base, "score": score})
+
+
 def lm_scores(docs: DataFrame) -> DataFrame:
     """One row per doc_id: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -319,9 +343,9 @@ def lm_scores(docs: DataFrame) -> DataFrame:
             .groupBy("code").agg(F.sum("n"), F.sum("x"), F.sum("y")).collect())
     weights = fit_weights([tuple(r) for r in sorted(grid)], v_fit)
     sums = (cells.select("kinds", "uses", "docs", "doc", "times")
-            .mapInArrow(_score(weights, n_train, v_train),
-                        "id long, n_tokens long, n_known long, base_score double, score double")
-            .groupBy("id").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score"))))
+            .mapInArrow(_score(weights, n_train, v_train, 4 * side), "range int, sums binary")
+            .groupBy("range").applyInArrow(_add_up, "id long, n_tokens long, n_known long, base_score double, "
+                                                    "score double"))
     doc_id = F.when(F.col("id") != NO_ID, F.col("id"))
     return sums.select(doc_id.alias("doc_id"),
                        (F.coalesce(F.crc32(doc_id.cast("string")) % 10, F.lit(0)) == 0).alias("held_out"),
