@@ -109,7 +109,8 @@ def _compare(threshold: float, tables: int, probes: int):
         counts, edges = np.zeros(len(cid), np.int64), []
         for a in range(0, len(cid), 256):
             hit = x[a:a + 256] @ x.T >= threshold
-            hit &= (home[a:a + 256, None] | home[None]) & (np.arange(len(cid)) > np.arange(a, min(a + 256, len(cid)))[:, None])
+            after = np.arange(len(cid)) > np.arange(a, min(a + 256, len(cid)))[:, None]
+            hit &= (home[a:a + 256, None] | home[None]) & after
             if low != high:
                 hit &= side[a:a + 256, None] != side[None]
             u, v = np.nonzero(hit)

@@ -292,9 +292,9 @@ def _score(weights: dict, n_train: int, v_train: int, ranges: int):
                 part = words.mix(ids[used].view(U)) % U(ranges)
                 order = used[np.argsort(part, kind="stable")]
                 edges = np.searchsorted(np.sort(part), np.arange(ranges + 1, dtype=U))
+                sums = lambda i: np.concatenate([ids[i].view(np.float64), *(c[i] for c in cols)])
                 yield pa.RecordBatch.from_pylist([
-                    {"range": int(r), "sums": np.concatenate([ids[i].view(np.float64), *(c[i] for c in cols)]).tobytes()}
-                    for r in np.flatnonzero(np.diff(edges)) for i in [order[edges[r]:edges[r + 1]]]],
+                    {"range": int(r), "sums": sums(i).tobytes()} for r in np.flatnonzero(np.diff(edges)) for i in [order[edges[r]:edges[r + 1]]]],
                     schema=pa.schema([("range", pa.int32()), ("sums", pa.binary())]))
     return run
 

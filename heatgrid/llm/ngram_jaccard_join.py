@@ -16,7 +16,9 @@ Steps, each a Spark job:
    keys; a range's task answers with each document's number of keys that occur
    elsewhere. Documents with enough keys of their own for a whole prefix have
    no partner and end here;
-3. the classes left exchange their keys once more, and get prefixes and postings;
+3. the classes left exchange their keys once more, and get prefixes and postings.
+   Which texts these are, all tasks know from a bit filter of bounded size, so no
+   text is shuffled; what passes it by chance is sorted out by a join later;
 4. candidates: in rounds, a document meets up to ``HUBS`` hubs of its postings
    that are of another component, those that share most postings with it first,
    so a group of n copies takes about n checks and not n squared. Pairs of
@@ -43,6 +45,7 @@ RANGE_BYTES = 24 << 20      # text whose keys meet in one task of the frequency
 RANGE_KEYS = 3 << 20        # keys that meet in one task of the second exchange
 ROUNDS = 4                  # hub rounds at most, before all other pairs are checked
 SEEDS, HUBS = 3, 4          # hubs per posting and round: 2 * SEEDS; checks per document and round
+BITS = 1 << 26              # of the filter on documents, at most
 LONG = 32                   # rows of a posting, from which on its pairs are compared in blocks
 BLOCK = 512                 # its rows per block
 ORDERS = 3
@@ -71,69 +74,130 @@ def _signature(s: words.Sets) -> list[pa.Array]:
     return out
 
 
-_BLOCK = pa.schema([("range", pa.int32()), ("ids", pa.binary()), ("sizes", pa.binary()), ("keys", pa.binary())])
-_BLOCK_SQL = "range int, ids binary, sizes binary, keys binary"
+def _slot(ids: np.ndarray, sigs: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(ids.view(U) ^ mix(sigs.view(U))) % U(bits)).astype(np.int64)
 
 
-def _send(n: int, ranges: int, check: bool):
-    """Blocks of keys by range of the hash space. ``check``: rows also carry the
-    signature that the text must have (of an id's several texts one counts)."""
+def _slots(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = _slot(batch.column(0).to_numpy(), batch.column(1).to_numpy(), bits)
+            yield pa.RecordBatch.from_arrays([pa.array(slot)], names=["slot"])
+    return run
+
+
+def _filter(rows: DataFrame) -> np.ndarray:
+    """A bit for each hash value of the rows' (doc_id, sig_a), ``BITS`` at most: a fixed bound.
+
+    Beyond its size, more rows only let more others pass; none of the rows is lost.
+    """
+    bits = min(BITS, 1 << max(10, (16 * rows.count()).bit_length()))
+    filled = (rows.select("doc_id", "sig_a").mapInArrow(_slots(bits), "slot long")
+              .groupBy(F.expr("slot div 8").alias("at"))
+              .agg(F.expr("bit_or(shiftleft(1, cast(slot % 8 as int)))").alias("byte")).collect())
+    out = np.zeros(bits // 8, np.uint8)
+    out[[r.at for r in filled]] = [r.byte for r in filled]
+    return out
+
+
+_BLOCK = pa.schema([("range", pa.int32()), ("ids", pa.binary()), ("sigs", pa.binary()), ("sizes", pa.binary()),
+                    ("keys", pa.binary())])
+_BLOCK_SQL = "range int, ids binary, sigs binary, sizes binary, keys binary"
+
+
+def _send(n: int, ranges: int):
+    """Blocks of keys by range of the hash space, with the ids and signatures of their texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for s in words.shingle_sets(batch.column(1), n, 4 * words.CHUNK_BYTES):
-                doc = np.repeat(np.arange(s.first, s.last), np.diff(s.rows))
-                keys = s.keys
-                if check:
-                    a, b = _signature(s)
-                    part = batch.slice(s.first, s.last - s.first)
-                    good = (a.to_numpy() == part.column(2).to_numpy()) & (b.to_numpy() == part.column(3).to_numpy())
-                    keep = good[doc - s.first]
-                    doc, keys = doc[keep], keys[keep]
-                at = ((keys >> U(16)) * U(ranges) >> U(32)).astype(np.int32)
+                sig = _signature(s)[0].to_numpy()
+                doc = np.repeat(np.arange(s.last - s.first), np.diff(s.rows))
+                at = ((s.keys >> U(16)) * U(ranges) >> U(32)).astype(np.int32)
                 order = np.argsort(at, kind="stable")
-                at, doc, keys = at[order], doc[order], keys[order]
+                at, doc, keys = at[order], doc[order], s.keys[order]
                 edges = np.searchsorted(at, np.arange(ranges + 1))
-                rows = [[], [], [], []]
+                rows = [[], [], [], [], []]
                 for r in np.flatnonzero(np.diff(edges)):
                     lo, hi = edges[r], edges[r + 1]
                     own, size = np.unique(doc[lo:hi], return_counts=True)
-                    for col, value in zip(rows, (r, ids[own].astype("<i8").tobytes(),
-                                                 size.astype("<i4").tobytes(), pack48(keys[lo:hi]))):
+                    for col, value in zip(rows, (r, ids[s.first + own].astype("<i8").tobytes(),
+                                                 sig[own].astype("<i8").tobytes(), size.astype("<i4").tobytes(),
+                                                 pack48(keys[lo:hi]))):
                         col.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(rows, _BLOCK)], schema=_BLOCK)
     return run
 
 
-def _gather(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc ids, keys and each key's frequency in the range, in the rows' order."""
+def _passing(n: int, table):
+    """The rows (doc_id, text) that the filter lets pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(table.value, bitorder="little")
+        for batch in batches:
+            for s in words.shingle_sets(batch.column(1), n):
+                part = batch.slice(s.first, s.last - s.first)
+                slot = _slot(part.column(0).to_numpy(), _signature(s)[0].to_numpy(), len(bits))
+                yield part.filter(pa.array(bits[slot] == 1))
+    return run
+
+
+def _gather(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """doc ids, signatures, keys and each key's frequency in the range; rows that repeat a text count once."""
     join = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
-    docs = np.repeat(join("ids", "<i8"), join("sizes", "<i4"))
+    sizes = join("sizes", "<i4")
+    text, at = np.unique(np.stack([join("ids", "<i8"), join("sigs", "<i8")]), axis=1, return_inverse=True)
     keys = unpack48(b"".join(table.column("keys").to_pylist()))
-    order = np.argsort(keys)
-    ordered = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    df = np.empty(len(keys), np.int64)
-    df[order] = np.repeat(np.diff(np.append(first, len(keys))), np.diff(np.append(first, len(keys))))
-    return docs, keys, df
+    doc = np.repeat(at.ravel(), sizes)
+    order = np.argsort(keys, kind="stable")
+    keys, doc = keys[order], doc[order]
+    first = np.concatenate([[True], keys[1:] != keys[:-1]])
+    once = np.ones(len(keys), bool)
+    once[1:] = first[1:] | (doc[1:] != doc[:-1])
+    if not once.all():
+        again = np.lexsort((doc, keys))
+        doc = doc[again]
+        once[1:] = first[1:] | (doc[1:] != doc[:-1])
+        keys, doc = keys[once], doc[once]
+        first = np.concatenate([[True], keys[1:] != keys[:-1]])
+    start = np.flatnonzero(first)
+    df = np.diff(np.append(start, len(keys)))
+    return text, doc, keys, np.repeat(df, df)
+
+
+def _shared_counts(parts: int):
+    """How many of its keys each text shares, packed by hash of its id."""
+    def run(table: pa.Table) -> pa.Table:
+        (ids, sigs), doc, _, df = _gather(table)
+        counts = np.bincount(doc[df > 1], minlength=len(ids))
+        used = np.flatnonzero(counts)
+        part = mix(ids[used].view(U)) % U(parts)
+        order = used[np.argsort(part, kind="stable")]
+        edges = np.searchsorted(np.sort(part), np.arange(parts + 1, dtype=U))
+        rows = [(int(p), np.stack([ids[i], sigs[i], counts[i]]).astype("<i8").tobytes())
+                for p in np.flatnonzero(np.diff(edges)) for i in [order[edges[p]:edges[p + 1]]]]
+        return pa.table({"part": pa.array([r[0] for r in rows], pa.int32()),
+                         "counts": pa.array([r[1] for r in rows], pa.binary())})
+    return run
 
 
-def _shared_counts(table: pa.Table) -> pa.Table:
-    docs, _, df = _gather(table)
-    ids, counts = np.unique(docs[df > 1], return_counts=True)
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "shared": pa.array(counts, pa.int64())})
+def _add_up(table: pa.Table) -> pa.Table:
+    ids, sigs, counts = np.concatenate([np.frombuffer(x, "<i8").reshape(3, -1)
+                                        for x in table.column("counts").to_pylist()], 1)
+    text, at = np.unique(np.stack([ids, sigs]), axis=1, return_inverse=True)
+    total = np.bincount(at.ravel(), counts, minlength=text.shape[1]).astype(np.int64)
+    return pa.table({"doc_id": text[0], "sig_a": text[1], "shared": total})
 
 
 def _shared_keys(table: pa.Table) -> pa.Table:
-    docs, keys, df = _gather(table)
+    (ids, sigs), doc, keys, df = _gather(table)
     keep = df > 1
-    docs, keys, df = docs[keep], keys[keep], df[keep]
-    order = np.argsort(docs, kind="stable")
-    docs, keys, df = docs[order], keys[order], df[order]
-    ids, at = np.unique(docs, return_index=True)
-    ends = np.append(at, len(docs))
+    doc, keys, df = doc[keep], keys[keep], df[keep]
+    order = np.argsort(doc, kind="stable")
+    doc, keys, df = doc[order], keys[order], df[order]
+    own, at = np.unique(doc, return_index=True)
+    ends = np.append(at, len(doc))
     part = [slice(a, b) for a, b in zip(ends[:-1], ends[1:])]
-    return pa.table({"doc_id": pa.array(ids, pa.int64()),
+    return pa.table({"doc_id": pa.array(ids[own], pa.int64()), "sig_a": pa.array(sigs[own], pa.int64()),
                      "keys": pa.array([pack48(keys[p]) for p in part], pa.binary()),
                      "dfs": pa.array([df[p].astype("<i4").tobytes() for p in part], pa.binary())})
 
@@ -266,22 +330,25 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, orders: i
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, min(1 << 20, -(-size // RANGE_BYTES)))
     cut = F.col("n_shingles") - F.floor((percent * F.col("n_shingles") + 99) / 100) + 1
-    counts = (docs.filter("doc_id is not null and text is not null")
-              .mapInArrow(_send(n, ranges, False), _BLOCK_SQL)
-              .groupBy("range").applyInArrow(_shared_counts, "doc_id long, shared long")
-              .groupBy("doc_id").agg(F.sum("shared").alias("shared")))
-    left = stage.keep("left", members.filter("doc_id = rep").join(counts, "doc_id")
+    named = docs.filter("doc_id is not null and text is not null")
+    counts = (named.mapInArrow(_send(n, ranges), _BLOCK_SQL).groupBy("range")
+              .applyInArrow(_shared_counts(ranges), "part int, counts binary")
+              .groupBy("part").applyInArrow(_add_up, "doc_id long, sig_a long, shared long"))
+    left = stage.keep("left", members.filter("doc_id = rep").join(counts, ["doc_id", "sig_a"])
                       .filter(F.col("n_shingles") - F.col("shared") < cut).select("doc_id", *sig))
-    texts = (docs.join(left, "doc_id").select("doc_id", "text", "sig_a", "sig_b", "n_shingles")
-             .dropDuplicates(["doc_id", "text"]))
+    stage.release()
     keys = left.agg(F.sum("n_shingles")).first()[0] or 0
-    answered = (texts.mapInArrow(_send(n, max(1, -(-keys // RANGE_KEYS)), True), _BLOCK_SQL)
-                .groupBy("range").applyInArrow(_shared_keys, "doc_id long, keys binary, dfs binary")
-                .groupBy("doc_id").agg(F.collect_list(F.struct("keys", "dfs")).alias("parts")))
-    sets = stage.keep("sets", answered.join(left.select("doc_id", F.col("n_shingles").alias("n")), "doc_id")
-                      .select("doc_id", "n", "parts")
+    # texts that pass by chance only add to frequencies, and find no row of `left` afterwards
+    table = spark.sparkContext.broadcast(_filter(left))
+    answered = (named.mapInArrow(_passing(n, table), "doc_id long, text string")
+                .mapInArrow(_send(n, max(1, -(-keys // RANGE_KEYS))), _BLOCK_SQL)
+                .groupBy("range").applyInArrow(_shared_keys, "doc_id long, sig_a long, keys binary, dfs binary")
+                .groupBy("doc_id", "sig_a").agg(F.collect_list(F.struct("keys", "dfs")).alias("parts")))
+    of = left.select("doc_id", "sig_a", F.col("n_shingles").alias("n"))
+    sets = stage.keep("sets", answered.join(of, ["doc_id", "sig_a"]).select("doc_id", "n", "parts")
                       .mapInArrow(_prefixes(percent, orders),
                                   "doc_id long, n long, keys binary, prefixes array<binary>"))
+    stage.release()
     own = F.col("n") - F.octet_length("keys") / 6
     posts = (sets.select("doc_id", "n", F.col("prefixes")[0], own.cast("long"))
              .mapInArrow(_postings, "key long, doc long, n long, room long"))
