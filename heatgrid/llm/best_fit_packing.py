@@ -79,18 +79,15 @@ def pack_lengths(counts: dict[int, int], window: int) -> list[tuple[int, int, in
         done = 0
         while done < counts[length]:
             left = counts[length] - done
-            capacity = tree.tightest(length)
-            if capacity is None:
-                # new windows; each takes as many rests of this length as fit before the next is opened
-                fit = window // length
-                n = max(1, left // fit)
-                first, windows, capacity = windows, windows + n, window
-                for k in range(min(fit, left)):
-                    blocks.append((length, done, n, first, k * length))
-                    done += n
-                    capacity -= length
+            capacity = tree.tightest(length) or window
+            # a window takes as many rests of this length as fit: after each it is the tightest
+            fit = capacity // length
+            most = max(1, left // fit)
+            if capacity in tree.runs and tree.runs[capacity]:
+                first, n = tree.take(capacity, most)
             else:
-                first, n = tree.take(capacity, left)
+                first, n, windows = windows, most, windows + most
+            for _ in range(min(fit, left)):
                 blocks.append((length, done, n, first, window - capacity))
                 done += n
                 capacity -= length
