@@ -381,6 +381,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, orders: i
             n_rows, n_pairs = known.agg(F.count("*"), F.sum("cross")).first()
             if not n_rows:
                 break
+            posts = known.select("key", "doc", "n", "room")     # a closed posting stays closed
             # few pairs are left, or rounds no longer help: all that pass the positional filter
             if n_pairs <= 4 * n_rows or r == ROUNDS or n_pairs > 0.7 * before:
                 links = _more(links, all_pairs(known))
