@@ -20,16 +20,22 @@ def coerce_double(c: Column) -> Column:
 
 
 def exact_sum(c: Column) -> Column:
-    """Order-independent sum of a double column via decimal accumulation.
-
-    Values that do not fit the decimal (inf) count as missing.
-    """
+    """Order-independent sum of a double column via decimal accumulation."""
     return F.sum(c.try_cast(SUM_DECIMAL))
 
 
+def beyond_decimal(c: Column) -> Column:
+    """Whether a group holds a number outside the decimal (1e22 and more, inf)."""
+    return F.count(c) > F.count(c.try_cast(SUM_DECIMAL))
+
+
 def sum_or_zero(c: Column, scale: int = 2) -> Column:
-    """Sum rounded half-even to ``scale``; an all-NULL group gives 0.0 (A4, A5)."""
-    return F.coalesce(F.bround(exact_sum(c), scale).cast("double"), F.lit(0.0))
+    """Sum rounded half-even to ``scale``; an all-NULL group gives 0.0 (A4, A5).
+
+    A group with a number outside the decimal is summed in double instead.
+    """
+    exact = F.bround(exact_sum(c), scale).cast("double")
+    return F.coalesce(F.when(beyond_decimal(c), F.sum(c)).otherwise(exact), F.lit(0.0))
 
 
 def exact_mean(c: Column) -> Column:
@@ -37,7 +43,8 @@ def exact_mean(c: Column) -> Column:
 
     NULL for an empty group (mean of nothing), unlike ``sum_or_zero``.
     """
-    return F.try_divide(exact_sum(c).cast("double"), F.count(c).cast("double"))
+    exact = F.try_divide(exact_sum(c).cast("double"), F.count(c).cast("double"))
+    return F.when(beyond_decimal(c), F.avg(c)).otherwise(exact)
 
 
 def pct_change(cur: Column, prev: Column) -> Column:

@@ -69,12 +69,13 @@ def _file_checks_needed(raw: DataFrame) -> bool:
 def weather_in_range(raw: DataFrame, start=None, end=None) -> DataFrame:
     """Raw readings inside an inclusive run range (S6); pushed to the scan.
 
-    Rows whose date text does not parse are kept, so a failed file is still
-    seen (and reported) as a whole by Q4.
+    Readings without a date are kept: they make a day of their own (A3). So are
+    rows whose date text does not parse, and a failed file is still seen (and
+    reported) as a whole by Q4.
     """
     if start is None and end is None:
         return raw
-    keep = in_range(to_day(raw, "date"), start, end)
+    keep = in_range(to_day(raw, "date"), start, end) | F.col("date").isNull()
     if _file_checks_needed(raw):
         keep = keep | _row_is_bad(raw)
     return raw.filter(keep)

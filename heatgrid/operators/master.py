@@ -54,9 +54,9 @@ def build_master(raw_weather: DataFrame, raw_energy: DataFrame, city_dim: DataFr
 
 def slug_owners(city_dim: DataFrame) -> DataFrame:
     """``(slug, city)``: when two configured names share a slug (and so one
-    landing file), the later-configured entry owns it (P7)."""
+    landing file), the later-configured one of the complete entries owns it (P7)."""
     return (
-        configured_names_with_pos(city_dim)
+        configured_names_with_pos(clean.valid_cities(city_dim))
         .groupBy(city_slug(F.col("city")).alias("slug"))
         .agg(F.max_by("city", "cfg_pos").alias("city"))
     )

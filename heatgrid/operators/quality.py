@@ -98,9 +98,9 @@ def report_struct(c: RowCheck) -> Column:
 def temp_logic_check(start=None, end=None) -> RowCheck:
     """TMIN_F > TMAX_F on a day; rows are flagged, not removed (F1, Q2)."""
     tmin, tmax = py_float_text(F.col("TMIN_F")), py_float_text(F.col("TMAX_F"))
-    d = F.col("date").cast("string")
+    d = F.coalesce(F.col("date").cast("string"), F.lit("NaT"))
     msg = F.concat(F.lit("Date "), d, F.lit(": TMIN ("), tmin, F.lit("°F) > TMAX ("), tmax, F.lit("°F)."))
-    details = F.concat(F.lit('{"date": '), _json_date(F.col("date")), F.lit(', "tmin_f": '), tmin,
+    details = F.concat(F.lit('{"date": '), F.coalesce(_json_date(F.col("date")), F.lit("null")), F.lit(', "tmin_f": '), tmin,
                        F.lit(', "tmax_f": '), tmax, F.lit("}"))
     return RowCheck(F.col("TMIN_F") > F.col("TMAX_F"), landing_file("noaa", F.col("city"), start, end),
                     TEMP_CHECK, WARNING, msg, details)
@@ -111,7 +111,7 @@ def negative_energy_check(start=None, end=None) -> RowCheck:
     e = py_float_text(F.col("energy_mwh"))
     msg = F.concat(F.lit("Date "), F.col("date").cast("string"),
                    F.lit(": Negative energy consumption detected ("), e, F.lit(" MWh)."))
-    details = F.concat(F.lit('{"date": '), _json_date(F.col("date")), F.lit(', "energy_mwh": '), e, F.lit("}"))
+    details = F.concat(F.lit('{"date": '), F.coalesce(_json_date(F.col("date")), F.lit("null")), F.lit(', "energy_mwh": '), e, F.lit("}"))
     return RowCheck(F.col("energy_mwh") < 0, landing_file("eia", F.col("city"), start, end),
                     ENERGY_CHECK, WARNING, msg, details)
 

@@ -614,8 +614,8 @@ def _run_refresh(i: Inputs) -> dict[str, str]:
     root = _os.path.join(_ckpt_dir(i.spark), f"refresh-{_uuid.uuid4().hex}")
     w_root, e_root = _os.path.join(root, "landing", "noaa"), _os.path.join(root, "landing", "eia")
     # fixture rows of every city share each task: rebalance by city before landing
-    _sinks.land_readings(i.raw_weather(), w_root, rebalance=True)
-    _sinks.land_readings(i.raw_energy().drop("type"), e_root, rebalance=True)
+    _sinks.land_readings(i.raw_weather(), w_root, rebalance=True, city_dim=i.city_dim())
+    _sinks.land_readings(i.raw_energy().drop("type"), e_root, rebalance=True, city_dim=i.city_dim())
     return _refresh(i.spark, w_root, e_root, i.city_dim(), _os.path.join(root, "out"),
                     RunMode(fetch_range=REFRESH_RANGE))
 

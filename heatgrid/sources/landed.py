@@ -79,7 +79,7 @@ def read_master(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     """The master table with its explicit schema (CSV or Parquet)."""
     if fmt == "csv":
         return spark.read.schema(schemas.MASTER).option("header", "true").csv(path)
-    return spark.read.schema(schemas.MASTER).option("ignoreCorruptFiles", "true").parquet(path)
+    return spark.read.schema(schemas.MASTER).parquet(path)
 
 
 def read_quality_report(spark: SparkSession, path: str) -> DataFrame:

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heatgrid.functions.text import city_slug
+from heatgrid.operators.master import slug_owners
 from heatgrid.schemas import MASTER_COLUMNS, QUALITY_COLUMNS
 
 
-def land_readings(df: DataFrame, root: str, rebalance: bool = False) -> None:
+def land_readings(df: DataFrame, root: str, rebalance: bool = False, city_dim: DataFrame | None = None) -> None:
     """S3: land raw readings of many cities as splittable JSON Lines,
     one ``slug=`` folder per city. A city with no rows has no folder, which
     reads back as zero rows (the reference's empty ``[]`` file).
@@ -19,8 +20,14 @@ def land_readings(df: DataFrame, root: str, rebalance: bool = False) -> None:
     adds an AQE rebalance on the slug first: rows of a city are gathered into
     advisory-sized partitions and a hot city is split across several, so the
     folder gets a few large files instead of one small file per task.
+
+    With ``city_dim``, a slug's folder gets its owner's rows only (P7): of
+    cities that share a slug, the last complete entry's file remains.
     """
-    out = df.withColumn("slug", city_slug(F.col("city"))).drop("city")
+    out = df.withColumn("slug", city_slug(F.col("city")))
+    if city_dim is not None:
+        out = out.join(slug_owners(city_dim), ["slug", "city"], "left_semi")
+    out = out.drop("city")
     if rebalance:
         out = out.hint("rebalance", "slug")
     out.write.mode("overwrite").partitionBy("slug").json(root)

@@ -9,9 +9,10 @@ from conftest import SF001
 from tools.check_oracle import TABLES, _rows
 
 import __spark_entry__ as entry_mod
+from heatgrid.plans import catalog
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
