@@ -98,7 +98,7 @@ def pack_lengths(counts: dict[int, int], window: int) -> list[tuple[int, int, in
 
 def _pieces(path: str, end: int, window: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, rows, held = WordTokens.of(path), [], 0
+        encode, rows, held = WordTokens(path), [], 0     # its memory goes with the task
         for batch in batches:
             ids = batch.column(0).to_pylist()
             texts = batch.column(1)

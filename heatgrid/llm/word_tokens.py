@@ -10,7 +10,6 @@ letters alone is one pre-token, which goes to the model directly.
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 from array import array
@@ -32,11 +31,6 @@ class WordTokens:
         self.parts: dict[str, bytes] = {"": b""}
         self.before: dict[str, bytes] = {}
 
-    @staticmethod
-    @functools.lru_cache(1)
-    def of(path: str) -> "WordTokens":
-        return WordTokens(path)
-
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
         out = []
