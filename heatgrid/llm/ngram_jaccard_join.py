@@ -13,9 +13,9 @@ Steps, each a Spark job:
 1. every text's set, its size and a 128-bit signature; equal sets are one class,
    and its smallest doc_id stands for it;
 2. frequencies: a task sends each range of the hash space one packed block of
-   keys; a range's task answers with each document's number of keys that occur
-   elsewhere. Documents with enough keys of their own for a whole prefix have
-   no partner and end here;
+   shortened keys; a range's task answers with each document's number of keys
+   that occur elsewhere (never too few). Documents with enough keys of their own
+   for a whole prefix have no partner and end here;
 3. the classes left exchange their keys once more, and get prefixes and postings.
    Which texts these are, all tasks know from a bit filter of bounded size, so no
    text is shuffled; what passes it by chance is sorted out by a join later;
@@ -74,8 +74,20 @@ def _signature(s: words.Sets) -> list[pa.Array]:
     return out
 
 
+def _token(ids: np.ndarray, sigs: np.ndarray) -> np.ndarray:
+    """48 bits that stand for a document's text."""
+    return mix(ids.view(U) ^ mix(sigs.view(U))) >> U(16)
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        token = _token(batch.column(0).to_numpy(), batch.column(2).to_numpy())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(token.view(np.int64))],
+                                         names=[*batch.schema.names, "token"])
+
+
 def _slot(ids: np.ndarray, sigs: np.ndarray, bits: int) -> np.ndarray:
-    return (mix(ids.view(U) ^ mix(sigs.view(U))) % U(bits)).astype(np.int64)
+    return (_token(ids, sigs) % U(bits)).astype(np.int64)
 
 
 def _slots(bits: int):
@@ -105,27 +117,60 @@ _BLOCK = pa.schema([("range", pa.int32()), ("ids", pa.binary()), ("sigs", pa.bin
 _BLOCK_SQL = "range int, ids binary, sigs binary, sizes binary, keys binary"
 
 
+def _by_range(batches: Iterator[pa.RecordBatch], n: int, ranges: int):
+    """For each part of the texts: ids, signatures, and by range of the hash space
+    (range, places of its texts, how many keys each has there, keys)."""
+    for batch in batches:
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for s in words.shingle_sets(batch.column(1), n):
+            doc = np.repeat(np.arange(s.last - s.first), np.diff(s.rows))
+            at = ((s.keys >> U(16)) * U(ranges) >> U(32)).astype(np.int32)
+            order = np.argsort(at, kind="stable")
+            at, doc, keys = at[order], doc[order], s.keys[order]
+            edges = np.searchsorted(at, np.arange(ranges + 1))
+            yield ids[s.first:s.last], _signature(s)[0].to_numpy(), [
+                (r, *np.unique(doc[lo:hi], return_counts=True), keys[lo:hi])
+                for r in np.flatnonzero(np.diff(edges)) for lo, hi in [edges[r:r + 2]]]
+
+
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [[]] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, schema)], schema=schema)
+
+
 def _send(n: int, ranges: int):
     """Blocks of keys by range of the hash space, with the ids and signatures of their texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for s in words.shingle_sets(batch.column(1), n):
-                sig = _signature(s)[0].to_numpy()
-                doc = np.repeat(np.arange(s.last - s.first), np.diff(s.rows))
-                at = ((s.keys >> U(16)) * U(ranges) >> U(32)).astype(np.int32)
-                order = np.argsort(at, kind="stable")
-                at, doc, keys = at[order], doc[order], s.keys[order]
-                edges = np.searchsorted(at, np.arange(ranges + 1))
-                rows = [[], [], [], [], []]
-                for r in np.flatnonzero(np.diff(edges)):
-                    lo, hi = edges[r], edges[r + 1]
-                    own, size = np.unique(doc[lo:hi], return_counts=True)
-                    for col, value in zip(rows, (r, ids[s.first + own].astype("<i8").tobytes(),
-                                                 sig[own].astype("<i8").tobytes(), size.astype("<i4").tobytes(),
-                                                 pack48(keys[lo:hi]))):
-                        col.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(rows, _BLOCK)], schema=_BLOCK)
+        for ids, sig, parts in _by_range(batches, n, ranges):
+            yield _rows([(r, ids[own].astype("<i8").tobytes(), sig[own].astype("<i8").tobytes(),
+                          size.astype("<i4").tobytes(), pack48(keys)) for r, own, size, keys in parts], _BLOCK)
+    return run
+
+
+_SHORT = pa.schema([("range", pa.int32()), ("tokens", pa.binary()), ("sizes", pa.binary()), ("keys", pa.binary())])
+_SHORT_SQL = "range int, tokens binary, sizes binary, keys binary"
+_COUNTS = pa.schema([("part", pa.int32()), ("tokens", pa.binary()), ("sizes", pa.binary())])
+
+
+def _pieces(tokens: np.ndarray, sizes: np.ndarray) -> tuple[bytes, bytes]:
+    """Tokens in 6 bytes and sizes in one; a size over 255 takes several entries."""
+    times = -(-sizes // 255)
+    short = np.full(times.sum(), 255, np.uint8)
+    short[np.cumsum(times) - 1] = sizes - 255 * (times - 1)
+    return pack48(np.repeat(tokens, times)), short.tobytes()
+
+
+def _send_short(n: int, ranges: int):
+    """Blocks of the lower 32 bits of the keys by range, with the tokens of their texts.
+
+    Keys of a range that agree in these bits only count as shared, which lets
+    a few more texts pass to the next step, where whole keys meet.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, sig, parts in _by_range(batches, n, ranges):
+            token = _token(ids.astype(np.int64), sig)
+            yield _rows([(r, *_pieces(token[own], size), keys.astype("<u4").tobytes())
+                         for r, own, size, keys in parts], _SHORT)
     return run
 
 
@@ -164,28 +209,39 @@ def _gather(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return text, doc, keys, np.repeat(df, df)
 
 
+def _sized(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct tokens, each entry's place among them, and each entry's size."""
+    token, at = np.unique(unpack48(b"".join(table.column("tokens").to_pylist())), return_inverse=True)
+    return token, at, np.frombuffer(b"".join(table.column("sizes").to_pylist()), np.uint8)
+
+
 def _shared_counts(parts: int):
-    """How many of its keys each text shares, packed by hash of its id."""
+    """How many of its keys each text shares, packed by its token.
+
+    A row that repeats a text shares its keys with it: the count may be too great, never too small.
+    """
     def run(table: pa.Table) -> pa.Table:
-        (ids, sigs), doc, _, df = _gather(table)
-        counts = np.bincount(doc[df > 1], minlength=len(ids))
+        token, at, sizes = _sized(table)
+        doc = np.repeat(at, sizes)
+        keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), "<u4")
+        order = np.argsort(keys, kind="stable")
+        same = np.diff(keys[order]) == 0
+        shared_ = np.append(same, False) | np.insert(same, 0, False)
+        counts = np.bincount(doc[order[shared_]], minlength=len(token))
         used = np.flatnonzero(counts)
-        part = mix(ids[used].view(U)) % U(parts)
-        order = used[np.argsort(part, kind="stable")]
+        part = token[used] % U(parts)
+        used = used[np.argsort(part, kind="stable")]
         edges = np.searchsorted(np.sort(part), np.arange(parts + 1, dtype=U))
-        rows = [(int(p), np.stack([ids[i], sigs[i], counts[i]]).astype("<i8").tobytes())
-                for p in np.flatnonzero(np.diff(edges)) for i in [order[edges[p]:edges[p + 1]]]]
-        return pa.table({"part": pa.array([r[0] for r in rows], pa.int32()),
-                         "counts": pa.array([r[1] for r in rows], pa.binary())})
+        return pa.Table.from_batches([_rows([
+            (p, *_pieces(token[i], counts[i]))
+            for p in np.flatnonzero(np.diff(edges)) for i in [used[edges[p]:edges[p + 1]]]], _COUNTS)])
     return run
 
 
 def _add_up(table: pa.Table) -> pa.Table:
-    ids, sigs, counts = np.concatenate([np.frombuffer(x, "<i8").reshape(3, -1)
-                                        for x in table.column("counts").to_pylist()], 1)
-    text, at = np.unique(np.stack([ids, sigs]), axis=1, return_inverse=True)
-    total = np.bincount(at.ravel(), counts, minlength=text.shape[1]).astype(np.int64)
-    return pa.table({"doc_id": text[0], "sig_a": text[1], "shared": total})
+    token, at, sizes = _sized(table)
+    total = np.bincount(at, sizes, minlength=len(token)).astype(np.int64)
+    return pa.table({"token": token.astype(np.int64), "shared": total})
 
 
 def _shared_keys(table: pa.Table) -> pa.Table:
@@ -331,10 +387,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, orders: i
     ranges = max(1, min(1 << 20, -(-size // RANGE_BYTES)))
     cut = F.col("n_shingles") - F.floor((percent * F.col("n_shingles") + 99) / 100) + 1
     named = docs.filter("doc_id is not null and text is not null")
-    counts = (named.mapInArrow(_send(n, ranges), _BLOCK_SQL).groupBy("range")
-              .applyInArrow(_shared_counts(ranges), "part int, counts binary")
-              .groupBy("part").applyInArrow(_add_up, "doc_id long, sig_a long, shared long"))
-    left = stage.keep("left", members.filter("doc_id = rep").join(counts, ["doc_id", "sig_a"])
+    counts = (named.mapInArrow(_send_short(n, ranges), _SHORT_SQL).groupBy("range")
+              .applyInArrow(_shared_counts(ranges), "part int, tokens binary, sizes binary")
+              .groupBy("part").applyInArrow(_add_up, "token long, shared long"))
+    reps = (members.filter("doc_id = rep").select("doc_id", *sig)
+            .mapInArrow(_tokens, "doc_id long, n_shingles long, sig_a long, sig_b long, token long"))
+    left = stage.keep("left", reps.join(counts, "token")
                       .filter(F.col("n_shingles") - F.col("shared") < cut).select("doc_id", *sig))
     stage.release()
     keys = left.agg(F.sum("n_shingles")).first()[0] or 0
