@@ -170,12 +170,12 @@ def regression_line(base: DataFrame, digits: int = 6) -> DataFrame:
 def latest_per_city(base: DataFrame) -> DataFrame:
     """Row at each city's maximum date, (city, date) being unique.
 
-    A partial hash aggregate finds each city's last date (no sort of a whole
-    city's rows, unlike a ranking window); the one-row-per-city result is
-    joined back on the unique key, broadcast when AQE measures it small.
+    One partial hash aggregate, a ``max_by`` per column: no ranking window sorts
+    a city's rows, no join reads them again, and since a city has one row per
+    date, all columns come from the same row.
     """
-    last = base.groupBy("city").agg(F.max("date").alias("date"))
-    return base.join(last, ["city", "date"]).select(*base.columns)
+    last = [F.max_by(c, "date").alias(c) for c in base.columns if c not in ("city", "date")]
+    return base.groupBy("city").agg(F.max("date").alias("date"), *last).select(*base.columns)
 
 
 def _geo(latest: DataFrame, prev: DataFrame, city: str | None) -> DataFrame:

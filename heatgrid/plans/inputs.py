@@ -1,17 +1,20 @@
-"""Shared lazy inputs of the registered queries, built from one data folder.
+"""Shared inputs of the registered queries, built from one data folder.
 
-Nothing here runs an action: each accessor returns a new lazy plan over the
-given tables, so every query's work grows with the data it reads.
+Each accessor returns a lazy plan over the given tables, so every query's work
+grows with the data it reads. Only ``stage`` and ``master_snapshot`` write a
+table, for queries that read it more than once.
 """
 
 from __future__ import annotations
 
 import functools
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from heatgrid.operators import analysis, clean, master as mst, stations as stn
+from heatgrid.schemas import MASTER_COLUMNS
 from heatgrid.session import ensure_checkpoint_dir
 from heatgrid.sources import fixtures
 
@@ -82,31 +85,43 @@ class Inputs:
 
         One scan per raw table feeds the daily pivot, the duplicate check and
         every later quality check (as in ``plans.refresh``); the keys are read
-        twice (report and pivot), so they are checkpointed, while processed
-        is read by one pass only.
+        twice (report and pivot), so they are written, while processed is read
+        by one pass only.
         """
-        ensure_checkpoint_dir(self.spark)
-        keys = clean.weather_keys(self.raw_weather()).checkpoint(eager=True)
+        keys = self._written("weather-keys", clean.weather_keys(self.raw_weather()))
         weather = clean.weather_daily_from_keys(keys, self.city_dim())
         processed = mst.weather_energy_outer(weather, self.energy_daily())
         return keys, processed
 
+    def _written(self, name: str, df: DataFrame) -> DataFrame:
+        """A Parquet table in the session's checkpoint folder (shared storage on a cluster):
+        it cuts the lineage to the raw tables and keeps column pruning and pushed filters."""
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def master_snapshot(self) -> DataFrame:
-        """The refresh's master as a materialized snapshot (what the dashboard reads).
+        """The refresh's master as a written table (what the dashboard reads)."""
+        return self._written("master", self.master())
+
+    def dated(self, start=None, end=None, city: str | None = None) -> DataFrame:
+        """The master's rows with a date, of a range and a city.
 
-        Written once to the session's checkpoint folder (shared storage named
-        by ``spark.checkpoint.dir`` on a cluster), which also cuts the lineage
-        back to the raw tables: views that read the master several times, or
-        a retried task, never recompute the refresh.
+        Range and city are group keys of both daily aggregates, so they are
+        applied to the raw readings and reach the scans. Placeholders have no
+        date, so they need not be made.
         """
-        ensure_checkpoint_dir(self.spark)
-        return self.master().checkpoint(eager=True)
+        raw_weather, raw_energy = (analysis.select_city(raw, city) for raw in (self.raw_weather(), self.raw_energy()))
+        merged = mst.weather_energy_outer(clean.weather_daily(raw_weather, self.city_dim(), start, end),
+                                          clean.energy_daily(raw_energy, self.city_dim(), start, end))
+        return merged.select(*MASTER_COLUMNS)
 
     # analysis frames
-    def filtered(self, metric: str = "avg", start=None, end=None, master: DataFrame | None = None) -> DataFrame:
-        m = self.master() if master is None else master
+    def filtered(self, metric: str = "avg", start=None, end=None, master: DataFrame | None = None,
+                 city: str | None = None) -> DataFrame:
+        m = self.dated(start, end, city) if master is None else master
         return analysis.date_filtered(m, self.city_dim(), start, end, metric)
 
     def base(self, metric: str = "avg", start=None, end=None, city=None,
              master: DataFrame | None = None) -> DataFrame:
-        return analysis.select_city(self.filtered(metric, start, end, master), city)
+        return analysis.select_city(self.filtered(metric, start, end, master, city), city)
