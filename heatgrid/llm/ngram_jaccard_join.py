@@ -398,8 +398,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, orders: i
     keys = left.agg(F.sum("n_shingles")).first()[0] or 0
     # texts that pass by chance only add to frequencies, and find no row of `left` afterwards
     table = spark.sparkContext.broadcast(_filter(left))
-    answered = (named.mapInArrow(_passing(n, table), "doc_id long, text string")
-                .mapInArrow(_send(n, max(1, -(-keys // RANGE_KEYS))), _BLOCK_SQL)
+    passing, send = _passing(n, table), _send(n, max(1, -(-keys // RANGE_KEYS)))
+    answered = (named.mapInArrow(lambda batches: send(passing(batches)), _BLOCK_SQL)
                 .groupBy("range").applyInArrow(_shared_keys, "doc_id long, sig_a long, keys binary, dfs binary")
                 .groupBy("doc_id", "sig_a").agg(F.collect_list(F.struct("keys", "dfs")).alias("parts")))
     of = left.select("doc_id", "sig_a", F.col("n_shingles").alias("n"))
