@@ -16,14 +16,14 @@ from heatgrid.llm import (best_fit_packing, edit_decontamination, line_crf, ngra
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the classifier takes for good."""
-    queries.workers_find_package(spark)
+    queries.prepare_workers(spark)
     model = line_crf.train(docs, queries.labels_to_learn(spark, sf_dir))
     return line_crf.score(docs, model).filter("score >= 0.5").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without repeated passages; those of which nothing is left go."""
-    queries.workers_find_package(spark)
+    queries.prepare_workers(spark)
     cut = window_line_dedup.dedup_lines(docs).filter("lines_removed = 0 or trim(text) <> ''")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
@@ -34,7 +34,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id; rows without doc_id stay."""
-    queries.workers_find_package(spark)
+    queries.prepare_workers(spark)
     groups = ngram_jaccard_join.jaccard_components(docs)
     gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
     named = docs.filter("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
@@ -43,13 +43,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no benchmark item."""
-    queries.workers_find_package(spark)
+    queries.prepare_workers(spark)
     return edit_decontamination.decontaminate(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The places of the documents' pieces in sequences."""
-    queries.workers_find_package(spark)
+    queries.prepare_workers(spark)
     return best_fit_packing.pack(docs, queries.tokenizer("word_bpe_49k.json"))
 
 

@@ -28,7 +28,7 @@ EDGE = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, None), (3, ""), (None, "
 
 @pytest.fixture(scope="module", autouse=True)
 def package(spark):
-    queries.workers_find_package(spark)
+    queries.prepare_workers(spark)
 
 
 def table(spark, rows, schema=DOCS):
