@@ -5,18 +5,18 @@ doc_id; a shard is a run of them. The smallest feasible capacity is found by
 binary search, checked greedily: fill a shard until the next group would
 overflow it. Then the groups are cut there.
 
-The search needs the groups' sizes in order, and there are as many as distinct
-texts. So groups next to each other are joined to at most ``UNITS`` units of
-about equal bytes (by their place in the running sum of all sizes) before the
-driver searches; inputs with fewer groups keep each as its own unit. With N
-groups in more than ``UNITS`` units the capacity found is at most one unit, that
-is total / ``UNITS`` plus a group, above that of single groups.
+The search needs the groups' starts in order, and there are as many as distinct
+texts. The driver holds about ``UNITS`` of them at a time: with more groups it
+gets the first and the last start of each of so many stretches of bytes, which
+bound the smallest feasible capacity and each shard's start from both sides. It
+then gets the starts between these bounds, in as many shorter stretches, until
+both sides meet. So the cuts are those of single groups for any number of them.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -55,6 +55,66 @@ def minimax_cuts(sizes: list[int], shards: int) -> list[int]:
     return greedy_cuts(ends, low, shards)
 
 
+def narrow(runs: list[tuple[int, int, int]], low: int, high: int, shards: int):
+    """Bounds of the smallest feasible capacity in [low, high], and of the shards' starts for these capacities.
+
+    ``runs`` are (first start, last start, groups) of stretches in order, the last one the end of all; what
+    starts within a run is not known. Holds while the starts for all of [low, high] are in the runs.
+    """
+    firsts, lasts = [r[0] for r in runs], [r[1] for r in runs]
+
+    def starts(capacity: int, late: bool) -> list[int]:
+        found = [0]
+        for _ in range(shards):
+            reach = found[-1] + capacity
+            k = bisect_right(firsts, reach) - 1
+            found.append(lasts[k] if reach >= lasts[k] else reach if late else firsts[k])
+        return found
+
+    def least(late: bool) -> int:
+        a, b = low, high
+        while a < b:
+            mid = (a + b) // 2
+            if starts(mid, late)[-1] < lasts[-1]:
+                a = mid + 1
+            else:
+                b = mid
+        return a
+
+    low, high = least(True), least(False)
+    return low, high, starts(low, False), starts(high, True)
+
+
+def search(fetch: Callable, runs: list[tuple[int, int, int]], low: int, high: int, shards: int) -> list[int]:
+    """The shards' starts, and the end, for the smallest feasible capacity in [low, high].
+
+    ``fetch`` gives the runs in windows (a, b), or single starts. Where windows do not get emptier (their
+    bounds lie on two sides of a large group), the middle capacity is settled on its own.
+    """
+    before = None
+    while True:
+        low, high, early, late = narrow(runs, low, high, shards)
+        if low == high and early == late:
+            return early
+        # cut at each bound, so that a start's later bound is resolved whatever else its window meets
+        ends = sorted({*early, *(b + 1 for b in late)})
+        windows = [(a, b - 1) for a, b in zip(ends, ends[1:]) if any(c <= a <= d for c, d in zip(early, late))]
+        inside, k = 0, 0
+        for first, last, n in runs:
+            while k < len(windows) - 1 and windows[k][1] < first:
+                k += 1
+            inside += n if windows[k][0] <= last and first <= windows[k][1] else 0
+        if low < high and inside > UNITS and before is not None and 2 * inside > before:
+            mid = (low + high) // 2
+            if search(fetch, runs, mid, mid, shards)[-1] == runs[-1][0]:
+                high = mid
+            else:
+                low = mid + 1
+            continue
+        before = inside
+        runs = [*fetch(windows, inside <= UNITS), runs[-1]]
+
+
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
     task, total = TaskContext.get().partitionId(), 0
@@ -91,13 +151,25 @@ def shard(docs: DataFrame, shards: int = 40, overhead: int = 16) -> DataFrame:
     parts = ordered.groupBy("part").agg(F.sum("bytes").alias("n")).select(
         "part", F.expr("coalesce(sum(n) over (order by part rows between unbounded preceding and 1 preceding), 0)")
         .alias("at"))
-    total, count = ordered.agg(F.sum("bytes"), F.count("*")).first()
+    total, count, largest = ordered.agg(F.sum("bytes"), F.count("*"), F.max("bytes")).first()
     placed = ordered.join(F.broadcast(parts), "part").withColumn("at", F.col("at") + F.col("before"))
-    unit = F.col("at") if count <= UNITS else F.floor(F.col("at") / max(1.0, (total or 0) / UNITS))
-    units = (placed.groupBy(unit.cast("long").alias("unit"))
-             .agg(F.sum("bytes").alias("bytes"), F.min("at").alias("at")).collect())
-    units.sort(key=lambda u: u.unit)
-    cuts = [units[k].at for k in minimax_cuts([u.bytes for u in units], shards)]
+
+    def fetch(windows: list, single: bool) -> list[tuple[int, int, int]]:
+        most, base, of = max(2, UNITS // len(windows)), 0, []
+        for a, b in windows:
+            width = 1 if single else (b - a) // most + 1
+            of.append(F.when(F.col("at").between(a, b), F.expr(f"{base} + (at - {a}) div {width}")))
+            base += (b - a) // width + 1
+        found = (placed.filter(F.col("at") < total).select("at", F.coalesce(*of).alias("run")).filter("run is not null")
+                 .groupBy("run").agg(F.min("at"), F.max("at"), F.count("*")))
+        return sorted(tuple(r)[1:] for r in found.collect())
+
+    cuts = []
+    if total:
+        runs = [*fetch([(0, total)], count <= UNITS), (total, total, 0)]
+        cuts = [at for at in search(fetch, runs, max(largest, -(-total // shards)), total, shards) if at < total]
+    elif count:
+        cuts = [0]
     of = F.lit(-1)
     for cut in cuts:
         of = of + (F.col("at") >= cut).cast("int")

@@ -428,6 +428,37 @@ def test_shards(spark):
     assert ms.shard(table(spark, [])).count() == 0
 
 
+def test_search_in_stretches_equals_single_groups(monkeypatch):
+    monkeypatch.setattr(ms, "UNITS", 8)
+    rnd, most_asked = random.Random(11), 0
+    for _ in range(400):
+        sizes = [rnd.choice([1, 2, 3, rnd.randint(1, 30), rnd.choice([1, 4000])]) for _ in range(rnd.randint(1, 300))]
+        k, total = rnd.randint(1, 7), sum(sizes)
+        at = [sum(sizes[:i]) for i in range(len(sizes))]
+
+        def fetch(windows, single):
+            nonlocal most_asked
+            of, most = defaultdict(list), max(2, 8 // len(windows))
+            for w, (a, b) in enumerate(windows):
+                width = 1 if single else (b - a) // most + 1
+                for x in at:
+                    if a <= x <= b:
+                        of[w, (x - a) // width].append(x)
+            most_asked = max(most_asked, len(of))
+            return sorted((min(v), max(v), len(v)) for v in of.values())
+        runs = [*fetch([(0, total)], len(at) <= 8), (total, total, 0)]
+        got = ms.search(fetch, runs, max(max(sizes), -(-total // k)), total, k)
+        assert [x for x in got if x < total] == [at[u] for u in ms.minimax_cuts(sizes, k)]
+    assert most_asked <= 3 * 2 * 8       # two stretches at least in each of the bounds' windows
+
+
+def test_shards_of_many_groups_are_those_of_single_groups(spark, monkeypatch):
+    docs = sf_docs(spark).select("doc_id", "text")
+    whole = sorted(tuple(r)[:5] for r in ms.shard(docs, 5).drop("slot").collect())
+    monkeypatch.setattr(ms, "UNITS", 8)
+    assert sorted(tuple(r)[:5] for r in ms.shard(docs, 5).drop("slot").collect()) == whole
+
+
 # 8 -----------------------------------------------------------------------------------------------
 
 def test_edited_counts_equal_a_new_encoding(spark):
