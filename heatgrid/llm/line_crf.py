@@ -9,8 +9,9 @@ curve of one variable.
 Only documents are labelled, so training starts with the document's label on
 each of its lines, and then lets the lines of bad documents take the model's
 label (their worst line stays bad) and fits again. It uses a bounded sample of
-the labelled documents: ``SAMPLE`` of each label at most, by hash order, and at
-most ``TRAIN_LINES`` lines of each. Scores read all lines of all texts.
+the labelled documents: ``SAMPLE`` of each label at most, by hash order, and no
+further one once those before it have ``SAMPLE_LINES`` lines. Each is taken
+whole. Scores read all lines of all texts.
 """
 
 from __future__ import annotations
@@ -20,14 +21,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heatgrid.llm import words
+from heatgrid.llm import shared, words
 
 SAMPLE = 1500
-TRAIN_LINES = 256
+SAMPLE_LINES = 1 << 17       # of each label
 ROUNDS, STEPS, PENALTY = 3, 150, 1e-3
 CHUNK_BYTES = 6 << 20
 
@@ -188,23 +189,20 @@ def fit(features: list[np.ndarray], sizes: list[np.ndarray], labels: np.ndarray)
     return model
 
 
-def _features(limit: int):
-    schema = pa.schema([("label", pa.int64()), ("lines", pa.int64()), ("x", pa.binary()), ("size", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw, ends = words.column_bytes(batch.column(0))
-            for a, b in words.chunks(ends):
-                x, size, rows = line_features(raw[ends[a]:ends[b]], ends[a:b + 1] - ends[a])
-                cut = [(i, min(j, i + limit)) for i, j in zip(rows[:-1], rows[1:])]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(1).slice(a, b - a), pa.array([j - i for i, j in cut], pa.int64()),
-                    pa.array([x[i:j].astype("<f4").tobytes() for i, j in cut], pa.binary()),
-                    pa.array([size[i:j].astype("<f4").tobytes() for i, j in cut], pa.binary())], schema=schema)
-    return run
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        raw, ends = words.column_bytes(batch.column(2))
+        for a, b in words.chunks(ends):
+            x, size, rows = line_features(raw[ends[a]:ends[b]], ends[a:b + 1] - ends[a])
+            at = list(zip(rows[:-1], rows[1:]))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k).slice(a, b - a) for k in (0, 1)), pa.array(np.diff(rows).astype(np.int64)),
+                 pa.array([x[i:j].astype("<f4").tobytes() for i, j in at], pa.binary()),
+                 pa.array([size[i:j].astype("<f4").tobytes() for i, j in at], pa.binary())],
+                names=["doc_id", "label", "lines", "x", "size"])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int = TRAIN_LINES) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int = SAMPLE_LINES) -> Model | None:
     """Fit on ``docs`` (doc_id, text) with ``labels`` (doc_id, quality 0 or 1). None without both labels.
 
     Of several labels of an id the lowest holds; null ids and labels are left out.
@@ -213,11 +211,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int =
               .filter("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label")))
     # by hash, so the sample is the same for every layout of the tables; 2 * sample rows at most
     some = [marked.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for k in (0, 1)]
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .join(F.broadcast(some[0].unionByName(some[1])), "doc_id").groupBy("doc_id")
-            .agg(F.min("text").alias("text"), F.min("label").alias("label"))
-            .orderBy("doc_id").select("text", "label")
-            .mapInArrow(_features(lines), "label long, lines long, x binary, size binary").collect())
+    stage = shared.Stage(docs.sparkSession, "line-crf")
+    table = stage.keep("features", docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                               F.col("text").cast("string").alias("text"))
+                       .join(F.broadcast(some[0].unionByName(some[1])), "doc_id").groupBy("doc_id")
+                       .agg(F.min("label").alias("label"), F.min("text").alias("text"))
+                       .mapInArrow(_features, "doc_id long, label long, lines long, x binary, size binary"))
+    earlier = (Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    fits = (table.select("doc_id", F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("before"))
+            .filter(F.col("before") < lines).select("doc_id"))
+    rows = table.join(F.broadcast(fits), "doc_id").orderBy("doc_id").select("label", "lines", "x", "size").collect()
+    stage.drop("features")
     if len({r.label for r in rows if r.lines}) < 2:
         return None
     return fit([np.frombuffer(r.x, "<f4").reshape(r.lines, -1).astype(float) for r in rows],

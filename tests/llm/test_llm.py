@@ -139,6 +139,20 @@ def test_quality_edges(spark):
     assert line_crf.score(docs.limit(0), model).count() == 0
 
 
+def test_quality_trains_on_whole_documents(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(line_crf, "fit", lambda x, sizes, labels: seen.append(
+        sorted((int(k), len(a), len(b)) for k, a, b in zip(labels, x, sizes))))
+    rows = [(i, "\n".join(["some words here"] * n)) for i, n in enumerate([700, 300, 5, 400, 20, 6])]
+    docs = table(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
+    line_crf.train(docs, labels)
+    assert seen.pop() == [(0, 5, 5), (0, 20, 20), (0, 700, 700), (1, 6, 6), (1, 300, 300), (1, 400, 400)]
+    line_crf.train(docs, labels, lines=1)
+    one, = seen
+    assert [k for k, *_ in one] == [0, 1] and all((k, n) in {(i % 2, t.count("\n") + 1) for i, t in rows} for k, n, _ in one)
+
+
 # 2 -----------------------------------------------------------------------------------------------
 
 def brute_lm(docs):
