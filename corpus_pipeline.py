@@ -33,12 +33,32 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id; rows without doc_id stay."""
+    """Of each group of linked documents the one with the smallest doc_id; rows without doc_id stay.
+
+    Rows that repeat a doc_id with another text are documents like any other; of
+    those that repeat it with the same text one stays.
+    """
     queries.prepare_workers(spark)
-    groups = ngram_jaccard_join.jaccard_components(docs)
-    gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    named, nameless = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
+    if named.groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        one = _one_of_each_group(shared.Stage(spark, "near-duplicates"), named)
+    else:
+        groups = ngram_jaccard_join.jaccard_components(named)
+        one = named.join(groups.filter("component_id <> doc_id").select("doc_id"), "doc_id", "left_anti")
+    return one.select(*docs.columns).unionByName(nameless)
+
+
+def _one_of_each_group(stage: shared.Stage, named: DataFrame) -> DataFrame:
+    """The same where ids repeat: each (doc_id, text) gets a number of its own, which the join links."""
+    named = named.withColumn("__text", F.unhex(F.md5(F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")),
+                                                              "UTF-8"))))
+    keys = stage.keep("keys", named.select("doc_id", "__text").distinct()
+                      .withColumn("__row", F.monotonically_increasing_id()))
+    rows = stage.keep("rows", named.join(keys, ["doc_id", "__text"]).dropDuplicates(["__row"]))
+    groups = ngram_jaccard_join.jaccard_components(rows.select(F.col("__row").alias("doc_id"), "text"))
+    first = (groups.withColumnRenamed("doc_id", "__row").join(keys, "__row").groupBy("component_id")
+             .agg(F.min(F.struct("doc_id", "__text", "__row")).alias("first")).select("first.__row"))
+    return rows.join(first, "__row", "left_semi")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

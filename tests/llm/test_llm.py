@@ -601,6 +601,16 @@ def test_pipeline_stages_take_effect(spark):
     assert sorted(map(tuple, whole)) == sorted(map(tuple, packed)) or {r.doc_id for r in whole} == left
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    a, b, c = ("one two three four five six", "an other text that is not like it", "a third one of its own kind")
+    rows = [(1, a), (1, b), (2, b), (3, a), (3, c), (4, c), (4, c), (5, "x"), (5, "x"), (6, None), (None, a), (None, a)]
+    got = corpus_pipeline.near_duplicates(spark, table(spark, rows), SF).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == [
+        (0, a), (0, a), (1, b), (1, a), (3, c), (5, "x"), (6, "")]
+    got = corpus_pipeline.near_duplicates(spark, table(spark, [(1, a), (2, b), (3, a), (None, a)]), SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, a), (1, a), (2, b)]
+
+
 @pytest.mark.parametrize("rows", [EDGE, []])
 def test_pipeline_stages_on_edges(spark, rows):
     docs = table(spark, rows)
