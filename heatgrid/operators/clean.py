@@ -192,15 +192,25 @@ def energy_coerced(raw_energy: DataFrame) -> DataFrame:
     )
 
 
+def of_respondent(raw_energy: DataFrame, city_dim: DataFrame) -> DataFrame:
+    """Records of the city's own balancing authority (S8); records without a respondent stay."""
+    ba = valid_cities(city_dim).select(F.col("city").alias("_city"), F.trim("eia_ba_code").alias("_ba"))
+    own = F.col("respondent").isNull() | (F.trim("respondent") == F.col("_ba"))
+    return raw_energy.join(ba, (F.col("city") == F.col("_city")) & own, "left_semi")
+
+
 def energy_daily(raw_energy: DataFrame, city_dim: DataFrame | None = None,
                  start=None, end=None) -> DataFrame:
     """Daily energy per city: exact sum, half-even to 2 decimals.
 
     NULL values are skipped, an all-NULL day gives 0.0, NULL dates are
-    dropped. Only cities passing the BA gate contribute (S5). A landed file
+    dropped. Only cities passing the BA gate contribute (S5), and of records
+    that name a respondent only those of the city's BA (S8). A landed file
     with a corrupt record or an unparsable period contributes nothing and
     raises no warning, as in the reference.
     """
+    if city_dim is not None and "respondent" in raw_energy.columns:
+        raw_energy = of_respondent(raw_energy, city_dim)
     checks = _has_corrupt(raw_energy) or dict(raw_energy.dtypes)["period"] == "string"
     keep = in_range(F.col("date"), start, end)
     if checks:

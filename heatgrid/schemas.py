@@ -19,6 +19,7 @@ RAW_WEATHER = T.StructType([
 # Landed raw energy: value arrives as text or number; kept as text, coerced later.
 RAW_ENERGY = T.StructType([
     T.StructField("period", T.StringType()),
+    T.StructField("respondent", T.StringType()),
     T.StructField("value", T.StringType()),
     T.StructField("pos", T.DecimalType(38, 0)),
     T.StructField("_corrupt", T.StringType()),

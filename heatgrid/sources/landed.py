@@ -71,7 +71,7 @@ def read_weather(spark: SparkSession, path: str, city_dim: DataFrame, multi_line
 
 
 def read_energy(spark: SparkSession, path: str, city_dim: DataFrame, multi_line: bool = False) -> DataFrame:
-    """``(city, period, value, pos, _file, _corrupt)`` with ``value`` kept as text."""
+    """``(city, period, respondent, value, pos, _file, _corrupt)`` with ``value`` kept as text."""
     return read_landed(spark, path, "eia", city_dim, multi_line)
 
 

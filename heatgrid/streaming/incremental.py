@@ -51,7 +51,7 @@ def _split(batch: DataFrame, city_dim: DataFrame):
     w = rows.filter(F.col("source") == "noaa").select(
         "city", "date", "datatype", F.col("w_value").alias("value"), "pos", "_corrupt")
     e = rows.filter(F.col("source") == "eia").select(
-        "city", "period", F.col("e_value").alias("value"), "_corrupt")
+        "city", "period", "respondent", F.col("e_value").alias("value"), "_corrupt")
     return w, e
 
 

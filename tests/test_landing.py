@@ -161,3 +161,14 @@ def test_station_catalogue_round_trip(spark, scratch):
     found = stations.station_ba_map(stations.station_search(st, "2024-06-01")).collect()
     assert [(r.noaa_station_id, r.eia_ba_code, r.match_type) for r in found] == [
         ("GHCND:USW00012960", "ERCO", "City Match")]
+
+
+def test_energy_of_other_respondents_is_left_out(spark, scratch):
+    cities = landed.city_dim_from_entries(spark, [
+        {"name": "A", "state": "S", "noaa_station_id": "G1", "eia_ba_code": "BA1", "latitude": 1, "longitude": 1}])
+    rows = [("BA1", "1"), ("BA2", "20"), (None, "300"), ("BA1", "4000")]
+    raw = spark.createDataFrame([("A", "2024-01-01", r, v) for r, v in rows],
+                                "city string, period string, respondent string, value string")
+    sinks.land_readings(raw, scratch + "/eia")
+    got = clean.energy_daily(landed.read_energy(spark, scratch + "/eia", cities), cities).collect()
+    assert [(r.city, r.energy_mwh) for r in got] == [("A", 4301.0)]
