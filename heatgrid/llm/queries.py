@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 import heatgrid
 from heatgrid.llm import (best_fit_packing, cross_polytope, deleted_interpolation, edit_decontamination,
-                          edit_token_counts, line_crf, minimax_sharding, ngram_jaccard_join, trigram_secrets,
-                          window_line_dedup)
+                          edit_token_counts, line_crf, minimax_sharding, ngram_jaccard_join, prefix_trie,
+                          spelling_variants, trigram_secrets, window_line_dedup, zstd_language)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,9 +98,28 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trigram_secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without doc_id are neither learned from nor held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = remainder(F.col("doc_id"), 5)
+    model = zstd_language.train(docs.filter(fold != 0))
+    found = zstd_language.identify(docs.select("doc_id", "text"), model, keep_text=False)
+    return found.select("doc_id", (F.coalesce(fold, F.lit(1)) == 0).alias("held_out"), "lang_pred", "score", "margin",
+                        F.col("language").isNull().alias("rejected"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 _QUERIES = (op1_line_crf, op2_deleted_interpolation, op3_cross_polytope, op4_edit_decontamination,
             op5_best_fit_packing, op6_window_line_dedup, op7_minimax_sharding, op8_edit_token_counts,
-            op9_ngram_jaccard_join, op10_trigram_secrets)
+            op9_ngram_jaccard_join, op10_trigram_secrets, op11_zstd_language, op12_prefix_trie,
+            op13_spelling_variants)
 
 
 def prepare_workers(spark: SparkSession) -> None:
