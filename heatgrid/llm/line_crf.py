@@ -11,7 +11,9 @@ each of its lines, and then lets the lines of bad documents take the model's
 label (their worst line stays bad) and fits again. It uses a bounded sample of
 the labelled documents: ``SAMPLE`` of each label at most, by hash order, and no
 further one once those before it have ``SAMPLE_LINES`` lines. Each is taken
-whole. Scores read all lines of all texts.
+whole. Scores read all lines of all texts: ``SLICE`` bytes at a time become
+features, of which each line keeps four numbers, and a long text's chain goes
+in pieces of ``PIECE`` lines that step together. Repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -30,9 +32,11 @@ from heatgrid.llm import shared, words
 SAMPLE = 1500
 SAMPLE_LINES = 1 << 17       # of each label
 ROUNDS, STEPS, PENALTY = 3, 150, 1e-3
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 2 << 20
+SLICE = 1 << 18              # bytes made into features at a time when texts are scored
+PIECE = 512                  # lines of a chain stepped one after another when texts are scored
 
-_CLASS = np.zeros(256, np.int64)      # byte -> class; 0: none of these
+_CLASS = np.zeros(256, np.int8)      # byte -> class; 0: none of these
 for _k, _bytes in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".,;:'\"-()", b"!?", b"|",
                              b"#$%&*@^~+=_<>{}[]/\\`"), 1):
     _CLASS[list(_bytes)] = _k
@@ -114,6 +118,68 @@ def marginals(emit: np.ndarray, rows: np.ndarray, move: np.ndarray) -> tuple[np.
     return np.exp(both[:, 1] - total), np.exp(pair).sum(0)
 
 
+def _going(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs by falling size, and how many of them have a step t."""
+    order = np.argsort(-size, kind="stable")
+    return order, np.searchsorted(-size[order], -np.arange(size.max() if len(size) else 0), "left")
+
+
+def posterior(emit: np.ndarray, rows: np.ndarray, move: np.ndarray, piece: int = PIECE) -> np.ndarray:
+    """P(good) of each line, as ``marginals`` gives it, for chains of any length.
+
+    Chains are cut into pieces. All pieces step together and give the weights
+    from their first line's state to their last line's; these are put together
+    piece by piece, and then all pieces step once more, from what came before
+    and what follows.
+    """
+    size = np.diff(rows)
+    pieces = -(-size // piece)
+    chain = np.repeat(np.arange(len(size)), pieces)
+    place = np.arange(len(chain)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    start = rows[:-1][chain] + place * piece
+    stop = np.minimum(start + piece, rows[1:][chain])
+    order, going = _going(stop - start)
+    first = start[order]
+    e = np.stack([np.zeros_like(emit), emit], 1)
+    before, after = np.zeros((len(chain), 2)), np.zeros((len(chain), 2))
+    several = len(pieces) and pieces.max() > 1
+    if several:
+        through = np.full((len(chain), 2, 2), -np.inf)         # by rank: first line's state to last line's
+        through[:, 0, 0], through[:, 1, 1] = e[first, 0], e[first, 1]
+        for t in range(1, len(going)):
+            n = going[t]
+            through[:n] = np.logaddexp(through[:n, :, :1] + move[0], through[:n, :, 1:] + move[1]) + e[
+                first[:n] + t][:, None, :]
+        of = np.empty_like(through)
+        of[order] = through
+        for k in range(1, pieces.max()):
+            at = np.flatnonzero(place == k)
+            end = np.logaddexp(before[at - 1, :1] + of[at - 1, 0], before[at - 1, 1:] + of[at - 1, 1])
+            before[at] = np.logaddexp(end[:, :1] + move[0], end[:, 1:] + move[1])
+        for k in range(pieces.max() - 1, 0, -1):
+            at = np.flatnonzero(place == k)
+            whole = np.logaddexp(of[at, :, 0] + after[at, :1], of[at, :, 1] + after[at, 1:])
+            after[at - 1] = np.logaddexp(whole[:, :1] + move[:, 0], whole[:, 1:] + move[:, 1])
+    fore, back = e.copy(), np.zeros_like(e)
+    fore[start] += before
+    back[stop - 1] = after
+    for t in range(1, len(going)):
+        at = first[:going[t]] + t
+        fore[at] += np.logaddexp(fore[at - 1, :1] + move[0], fore[at - 1, 1:] + move[1])
+    for t in range(len(going) - 1, 0, -1):
+        at = first[:going[t]] + t
+        reach = e[at] + back[at]
+        back[at - 1] = np.logaddexp(reach[:, :1] + move[:, 0], reach[:, 1:] + move[:, 1])
+    fore += back
+    return np.exp(fore[:, 1] - np.logaddexp(fore[:, 0], fore[:, 1]))
+
+
+def _slices(data: np.ndarray, rows: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Runs of whole lines with about ``limit`` bytes each; a text's end ends a line as well."""
+    cuts = np.unique(np.concatenate([np.flatnonzero(data == 10) + 1, rows]))
+    return ((int(cuts[a]), int(cuts[b])) for a, b in words.chunks(cuts, limit))
+
+
 @dataclass
 class Model:
     mean: np.ndarray
@@ -123,9 +189,30 @@ class Model:
     slope: float = 1.0
     shift: float = 0.0
 
-    def good(self, x: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        z = (with_neighbours(x, rows) - self.mean) / self.scale
-        return marginals(z @ self.weight, rows, self.move)[0]
+    def lines(self, data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the texts in ``data`` at ``rows``: P(good) and bytes of each line with words, lines before each text."""
+        weight = self.weight / self.scale
+        n = _LINE_FEATURES
+        part = np.stack([weight[:n], weight[n:2 * n], weight[2 * n:3 * n]], 1)      # own, previous, next line
+        seen, sizes, marks, counts = [np.zeros((0, 3))], [np.zeros(0)], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
+        for a, b in _slices(data, rows, SLICE):
+            inner = rows[(rows > a) & (rows < b)]
+            x, size, at = line_features(data[a:b], np.concatenate([[0], inner - a, [b - a]]))
+            seen.append(x @ part)
+            sizes.append(size)
+            marks.append(np.append(inner, b))           # lines are counted up to texts' starts and slices' ends
+            counts.append(counts[-1][-1] + at[1:])
+        seen, size = np.concatenate(seen), np.concatenate(sizes)
+        del sizes
+        lines = np.concatenate(counts)[np.searchsorted(np.concatenate(marks), rows)]
+        emit = seen[:, 0] + self.weight[-1] - float(self.mean[:-1] @ weight[:-1])
+        inside = np.ones(len(emit), bool)
+        inside[lines[:-1][np.diff(lines) > 0]] = False
+        at = np.flatnonzero(inside)
+        emit[at] += seen[at - 1, 1]
+        emit[at - 1] += seen[at, 2]
+        del seen, inside, at
+        return posterior(emit, lines, self.move), size, lines
 
 
 def aggregate(good: np.ndarray, size: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -156,7 +243,9 @@ def fit(features: list[np.ndarray], sizes: list[np.ndarray], labels: np.ndarray)
     full = with_neighbours(x, rows)
     mean, scale = full.mean(0), full.std(0)
     mean[-1], scale = 0, np.where(scale > 1e-9, scale, 1)
-    z = (full - mean) / scale
+    full -= mean
+    full /= scale
+    z = full
     text = np.repeat(np.arange(len(keep)), np.diff(rows))
     of_label = np.bincount(labels.astype(int), minlength=2)
     share = (len(labels) / 2 / np.maximum(of_label, 1))[labels.astype(int)]    # both labels weigh the same
@@ -234,16 +323,17 @@ def _scores(model: Model | None, column: int, keep_text: bool):
         for batch in batches:
             raw, ends = words.column_bytes(batch.column(column))
             for a, b in words.chunks(ends, CHUNK_BYTES):
-                x, size, rows = line_features(raw[ends[a]:ends[b]], ends[a:b + 1] - ends[a])
-                lines = np.diff(rows)
+                data, texts = raw[ends[a]:ends[b]], ends[a:b + 1] - ends[a]
                 if model is None:
+                    rows = line_features(data, texts)[2]
                     score, bad = np.full(b - a, 0.5), np.zeros(b - a, np.int64)
                 else:
-                    good = model.good(x, rows)
+                    good, size, rows = model.lines(data, texts)
                     odds = aggregate(good, size, rows)
                     score = 1 / (1 + np.exp(-np.clip(model.slope * odds + model.shift, -30, 30)))
                     count = np.concatenate([[0], np.cumsum(good < 0.5)])
                     bad = count[rows[1:]] - count[rows[:-1]]
+                lines = np.diff(rows)
                 score = np.where(lines > 0, score, 0.0)
                 part = batch.slice(a, b - a)
                 if not keep_text:

@@ -1,8 +1,11 @@
-"""Language identification, prefix trie and spelling variants against brute force, and their edge cases."""
+"""Language identification, prefix trie, spelling variants and line scores against brute force, and edge cases."""
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from heatgrid.llm import prefix_trie as pt, queries, spelling_variants as sv, zstd_language as zl
+from heatgrid.llm import line_crf, prefix_trie as pt, queries, spelling_variants as sv, zstd_language as zl
 
 SF = "/root/testdata/sf0.001"
 LONG = "Straße und Wörter " * 20000
@@ -245,3 +248,85 @@ def test_variant_edges(spark):
     assert {tuple(r) for r in sv.spelling_variants(df).collect()} == brute_variants(docs)
     assert sv.spelling_variants(df.limit(0)).count() == 0
     assert sv.spelling_variants(df.filter(F.col("doc_id") == 4)).count() == 0
+
+
+# ---------------------------------------------------------------- line CRF
+def plain_score(model, text):
+    """One text's (score, lines, bad lines), line by line in plain Python."""
+    classes = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".,;:'\"-()", b"!?", b"|", b"#$%&*@^~+=_<>{}[]/\\`"]
+    rows, sizes = [], []
+    for line in text.encode().split(b"\n"):
+        ws = re.findall(rb"[^\x20\x09-\x0D]+", line)
+        if not ws:
+            continue
+        k, size = len(ws), sum(map(len, ws))
+        of = [sum(c in cls for c in line) for cls in classes]
+        low = [w.lower() for w in ws]
+        same = sum(a == b for a, b in zip(low, low[1:])) / k
+        end = lambda cls: sum(w[-1] in classes[cls] for w in ws) / k
+        row = [of[0] / size, of[1] / size, *(n / k for n in of[2:]), end(3), end(5),
+               sum(len(w) == 1 and w[-1] in classes[4] for w in ws) / k, same, 1 - len(set(low)) / k,
+               np.log1p(k) / 5, min(size / k, 30) / 10, sum(len(w) <= 3 for w in ws) / k, same ** 0.5]
+        rows.append([min(v, 3.0) for v in row])
+        sizes.append(size)
+    if not rows:
+        return 0.0, 0, 0
+    none = [0.0] * len(rows[0])
+    emit = []
+    for t, row in enumerate(rows):
+        around = row + (rows[t - 1] if t else none) + (rows[t + 1] if t + 1 < len(rows) else none) + [1.0]
+        emit.append(float(((np.array(around) - model.mean) / model.scale) @ model.weight))
+    w = [[1.0, np.exp(e)] for e in emit]
+    m = np.exp(model.move)
+    fore, back = [np.array(w[0])], [np.ones(2)]
+    for t in range(1, len(w)):
+        f = (fore[-1] @ m) * w[t]
+        fore.append(f / f.sum())
+    for t in range(len(w) - 1, 0, -1):
+        b = m @ (back[0] * w[t])
+        back.insert(0, b / b.sum())
+    good = [float((f * b)[1] / (f * b).sum()) for f, b in zip(fore, back)]
+    mean = min(max(sum(g * s for g, s in zip(good, sizes)) / sum(sizes), 1e-4), 1 - 1e-4)
+    odds = np.log(mean / (1 - mean))
+    return 1 / (1 + np.exp(-(model.slope * odds + model.shift))), len(rows), sum(g < 0.5 for g in good)
+
+
+def test_quality_scores_equal_plain_line_by_line_scores(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    model = line_crf.train(docs, queries.labels_to_learn(spark, "/root/testdata/sf0.01"))
+    texts = [r.text for r in docs.filter("doc_id % 7 = 0").collect()] + [
+        "", "\n \n", "one", "Ating. Ating.\n\n| a | b |\n" * 400, "x\n" * 1500, "é É ß\n字字 12!\n"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    rows = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    for size, piece in ((1 << 18, 512), (300, 5)):
+        monkeypatch.setattr(line_crf, "SLICE", size)
+        monkeypatch.setattr(line_crf.posterior, "__defaults__", (piece,))
+        good, weight, lines = model.lines(data, rows)
+        odds = line_crf.aggregate(good, weight, lines)
+        for k, text in enumerate(texts):
+            score, n, bad = plain_score(model, text)
+            part = good[lines[k]:lines[k + 1]]
+            assert len(part) == n and (part < 0.5).sum() == bad
+            if n:
+                assert abs(1 / (1 + np.exp(-(model.slope * odds[k] + model.shift))) - score) < 1e-6
+    scored = {r.doc_id: r for r in line_crf.score(docs, model).filter("doc_id % 50 = 0").collect()}
+    for r in scored.values():
+        score, n, bad = plain_score(model, r.text)
+        assert abs(r.score - score) < 1e-6 and (r.n_lines, r.bad_lines) == (n, bad)
+
+
+def test_memory_of_many_short_lines():
+    code = """if True:
+        import resource, sys
+        import numpy as np
+        from heatgrid.llm import line_crf
+        rnd = np.random.default_rng(1)
+        model = line_crf.Model(np.zeros(46), np.ones(46), rnd.normal(size=46), rnd.normal(size=(2, 2)))
+        data = np.frombuffer(b"ab\\n" * (2 << 20), np.uint8)
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        assert len(model.lines(data, np.array([0, len(data)]))[0]) == 2 << 20
+        print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, check=True).stdout
+    assert float(out) < 300
