@@ -1,14 +1,17 @@
-"""Raw readings -> one row per city and day.
+"""Raw readings -> one row per city and day.
 
 All per-day work is a single hash aggregate on ``(city, date)``: keep-first
-dedup, the TMAX/TMIN pivot and the bad-file flag are fused into it, so the
-raw table is scanned once and shuffled only after map-side partial
-aggregation (at most one row per city-day per task). No window sorts a city.
+dedup and the TMAX/TMIN pivot are fused into it, so the raw table is scanned
+once and shuffled only after map-side partial aggregation (at most one row per
+city-day per task). Landed files, which can fail as a whole, are aggregated
+with their file as a key: their failures and the days they own are judged on
+the aggregated rows (``weather_keys``, ``energy_keys``, ``verdicts``), by joins
+on the file. No window sorts or scans a city.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heatgrid.functions.dates import bad_day, in_range, to_day
@@ -102,32 +105,24 @@ def weather_fahrenheit(raw: DataFrame) -> DataFrame:
 
 
 def _fused_daily(raw: DataFrame) -> DataFrame:
-    """One aggregate per (city, date): keep-first TMAX and TMIN + bad-row flag."""
+    """One aggregate per (city, date): keep-first TMAX and TMIN."""
     dt = F.col("datatype")
     aggs = []
     for name in PIVOT_DATATYPES:
         hit = dt == name
         aggs.append(F.min_by(F.when(hit, F.col("value")), F.when(hit, F.col("pos"))).alias(name))
-    if _file_checks_needed(raw):
-        aggs.append(F.bool_or(_row_is_bad(raw)).alias("_bad"))
     return raw.groupBy("city", to_day(raw, "date").alias("date")).agg(*aggs)
 
 
-def _drop_failed_files(daily: DataFrame) -> DataFrame:
-    """Drop every city (landing file) with a ``_bad`` day, in one pass.
-
-    A window per city over the *aggregated* rows: a city has at most one row
-    per day there, so even a city with a third of all raw readings is a small
-    window partition, and the raw table is not read a second time (an anti
-    join with a derived bad-city list would re-derive the aggregate).
-    """
-    failed = F.max(F.col("_bad").cast("int")).over(Window.partitionBy("city")) == 1
-    return daily.withColumn("_failed", failed).filter(~F.col("_failed")).drop("_failed", "_bad")
-
-
-def bad_weather_cities(fused: DataFrame) -> DataFrame:
-    """Cities (landing files) with any corrupt record or unparsable date (Q4)."""
-    return fused.filter("_bad").select("city").distinct()
+def _fahrenheit(pivoted: DataFrame, city_dim: DataFrame | None) -> DataFrame:
+    daily = pivoted.select(
+        "city", "date",
+        c_to_f(F.col("TMAX")).alias("TMAX_F"),
+        c_to_f(F.col("TMIN")).alias("TMIN_F"),
+    )
+    if city_dim is not None:
+        daily = daily.join(valid_cities(city_dim).select("city"), "city", "left_semi")
+    return daily
 
 
 def weather_daily(raw: DataFrame, city_dim: DataFrame | None = None,
@@ -135,24 +130,44 @@ def weather_daily(raw: DataFrame, city_dim: DataFrame | None = None,
     """Wide daily weather ``(city, date, TMAX_F, TMIN_F)``.
 
     Days that only carry other datatypes still give a row of NULLs; NULL
-    dates form one row per city. A city whose landing file failed (Q4)
-    contributes nothing.
+    dates form one row per city. A landed file that failed (Q4) contributes
+    nothing; readings that can fail are read twice here, once for the failed
+    files (a refresh stages ``weather_keys`` instead).
     """
-    fused = _fused_daily(weather_in_range(raw, start, end))
-    if "_bad" in fused.columns:
-        fused = _drop_failed_files(fused)
-    daily = fused.select(
-        "city", "date",
-        c_to_f(F.col("TMAX")).alias("TMAX_F"),
-        c_to_f(F.col("TMIN")).alias("TMIN_F"),
-    )
-    if city_dim is not None:
-        daily = daily.join(valid_cities(city_dim).select("city"), "city", "left_semi")
-    return daily
+    raw = weather_in_range(raw, start, end)
+    if _file_checks_needed(raw):
+        return weather_daily_from_keys(weather_keys(raw), city_dim)
+    return _fahrenheit(_fused_daily(raw), city_dim)
+
+
+def file_columns(df: DataFrame) -> list[str]:
+    """What names a landed file: its city, and the file where a city can have several."""
+    return ["city", "_file"] if "_file" in df.columns else ["city"]
+
+
+def failed_files(keys: DataFrame) -> DataFrame:
+    """Landed files with any corrupt record or unparsable date (Q4)."""
+    return keys.filter("bad").select(*file_columns(keys)).distinct()
+
+
+def sound(keys: DataFrame, failed: DataFrame | None = None, owners: DataFrame | None = None) -> DataFrame:
+    """Rows of files that did not fail, each city's day from one file.
+
+    ``owners`` (city, date, _file) names the file of each day; without it the
+    greatest file name that holds the day has it.
+    """
+    kept = keys.join(failed_files(keys) if failed is None else failed, file_columns(keys), "left_anti")
+    if "_file" not in keys.columns:
+        return kept
+    if owners is None:
+        owners = kept.groupBy("city", "date").agg(F.max("_file").alias("_file"))
+    o = owners.select(F.col("city").alias("_c"), F.col("date").alias("_d"), F.col("_file").alias("_f"))
+    same = (F.col("city") == F.col("_c")) & (F.col("_file") == F.col("_f")) & F.col("date").eqNullSafe(F.col("_d"))
+    return kept.join(o, same, "left_semi")
 
 
 def weather_keys(raw: DataFrame) -> DataFrame:
-    """Refresh stage: one row per (city, date, datatype) of the raw readings.
+    """Refresh stage: one row per (city, landed file, date, datatype) of the raw readings.
 
     ``value`` is the first reading in landing order, ``n`` the number of
     readings (duplicates when > 1, Q1) and ``bad`` whether any of them is a
@@ -161,25 +176,47 @@ def weather_keys(raw: DataFrame) -> DataFrame:
     """
     aggs = [F.min_by("value", "pos").alias("value"), F.count(F.lit(1)).alias("n")]
     aggs.append((F.bool_or(_row_is_bad(raw)) if _file_checks_needed(raw) else F.lit(False)).alias("bad"))
-    return raw.groupBy("city", to_day(raw, "date").alias("date"), "datatype").agg(*aggs)
+    return raw.groupBy(*file_columns(raw), to_day(raw, "date").alias("date"), "datatype").agg(*aggs)
 
 
-def weather_daily_from_keys(keys: DataFrame, city_dim: DataFrame | None = None) -> DataFrame:
+def weather_daily_from_keys(keys: DataFrame, city_dim: DataFrame | None = None, failed: DataFrame | None = None,
+                            owners: DataFrame | None = None) -> DataFrame:
     """``weather_daily`` from the stage table; failed files contribute nothing.
 
-    Keys are unique per (city, date, datatype), so ``max`` picks the one value.
+    Keys are unique per (city, date, datatype) once each day has one file, so
+    ``max`` picks the one value.
     """
-    bad = keys.filter("bad").select("city").distinct()
     dt = F.col("datatype")
-    daily = (
-        keys.join(bad, "city", "left_anti")
-        .groupBy("city", "date")
-        .agg(*[F.max(F.when(dt == name, F.col("value"))).alias(name) for name in PIVOT_DATATYPES])
-        .select("city", "date", c_to_f(F.col("TMAX")).alias("TMAX_F"), c_to_f(F.col("TMIN")).alias("TMIN_F"))
-    )
-    if city_dim is not None:
-        daily = daily.join(valid_cities(city_dim).select("city"), "city", "left_semi")
-    return daily
+    return _fahrenheit(
+        sound(keys, failed, owners).groupBy("city", "date")
+        .agg(*[F.max(F.when(dt == name, F.col("value"))).alias(name) for name in PIVOT_DATATYPES]), city_dim)
+
+
+def verdicts(weather: DataFrame, energy: DataFrame | None = None) -> DataFrame:
+    """Per landed file whether it failed as a whole, and its duplicate groups and rows (Q1, Q4).
+
+    ``weather`` and ``energy`` are the stages ``weather_keys`` and
+    ``energy_keys``. ``file`` is null where a city has one landed file only.
+    """
+    def file(keys: DataFrame) -> Column:
+        return (F.col("_file") if "_file" in keys.columns else F.lit(None).cast("string")).alias("file")
+    twice = F.col("n") > 1
+    out = weather.groupBy(*file_columns(weather)).agg(
+        F.bool_or("bad").alias("failed"), F.count(F.when(twice, 1)).alias("duplicate_groups"),
+        F.coalesce(F.sum(F.when(twice, F.col("n"))), F.lit(0)).alias("duplicate_rows")).select(
+        F.lit("noaa").alias("source"), file(weather), "city", "failed", "duplicate_groups", "duplicate_rows")
+    if energy is None:
+        return out
+    none = F.lit(0).cast("long")
+    return out.unionByName(energy.groupBy(*file_columns(energy)).agg(F.bool_or("bad").alias("failed")).select(
+        F.lit("eia").alias("source"), file(energy), "city", "failed", none.alias("duplicate_groups"),
+        none.alias("duplicate_rows")))
+
+
+def failed_of(judged: DataFrame, source: str, keys: DataFrame) -> DataFrame:
+    """The failed files of one source in a verdict table, as ``keys`` names files."""
+    bad = judged.filter((F.col("source") == source) & F.col("failed"))
+    return bad.select("city", *([F.col("file").alias("_file")] if "_file" in keys.columns else []))
 
 
 # ---------------------------------------------------------------- energy
@@ -199,37 +236,41 @@ def of_respondent(raw_energy: DataFrame, city_dim: DataFrame) -> DataFrame:
     return raw_energy.join(ba, (F.col("city") == F.col("_city")) & own, "left_semi")
 
 
-def energy_daily(raw_energy: DataFrame, city_dim: DataFrame | None = None,
-                 start=None, end=None) -> DataFrame:
-    """Daily energy per city: exact sum, half-even to 2 decimals.
+def energy_keys(raw_energy: DataFrame, city_dim: DataFrame | None = None, start=None, end=None) -> DataFrame:
+    """Refresh stage: one row per (city, landed file, date) with the day's exact sum, rounded half-even to 2
+    decimals (A4, P9), and whether any record is corrupt or has an unparsable period.
 
-    NULL values are skipped, an all-NULL day gives 0.0, NULL dates are
-    dropped. Only cities passing the BA gate contribute (S5), and of records
-    that name a respondent only those of the city's BA (S8). A landed file
-    with a corrupt record or an unparsable period contributes nothing and
-    raises no warning, as in the reference.
+    NULL values are skipped, an all-NULL day gives 0.0. Only cities passing
+    the BA gate contribute (S5), and of records that name a respondent only
+    those of the city's BA (S8).
     """
     if city_dim is not None and "respondent" in raw_energy.columns:
         raw_energy = of_respondent(raw_energy, city_dim)
-    checks = _has_corrupt(raw_energy) or dict(raw_energy.dtypes)["period"] == "string"
-    keep = in_range(F.col("date"), start, end)
-    if checks:
-        bad = bad_day(raw_energy, "period")
-        if _has_corrupt(raw_energy):
-            bad = bad | F.col("_corrupt").isNotNull()
-        rec = raw_energy.select(
-            "city", to_day(raw_energy, "period").alias("date"),
-            coerce_double(F.col("value")).alias("energy_mwh"), bad.alias("_bad"))
-        keep = keep | F.col("_bad")
-    else:
-        rec = energy_coerced(raw_energy)
-    rec = rec.filter(keep)
-    aggs = [sum_or_zero(F.col("energy_mwh")).alias("energy_mwh")]
-    if checks:
-        aggs.append(F.bool_or("_bad").alias("_bad"))
-    daily = rec.groupBy("city", "date").agg(*aggs)
-    if checks:
-        daily = _drop_failed_files(daily).filter(F.col("date").isNotNull())
+    bad = bad_day(raw_energy, "period")
+    if _has_corrupt(raw_energy):
+        bad = bad | F.col("_corrupt").isNotNull()
+    rec = raw_energy.select(
+        *file_columns(raw_energy), to_day(raw_energy, "period").alias("date"),
+        coerce_double(F.col("value")).alias("energy_mwh"), bad.alias("bad"))
+    keys = (rec.filter(in_range(F.col("date"), start, end) | F.col("bad"))
+            .groupBy(*file_columns(rec), "date")
+            .agg(sum_or_zero(F.col("energy_mwh")).alias("energy_mwh"), F.bool_or("bad").alias("bad")))
     if city_dim is not None:
-        daily = daily.join(energy_cities(city_dim), "city", "left_semi")
-    return daily
+        keys = keys.join(energy_cities(city_dim), "city", "left_semi")
+    return keys
+
+
+def energy_daily_from_keys(keys: DataFrame, failed: DataFrame | None = None,
+                           owners: DataFrame | None = None) -> DataFrame:
+    """Daily energy per city from the stage table; NULL dates and failed files are left out, without a warning."""
+    return sound(keys.filter(F.col("date").isNotNull() | F.col("bad")), failed, owners).filter(
+        F.col("date").isNotNull()).select("city", "date", "energy_mwh")
+
+
+def energy_daily(raw_energy: DataFrame, city_dim: DataFrame | None = None,
+                 start=None, end=None) -> DataFrame:
+    """Daily energy per city (A4, P9): ``energy_keys`` of files that did not fail, NULL dates dropped."""
+    keys = energy_keys(raw_energy, city_dim, start, end)
+    if _has_corrupt(raw_energy) or dict(raw_energy.dtypes)["period"] == "string":
+        return energy_daily_from_keys(keys)
+    return keys.select("city", "date", "energy_mwh")

@@ -44,6 +44,18 @@ def master(merged: DataFrame, city_dim: DataFrame) -> DataFrame:
     return names.join(merged, "city", "left").select(*MASTER_COLUMNS)
 
 
+def master_of_processed(processed: DataFrame, city_dim: DataFrame) -> DataFrame:
+    """The written processed table plus placeholders.
+
+    Which cities are there is known from the table's partition folders: that
+    scan reads no column, and the rows themselves are not shuffled by city.
+    """
+    names = configured_names(city_dim).distinct()
+    present = processed.select("city").distinct()
+    return processed.select(*MASTER_COLUMNS).unionByName(
+        names.join(present, "city", "left_anti"), allowMissingColumns=True)
+
+
 def build_master(raw_weather: DataFrame, raw_energy: DataFrame, city_dim: DataFrame,
                  start=None, end=None) -> DataFrame:
     """The whole refresh as one lazy plan: raw scans -> master."""

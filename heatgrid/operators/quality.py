@@ -10,12 +10,15 @@ yields one summary row here and its member rows stay a table
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heatgrid.functions.dates import to_day
 from heatgrid.functions.text import city_slug, py_float_text
 from heatgrid.operators import clean
+from heatgrid.operators.numbering import numbered
 from heatgrid.schemas import QUALITY_COLUMNS
 from heatgrid.sources.local import local_table
 
@@ -27,6 +30,7 @@ DUPLICATE_MESSAGE = ("Duplicate weather data points found. This can cause proces
 TEMP_CHECK = "Temperature Logic"
 ENERGY_CHECK = "Negative Energy"
 PIVOT_CHECK = "Data Pivoting"
+COMBINE_CHECK = "Processed File"
 PIVOT_MESSAGE = ("Could not pivot data, likely due to duplicate TMAX/TMIN values for a single day. "
                  "Error: unparsable date or corrupt record in file")
 
@@ -54,31 +58,47 @@ def _json_date(d: Column) -> Column:
 def duplicate_groups(raw: DataFrame) -> DataFrame:
     """``(city, date, datatype, n)`` keys read more than once (A1)."""
     return (
-        raw.groupBy("city", to_day(raw, "date").alias("date"), "datatype")
+        raw.groupBy(*clean.file_columns(raw), to_day(raw, "date").alias("date"), "datatype")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > 1)
     )
 
 
-def duplicate_rows(raw: DataFrame) -> DataFrame:
+def duplicate_rows(raw: DataFrame, keep_pos: bool = False) -> DataFrame:
     """Every raw reading whose key is duplicated (the reference's details list).
 
     A join of the raw table with the duplicate keys: AQE broadcasts the key
     side when it is measured small and otherwise splits hot keys.
     """
-    keyed = raw.select("city", to_day(raw, "date").alias("date"), "datatype", "value")
-    keys = duplicate_groups(raw).select("city", "date", "datatype")
-    return keyed.join(keys, ["city", "date", "datatype"], "left_semi")
+    file = clean.file_columns(raw)
+    keyed = raw.select(*file, to_day(raw, "date").alias("date"), "datatype", "value",
+                       *([c for c in ("pos",) if c in raw.columns]))
+    keys = duplicate_groups(raw).select(*(F.col(c).alias(f"_{c}") for c in (*file, "date", "datatype")))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) if c == "date" else F.col(c) == F.col(f"_{c}")
+            for c in (*file, "date", "datatype")]
+    out = keyed.join(keys, functools.reduce(lambda x, y: x & y, same), "left_semi")
+    return out if keep_pos else out.drop("pos")
+
+
+def ordered_duplicates(raw: DataFrame, path: str) -> DataFrame:
+    """The duplicate readings in the report's order (O1): by date, datatype and landing order, with their place
+    in their file from 1. Written under ``path`` as a range-sorted table; no file's rows meet in one task."""
+    rows = duplicate_rows(raw, keep_pos=True)
+    file = clean.file_columns(rows)
+    return numbered(rows, [*file, "date", "datatype", "pos"], file, "place", path).drop("pos")
+
+
+def duplicate_details(groups: Column, rows: Column) -> Column:
+    return F.concat(F.lit('{"duplicate_groups": '), groups.cast("string"),
+                    F.lit(', "duplicate_rows": '), rows.cast("string"), F.lit("}"))
 
 
 def q_duplicates(raw: DataFrame, start=None, end=None) -> DataFrame:
     """One WARNING per landing file that has duplicates (Q1)."""
-    per_file = duplicate_groups(raw).groupBy("city").agg(
+    per_file = duplicate_groups(raw).groupBy(*clean.file_columns(raw)).agg(
         F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows"))
-    details = F.concat(F.lit('{"duplicate_groups": '), F.col("groups").cast("string"),
-                       F.lit(', "duplicate_rows": '), F.col("rows").cast("string"), F.lit("}"))
-    return _report(per_file, landing_file("noaa", F.col("city"), start, end), DUPLICATE_CHECK,
-                   WARNING, F.lit(DUPLICATE_MESSAGE), details)
+    return _report(per_file, file_of(per_file, "noaa", start, end), DUPLICATE_CHECK,
+                   WARNING, F.lit(DUPLICATE_MESSAGE), duplicate_details(F.col("groups"), F.col("rows")))
 
 
 # ---------------------------------------------------------------- Q2, Q3
@@ -131,23 +151,52 @@ def q_negative_energy(energy_daily: DataFrame, start=None, end=None) -> DataFram
 
 
 # ---------------------------------------------------------------- Q4
-def bad_weather_files(raw: DataFrame) -> DataFrame:
-    """Cities whose weather landing file has a corrupt record or bad date."""
-    if not clean._file_checks_needed(raw):
-        return local_table(raw.sparkSession, [], "city string")
-    return clean.bad_weather_cities(clean._fused_daily(raw))
-
-
 def q_bad_files(raw: DataFrame, start=None, end=None) -> DataFrame:
-    """One ERROR per weather file that fails as a whole (Q4)."""
-    bad = bad_weather_files(raw)
-    return _report(bad, landing_file("noaa", F.col("city"), start, end), PIVOT_CHECK, ERROR,
-                   F.lit(PIVOT_MESSAGE), F.lit("{}"))
-
-
-# The full report of a refresh (U4) is ``plans.refresh.report_from_stage``: it
-# reads the refresh's stage table once for Q1 and Q4 and the processed rows
-# once for Q2 and Q3.
+    """One ERROR per weather file that fails as a whole (Q4): corrupt record or unparsable date."""
+    if clean._file_checks_needed(raw):
+        bad = clean.failed_files(clean.weather_keys(raw))
+    else:
+        bad = local_table(raw.sparkSession, [], "city string")
+    return _report(bad, file_of(bad, "noaa", start, end), PIVOT_CHECK, ERROR, F.lit(PIVOT_MESSAGE), F.lit("{}"))
+
+
+def file_of(df: DataFrame, source: str, start=None, end=None) -> Column:
+    """A row's landed file: its own name where it carries one, else the run's file of its city."""
+    name = landing_file(source, F.col("city"), start, end)
+    return F.coalesce(F.col("_file"), name) if "_file" in df.columns else name
+
+
+# ---------------------------------------------------------------- the report of a refresh (U4)
+def _records(rows: DataFrame, checks: list) -> DataFrame:
+    """Zero or more report rows of each row in one pass: the records whose condition holds."""
+    arr = F.array(*[F.when(cond, rec) for cond, rec in checks])
+    return rows.select(F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("r")).select("r.*")
+
+
+def file_report(judged: DataFrame, start=None, end=None) -> DataFrame:
+    """Q1 and Q4 of a verdict table (``clean.verdicts``): weather files that failed, and those with duplicates."""
+    weather = judged.filter(F.col("source") == "noaa")
+    file = F.coalesce(F.col("file"), landing_file("noaa", F.col("city"), start, end))
+    return _records(weather, [
+        (~F.col("failed") & (F.col("duplicate_groups") > 0),
+         report_struct(RowCheck(F.lit(True), file, DUPLICATE_CHECK, WARNING, F.lit(DUPLICATE_MESSAGE),
+                                duplicate_details(F.col("duplicate_groups"), F.col("duplicate_rows"))))),
+        (F.col("failed"),
+         report_struct(RowCheck(F.lit(True), file, PIVOT_CHECK, ERROR, F.lit(PIVOT_MESSAGE), F.lit("{}")))),
+    ])
+
+
+def day_report(processed: DataFrame, start=None, end=None) -> DataFrame:
+    """Q2 and Q3 in one pass over the processed rows."""
+    return _records(processed, [(c.cond, report_struct(c)) for c in (temp_logic_check(start, end),
+                                                                     negative_energy_check(start, end))])
+
+
+def damage_report(damaged: DataFrame) -> DataFrame:
+    """One ERROR per processed file that cannot be read (S10); its rows are left out of the master."""
+    message = F.concat(F.lit("Could not read or process file: "), F.col("error"))
+    return _report(damaged, F.element_at(F.split("path", "/"), -1), COMBINE_CHECK, ERROR, message,
+                   F.concat(F.lit('{"city": "'), F.col("city"), F.lit('"}')))
 
 
 def quality_view(report: DataFrame) -> DataFrame:

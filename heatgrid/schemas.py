@@ -25,6 +25,17 @@ RAW_ENERGY = T.StructType([
     T.StructField("_corrupt", T.StringType()),
 ])
 
+# The monthly landing: Parquet under slug= and month= folders. ``seq`` is the landing order, ``landing`` the
+# logical file (``<source>_<slug>_<from>_to_<to>.json``) that a row came with.
+def _monthly(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in (
+        *fields, ("seq", T.LongType()), ("landing", T.StringType()), ("slug", T.StringType()),
+        ("month", T.StringType()))])
+
+
+WEATHER_MONTHS = _monthly(("date", T.StringType()), ("datatype", T.StringType()), ("value", T.DoubleType()))
+ENERGY_MONTHS = _monthly(("period", T.StringType()), ("respondent", T.StringType()), ("value", T.StringType()))
+
 WEATHER_DAILY = T.StructType([
     T.StructField("city", T.StringType()),
     T.StructField("date", T.DateType()),
@@ -78,4 +89,14 @@ QUALITY_REPORT = T.StructType([
     T.StructField("message", T.StringType()),
     T.StructField("details", T.StringType()),
 ])
+# One row per landed file of a run: whether it failed as a whole and its duplicate readings.
+FILE_VERDICTS = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("file", T.StringType()),
+    T.StructField("city", T.StringType()),
+    T.StructField("failed", T.BooleanType()),
+    T.StructField("duplicate_groups", T.LongType()),
+    T.StructField("duplicate_rows", T.LongType()),
+])
+
 QUALITY_COLUMNS = [f.name for f in QUALITY_REPORT.fields]

@@ -1,13 +1,15 @@
 """Scans of landed files (S1, S2, S10, S14, S15, S17) and the city they belong to.
 
-Two landing layouts are read:
+Three landing layouts are read:
 
-* the reference layout: a flat folder of JSON-array files named
-  ``<source>_<slug>_<start>_to_<end>.json`` (``multi_line=True``; a JSON array
-  cannot be split, so each such file is one task - the layout of legacy data);
-* this package's own layout written by ``sinks.land_readings``: JSON Lines
-  under ``<root>/slug=<slug>/``, splittable into as many tasks as the data
-  needs.
+* ``array``, the reference layout: a flat folder of JSON-array files named
+  ``<source>_<slug>_<start>_to_<end>.json`` (a JSON array cannot be split, so
+  each such file is one task - the layout of legacy data). A manifest of the
+  folder prunes files of other ranges before they are read (``manifest.py``);
+* ``lines``, written by ``sinks.land_readings``: JSON Lines under
+  ``<root>/slug=<slug>/``, splittable into as many tasks as the data needs;
+* ``months``, written by ``sinks.land_months``: Parquet under
+  ``<root>/slug=<slug>/month=<yyyy-MM>/``; a run's range reads its months only.
 
 ``pos`` (landing order, for keep-first) is ``monotonically_increasing_id`` taken
 in the scan projection, before any shuffle: ids grow with the partition index
@@ -22,12 +24,15 @@ from pyspark.sql import functions as F
 
 from heatgrid import schemas
 from heatgrid.operators.master import slug_owners
+from heatgrid.sources import manifest, storage
 from heatgrid.sources.local import local_table
 
 _NAME_RE = r"^{src}_(.+)_(\d{{4}}-\d{{2}}-\d{{2}})_to_(\d{{4}}-\d{{2}}-\d{{2}})\.json$"
 
 
-def _read_json(spark: SparkSession, path: str, schema, multi_line: bool) -> DataFrame:
+def _read_json(spark: SparkSession, path: str | list[str], schema, multi_line: bool) -> DataFrame:
+    if not path:
+        return _no_rows(spark, schema)
     reader = (
         spark.read.schema(schema)
         .option("mode", "PERMISSIVE")
@@ -37,6 +42,12 @@ def _read_json(spark: SparkSession, path: str, schema, multi_line: bool) -> Data
     return reader.json(path)
 
 
+def _no_rows(spark: SparkSession, schema) -> DataFrame:
+    """A scan of no file, with the metadata that other scans have."""
+    meta = F.struct(F.lit(None).cast("string").alias("file_name")).alias("_metadata")
+    return local_table(spark, [], schema).select("*", meta)
+
+
 def _with_city(df: DataFrame, source: str, city_dim: DataFrame) -> DataFrame:
     """Attach the configured city of each landed row.
 
@@ -51,32 +62,60 @@ def _with_city(df: DataFrame, source: str, city_dim: DataFrame) -> DataFrame:
     return keyed.join(slug_owners(city_dim), "slug").drop("slug")
 
 
-def read_landed(spark: SparkSession, path: str, source: str, city_dim: DataFrame,
-                multi_line: bool = False) -> DataFrame:
-    """Raw rows of one source (``noaa`` weather or ``eia`` energy) with
-    ``city``, ``_file``, ``pos`` and the corrupt-record column."""
+def _read_months(spark: SparkSession, path: str, source: str, start, end) -> DataFrame:
+    """The months of a range, and rows without a day of landings whose range meets it."""
+    schema = schemas.WEATHER_MONTHS if source == "noaa" else schemas.ENERGY_MONTHS
+    df = spark.read.schema(schema).parquet(path)
+    month, undated = F.col("month"), F.col("month").isNull()
+    if start is not None:
+        df = df.filter((month >= str(start)[:7]) | undated)
+    if end is not None:
+        df = df.filter((month <= str(end)[:7]) | undated)
+    parts = manifest.name_parts(F.col("landing"))
+    meets = manifest.meets(parts["from_day"], parts["to_day"], start, end) | parts["from_day"].isNull()
+    return (df.filter(~undated | meets).withColumnRenamed("landing", "_file").drop("month")
+            .withColumnRenamed("seq", "pos"))
+
+
+def read_landed(spark: SparkSession, path: str, source: str, city_dim: DataFrame, multi_line: bool = False,
+                layout: str | None = None, start=None, end=None, files: DataFrame | None = None) -> DataFrame:
+    """Raw rows of one source (``noaa`` weather or ``eia`` energy) with ``city``, ``pos``, the landed file where
+    a city can have several, and the corrupt-record column of JSON layouts.
+
+    ``layout`` is ``array``, ``lines`` or ``months`` (default: ``array`` with
+    ``multi_line``, else ``lines``). A range reads what its landed files hold;
+    ``files`` is the run's part of the manifest, if it was made already.
+    """
+    layout = layout or ("array" if multi_line else "lines")
+    if layout == "months":
+        return _with_city(_read_months(spark, path, source, start, end), source, city_dim)
     schema = schemas.RAW_WEATHER if source == "noaa" else schemas.RAW_ENERGY
-    df = _read_json(spark, path, schema, multi_line)
+    if layout == "array":
+        files = manifest.chosen(spark, path, source, start, end) if files is None else files
+        paths = [r.path for r in files.select("path").collect()]
+        df = _read_json(spark, paths, schema, True).withColumn("_file", F.col("_metadata.file_name"))
+    else:
+        df = _read_json(spark, path, schema, False)
     # a landed sequence number wins; legacy files fall back to scan order
-    df = df.withColumn("_file", F.col("_metadata.file_name")).withColumn(
-        "pos", F.coalesce(F.col("pos"), F.monotonically_increasing_id().cast("decimal(38,0)")))
-    if multi_line:
-        df = df.filter(F.col("_file").rlike(_NAME_RE.format(src=source)))
+    df = df.withColumn("pos", F.coalesce(F.col("pos"), F.monotonically_increasing_id().cast("decimal(38,0)")))
     return _with_city(df, source, city_dim)
 
 
-def read_weather(spark: SparkSession, path: str, city_dim: DataFrame, multi_line: bool = False) -> DataFrame:
-    """``(city, date, datatype, value, pos, _file, _corrupt)``; an empty ``[]`` file gives no rows."""
-    return read_landed(spark, path, "noaa", city_dim, multi_line)
+def read_weather(spark: SparkSession, path: str, city_dim: DataFrame, multi_line: bool = False,
+                 **options) -> DataFrame:
+    """``(city, date, datatype, value, pos, ...)``; an empty ``[]`` file gives no rows."""
+    return read_landed(spark, path, "noaa", city_dim, multi_line, **options)
 
 
-def read_energy(spark: SparkSession, path: str, city_dim: DataFrame, multi_line: bool = False) -> DataFrame:
-    """``(city, period, respondent, value, pos, _file, _corrupt)`` with ``value`` kept as text."""
-    return read_landed(spark, path, "eia", city_dim, multi_line)
+def read_energy(spark: SparkSession, path: str, city_dim: DataFrame, multi_line: bool = False,
+                **options) -> DataFrame:
+    """``(city, period, respondent, value, pos, ...)`` with ``value`` kept as text."""
+    return read_landed(spark, path, "eia", city_dim, multi_line, **options)
 
 
 def read_master(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The master table with its explicit schema (CSV or Parquet)."""
+    """The master table with its explicit schema (CSV or Parquet), of the current version where one is committed."""
+    path = storage.resolve(spark, path)
     if fmt == "csv":
         return spark.read.schema(schemas.MASTER).option("header", "true").csv(path)
     return spark.read.schema(schemas.MASTER).parquet(path)
@@ -84,7 +123,7 @@ def read_master(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
 def read_quality_report(spark: SparkSession, path: str) -> DataFrame:
     """The quality report written by ``sinks.write_quality_report``."""
-    return spark.read.schema(schemas.QUALITY_REPORT).json(path)
+    return spark.read.schema(schemas.QUALITY_REPORT).json(storage.resolve(spark, path))
 
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heatgrid import schemas
+from heatgrid.functions.dates import to_day
 from heatgrid.functions.text import city_slug
 from heatgrid.operators.master import slug_owners
 from heatgrid.schemas import MASTER_COLUMNS, QUALITY_COLUMNS
@@ -33,14 +35,44 @@ def land_readings(df: DataFrame, root: str, rebalance: bool = False, city_dim: D
     out.write.mode("overwrite").partitionBy("slug").json(root)
 
 
+def land_months(df: DataFrame, root: str, source: str, city_dim: DataFrame | None = None,
+                start=None, end=None) -> None:
+    """S3: land raw readings as Parquet under ``slug=`` and ``month=`` folders.
+
+    Only the months that ``df`` holds are replaced, each as a whole, so a
+    month can be landed again and the others stay. ``seq`` keeps the landing
+    order (``pos``) in 64 bits: rows are sorted over ranges of (slug, month,
+    pos), so a large city's month is several tasks' work and each task writes
+    few folders. ``landing`` names the reference's file of the run. Rows whose
+    day is missing or does not parse go to their city's folder without a month.
+    """
+    day = "date" if source == "noaa" else "period"
+    cast = lambda c, kind: (F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c)
+    named = F.concat(F.lit(f"{source}_"), F.col("slug"),
+                     F.lit(f"_{start}_to_{end}.json" if start is not None and end is not None else ".json"))
+    fields = [cast("datatype", "string"), cast("value", "double")] if source == "noaa" else [
+        cast("respondent", "string"), cast("value", "string")]
+    out = df.withColumn("slug", city_slug(F.col("city")))
+    if city_dim is not None:
+        out = out.join(slug_owners(city_dim), ["slug", "city"], "left_semi")
+    pos = F.col("pos") if "pos" in df.columns else F.monotonically_increasing_id()
+    out = out.select(F.col(day).cast("string").alias(day), *fields, pos.alias("pos"), "slug",
+                     F.date_format(to_day(df, day), "yyyy-MM").alias("month"))
+    order = ["slug", "month", "pos"]
+    ranged = out.repartitionByRange(*order).sortWithinPartitions(*order)
+    (ranged.withColumns({"seq": F.monotonically_increasing_id(), "landing": named})
+     .select(day, *(f.name for f in (schemas.WEATHER_MONTHS if source == "noaa" else schemas.ENERGY_MONTHS)
+                    if f.name != day))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slug", "month").parquet(root))
+
+
 def write_processed(merged: DataFrame, path: str) -> None:
     """Per-city processed table, one ``city=`` partition per city.
 
-    Processed rows are one per city-day, so a city holds at most one row per
-    day of the run: repartitioning by city is never skewed and writes one
-    file per city instead of one per shuffle task and city.
+    Rebalanced by city: a city's rows are gathered into files of advisory
+    size, and a city beyond that size is several tasks' work.
     """
-    (merged.select(*MASTER_COLUMNS).repartition("city")
+    (merged.select(*MASTER_COLUMNS).hint("rebalance", "city")
        .write.mode("overwrite").partitionBy("city").parquet(path))
 
 

@@ -12,16 +12,13 @@ re-executed batch (after a failure) gives the same result.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heatgrid import schemas
-from heatgrid.operators import clean, master as mst
-from heatgrid.plans.refresh import report_from_stage
-from heatgrid.sources import sinks
+from heatgrid.operators import master as mst
+from heatgrid.plans.refresh import refresh_raw
 
 
 def _with_slug(schema: T.StructType) -> T.StructType:
@@ -47,7 +44,9 @@ def landing_stream(spark: SparkSession, weather_root: str, energy_root: str) ->
 
 def _split(batch: DataFrame, city_dim: DataFrame):
     owners = mst.slug_owners(city_dim)
-    rows = batch.join(owners, "slug").withColumn("pos", F.coalesce("pos", F.monotonically_increasing_id().cast("decimal(38,0)")))
+    # rows without a landed sequence number go by scan order, taken before the join
+    order = F.coalesce("pos", F.monotonically_increasing_id().cast("decimal(38,0)"))
+    rows = batch.withColumn("pos", order).join(owners, "slug")
     w = rows.filter(F.col("source") == "noaa").select(
         "city", "date", "datatype", F.col("w_value").alias("value"), "pos", "_corrupt")
     e = rows.filter(F.col("source") == "eia").select(
@@ -56,18 +55,9 @@ def _split(batch: DataFrame, city_dim: DataFrame):
 
 
 def refresh_batch(batch: DataFrame, city_dim: DataFrame, out_dir: str) -> None:
-    """Rebuild the snapshot from one batch of newly landed rows."""
-    spark = batch.sparkSession
+    """Rebuild the snapshot from one batch of newly landed rows, by the steps of the batch refresh."""
     raw_w, raw_e = _split(batch, city_dim)
-    stage = os.path.join(out_dir, "stage_weather_keys")
-    clean.weather_keys(raw_w).write.mode("overwrite").parquet(stage)
-    keys = spark.read.parquet(stage)
-    merged = mst.weather_energy_outer(clean.weather_daily_from_keys(keys, city_dim),
-                                      clean.energy_daily(raw_e, city_dim))
-    sinks.write_processed(merged, os.path.join(out_dir, "processed"))
-    processed = spark.read.schema(schemas.MASTER).parquet(os.path.join(out_dir, "processed"))
-    sinks.write_master(mst.master(processed, city_dim), os.path.join(out_dir, "master"))
-    sinks.write_quality_report(report_from_stage(keys, processed), os.path.join(out_dir, "quality_report"))
+    refresh_raw(raw_w, raw_e, city_dim, out_dir)
 
 
 def run_scheduled_refresh(spark: SparkSession, weather_root: str, energy_root: str,

@@ -172,3 +172,133 @@ def test_energy_of_other_respondents_is_left_out(spark, scratch):
     sinks.land_readings(raw, scratch + "/eia")
     got = clean.energy_daily(landed.read_energy(spark, scratch + "/eia", cities), cities).collect()
     assert [(r.city, r.energy_mwh) for r in got] == [("A", 4301.0)]
+
+
+def _city(name, **more):
+    return {"name": name, "state": "S", "noaa_station_id": f"G{name}", "eia_ba_code": "BA1", "latitude": 1,
+            "longitude": 1, **more}
+
+
+def _refresh(spark, scratch, raw, cities, fetch_range, **kw):
+    cd = landed.city_dim_from_entries(spark, cities)
+    paths = refresh(spark, raw, raw, cd, os.path.join(scratch, "out"), RunMode(fetch_range=fetch_range),
+                    multi_line=True, **kw)
+    master = {(r.city, r.date): (r.TMAX_F, r.energy_mwh) for r in landed.read_master(spark, paths["master"]).collect()}
+    report = landed.read_quality_report(spark, paths["quality_report"]).collect()
+    return master, sorted((r.check, r.file) for r in report)
+
+
+def test_files_of_other_ranges_are_not_read(spark, scratch):
+    _write(scratch, "noaa_a_2024-01-01_to_2024-12-31.json", [{"date": "2024-03-01", "datatype": "TMAX", "value": 10}])
+    _write(scratch, "noaa_a_2020-01-01_to_2020-12-31.json", '[{"date": "2020-03-01", "datatype"')
+    _write(scratch, "eia_a_2020-01-01_to_2020-12-31.json", '[{"period": "2020')
+    _write(scratch, "eia_a_2024-01-01_to_2024-12-31.json", [{"period": "2024-03-01", "value": "7"}])
+    master, report = _refresh(spark, scratch, scratch, [_city("A")], ("2024-01-01", "2024-12-31"))
+    assert master == {("A", dt.date(2024, 3, 1)): (50.0, 7.0)} and report == []
+    # a run over both years names the file that failed; the sound file of the same city stays
+    master, report = _refresh(spark, scratch, scratch, [_city("A")], ("2020-01-01", "2024-12-31"))
+    assert master == {("A", dt.date(2024, 3, 1)): (50.0, 7.0)}
+    assert report == [("Data Pivoting", "noaa_a_2020-01-01_to_2020-12-31.json")]
+
+
+def test_a_day_comes_from_one_file(spark, scratch):
+    _write(scratch, "noaa_a_2024-01-01_to_2024-01-31.json", [
+        {"date": "2024-01-05", "datatype": "TMAX", "value": 0}, {"date": "2024-01-20", "datatype": "TMAX", "value": 10},
+        {"date": "2024-01-21", "datatype": "TMAX", "value": 20}])
+    _write(scratch, "eia_a_2024-01-01_to_2024-01-31.json", [{"period": "2024-01-05", "value": 1},
+                                                            {"period": "2024-01-20", "value": 2}])
+    _write(scratch, "noaa_a_2024-01-20_to_2024-02-10.json", [{"date": "2024-01-20", "datatype": "TMAX", "value": 30}])
+    _write(scratch, "eia_a_2024-01-20_to_2024-02-10.json", [{"period": "2024-01-20", "value": 40}])
+    for k, name in enumerate(sorted(os.listdir(scratch))):
+        os.utime(os.path.join(scratch, name), (k, 10 ** 9 + ("2024-01-20_" in name)))
+    master, _ = _refresh(spark, scratch, scratch, [_city("A")], ("2024-01-02", "2024-02-28"))
+    # the file modified last owns 20 January to 10 February; it has nothing for the 21st
+    assert master == {("A", dt.date(2024, 1, 5)): (32.0, 1.0), ("A", dt.date(2024, 1, 20)): (86.0, 40.0)}
+    # a file of exactly the run's range is the run's own file
+    master, _ = _refresh(spark, scratch, scratch, [_city("A")], ("2024-01-01", "2024-01-31"))
+    assert master[("A", dt.date(2024, 1, 20))] == (50.0, 2.0)
+
+
+def test_no_landed_file_gives_placeholders(spark, scratch):
+    os.makedirs(os.path.join(scratch, "raw"))
+    master, report = _refresh(spark, scratch, os.path.join(scratch, "raw"), [_city("A")], ("2024-01-01", "2024-01-31"))
+    assert master == {("A", None): (None, None)} and report == []
+
+
+def test_a_damaged_processed_file_loses_its_city_only(spark, scratch):
+    from heatgrid.plans.refresh import refresh_raw
+    w = spark.createDataFrame([(c, dt.date(2024, 1, 1), "TMAX", 0.0, 1) for c in ("A", "B b/ü", "C")],
+                              "city string, date date, datatype string, value double, pos long")
+    e = spark.createDataFrame([], "city string, period date, value string")
+    cd = landed.city_dim_from_entries(spark, [_city(c) for c in ("A", "B b/ü", "C")])
+
+    def damage(path):
+        folder, = [d for d in os.listdir(path) if d.startswith("city=B")]
+        for f in os.listdir(os.path.join(path, folder)):
+            full = os.path.join(path, folder, f)
+            if f.endswith(".parquet"):
+                size = os.path.getsize(full)
+                with open(full, "r+b") as out:
+                    out.truncate(size // 2)
+            elif f.endswith(".crc"):
+                os.unlink(full)
+    paths = refresh_raw(w, e, cd, os.path.join(scratch, "out"), after_processed=damage)
+    rows = {(r.city, r.date) for r in landed.read_master(spark, paths["master"]).collect()}
+    assert rows == {("A", dt.date(2024, 1, 1)), ("C", dt.date(2024, 1, 1)), ("B b/ü", None)}
+    report = landed.read_quality_report(spark, paths["quality_report"]).collect()
+    assert [(r.check, r.level, json.loads(r.details)) for r in report] == [
+        ("Processed File", "ERROR", {"city": "B b/ü"})]
+    assert [r.city for r in spark.read.parquet(paths["quarantine"]).collect()] == ["B b/ü"]
+
+
+def test_months_are_pruned_and_landed_again(spark, scratch):
+    rows = [("New York", f"2024-{m:02d}-{d:02d}", "TMAX", float(m), 100 * d - m) for m in range(1, 13) for d in (1, 2)]
+    rows += [("Chicago", "2023-12-31", "TMIN", 1.0, 1), ("Chicago", None, "TMIN", 2.0, 2)]
+    kinds = "city string, date string, datatype string, value double, pos long"
+    cd = landed.city_dim_from_entries(spark, CONFIG)
+    root = os.path.join(scratch, "noaa")
+    sinks.land_months(spark.createDataFrame(rows, kinds), root, "noaa", cd, "2023-12-31", "2024-12-31")
+    june = landed.read_weather(spark, root, cd, layout="months", start="2024-06-01", end="2024-06-30")
+    plan = june._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted((r.city, r.date) for r in june.collect() if r.date) == [("New York", "2024-06-01"), ("New York", "2024-06-02")]
+    before = {d: os.listdir(os.path.join(root, "slug=new_york", d)) for d in os.listdir(os.path.join(root, "slug=new_york"))}
+    again = [("New York", "2024-06-03", "TMAX", 9.0, 1), ("New York", "2024-06-03", "TMAX", 8.0, 0)]
+    sinks.land_months(spark.createDataFrame(again, kinds), root, "noaa", cd, "2024-06-01", "2024-06-30")
+    after = {d: os.listdir(os.path.join(root, "slug=new_york", d)) for d in os.listdir(os.path.join(root, "slug=new_york"))}
+    assert {d for d in before if before[d] != after[d]} == {"month=2024-06"}
+    june = landed.read_weather(spark, root, cd, layout="months", start="2024-06-01", end="2024-06-30")
+    got = clean.weather_daily(june, cd).filter("date is not null").collect()
+    assert [(r.city, str(r.date), r.TMAX_F) for r in got] == [("New York", "2024-06-03", 46.4)]     # pos 0 is first
+
+
+def test_a_run_killed_midway_leaves_the_old_snapshot(spark, scratch, monkeypatch):
+    from heatgrid.plans import refresh as job
+    out = os.path.join(scratch, "out")
+    cd = landed.city_dim_from_entries(spark, [_city("A")])
+    e = spark.createDataFrame([], "city string, period date, value string")
+
+    def run(value):
+        w = spark.createDataFrame([("A", dt.date(2024, 1, 1), "TMAX", value, 1)],
+                                  "city string, date date, datatype string, value double, pos long")
+        return job.refresh_raw(w, e, cd, out)
+    read = lambda: [r.TMAX_F for r in landed.read_master(spark, os.path.join(out, "master")).collect()]
+    run(0.0)
+    assert read() == [32.0]
+    write = sinks.write_quality_report
+
+    def killed(*_):
+        raise RuntimeError("killed")
+    monkeypatch.setattr(sinks, "write_quality_report", killed)
+    try:
+        run(10.0)
+    except RuntimeError:
+        pass
+    assert read() == [32.0]
+    monkeypatch.setattr(sinks, "write_quality_report", write)
+    for value in (20.0, 30.0, 40.0):
+        run(value)
+    assert read() == [104.0]
+    assert len(os.listdir(os.path.join(out, "versions"))) == 2         # older versions and the killed run's are gone
+    assert not [t for v in os.listdir(os.path.join(out, "versions"))
+                for t in os.listdir(os.path.join(out, "versions", v)) if t.startswith("stage")]
