@@ -7,10 +7,14 @@ against fixed lookup tables (≤100 rows each, broadcast).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heatgrid.functions.text import station_city_token
+from heatgrid.operators.numbering import numbered
+from heatgrid.session import ensure_checkpoint_dir
 from heatgrid.sources import lookups
 
 MAJOR_PREFIX = "GHCND:USW"  # fixed value: id prefix of major stations
@@ -69,19 +73,21 @@ def station_ba_map(found: DataFrame) -> DataFrame:
     )
 
 
-def city_dim_append(city_dim: DataFrame, chosen: DataFrame) -> DataFrame:
+def city_dim_append(city_dim: DataFrame, chosen: DataFrame, path: str | None = None) -> DataFrame:
     """Append chosen stations to the city list, no dedup.
 
     The (editable) station name becomes the city name. Appended entries get
-    configuration positions after every existing one, in the order given
-    (monotonic ids: unique and increasing in input order, no global sort).
+    configuration positions after every existing one, gapless, by station id
+    and then by their other columns, whatever the layout of ``chosen``; the
+    numbered stations are written under ``path`` (default: a new folder of the
+    session's checkpoint folder).
     """
+    path = path or f"{ensure_checkpoint_dir(city_dim.sparkSession).rstrip('/')}/appended-stations-{uuid.uuid4().hex}"
+    columns = ["noaa_station_id", "name", "state", "eia_ba_code", "latitude", "longitude"]
+    placed = numbered(chosen.select(*columns), columns, [], "place", path)
     top = city_dim.agg(F.coalesce(F.max("cfg_pos"), F.lit(-1))).scalar()  # scalar subquery
-    added = (
-        chosen.select(F.col("name").alias("city"), "state", "noaa_station_id", "eia_ba_code",
-                      "latitude", "longitude")
-        .withColumn("cfg_pos", top + 1 + F.monotonically_increasing_id())
-    )
+    added = placed.select(F.col("name").alias("city"), "state", "noaa_station_id", "eia_ba_code", "latitude",
+                          "longitude", (top + F.col("place")).cast("long").alias("cfg_pos"))
     if "entry_complete" in city_dim.columns:
         added = added.withColumn("entry_complete", F.lit(True))
     return city_dim.unionByName(added)

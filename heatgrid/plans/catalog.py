@@ -20,9 +20,10 @@ from heatgrid.functions.text import city_slug
 from heatgrid.operators import analysis, clean, master as mst, quality, stations as stn
 from heatgrid.plans.inputs import Inputs
 from heatgrid.plans.oracle import ana_cte, with_ctes
+from heatgrid import schemas as _schemas
 from heatgrid.plans.refresh import refresh as _refresh, report_from_stage
 from heatgrid.session import ensure_checkpoint_dir as _ckpt_dir
-from heatgrid.sources import landed as _landed, lookups, sinks as _sinks
+from heatgrid.sources import landed as _landed, lookups, sinks as _sinks, storage as _storage
 from heatgrid.sources.fixtures import STATIONS_AS_OF
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -519,13 +520,6 @@ def _station_ba_map(i: Inputs) -> DataFrame:
     return stn.station_ba_map(stn.station_search(i.stations(), STATIONS_AS_OF))
 
 
-@register("city_dim_append", _st_sql(
-    f"select {', '.join(CITY_COLS)} from city_dim union all "
-    "select name as city, state, noaa_station_id, eia_ba_code, latitude, longitude from mapped"))
-def _city_dim_append(i: Inputs) -> DataFrame:
-    return i.city_list().select(*CITY_COLS)
-
-
 # ============================================================ the appended city list (onboarding -> save -> refresh)
 # Config entries plus the stations picked by the search (U5): the city list a
 # refresh validates (S4), slugs (P7) and whose coordinates a save casts.
@@ -535,47 +529,75 @@ appended as (
   select {', '.join(CITY_COLS)}, cfg_pos from city_dim
   union all
   select name as city, state, noaa_station_id, eia_ba_code, latitude, longitude,
-         1000000 + row_number() over (order by noaa_station_id) as cfg_pos
-  from mapped)"""
+         (select max(cfg_pos) from city_dim) + row_number() over (order by noaa_station_id) as cfg_pos
+  from mapped),
+edited as (
+  select case when cfg_pos % 13 = 6 then null when cfg_pos % 5 = 1 then replace(lower(city), ' ', '_') else city end as city,
+    state, case when cfg_pos % 7 = 3 then null else noaa_station_id end as noaa_station_id, eia_ba_code,
+    case when cfg_pos % 11 = 4 then 'n/a' else cast(latitude as varchar) end as latitude,
+    cast(longitude as varchar) as longitude, cfg_pos
+  from appended)"""
 
 
 def _appended_sql(body: str) -> str:
     return _st_sql("," + _APPENDED_SQL + "\n" + body)
 
 
+def _edited(i: Inputs) -> DataFrame:
+    """The appended list after an edit of its text: by position, some entries lose their name or station, some
+    names change their case (their slugs clash then) and some latitudes do not parse."""
+    k = F.col("cfg_pos")
+    city = (F.when(k % 13 == 6, F.lit(None).cast("string")).when(k % 5 == 1, city_slug(F.col("city")))
+            .otherwise(F.col("city")))
+    return i.city_list().select(
+        city.alias("city"), "state", F.when(k % 7 != 3, F.col("noaa_station_id")).alias("noaa_station_id"),
+        "eia_ba_code", F.when(k % 11 == 4, F.lit("n/a")).otherwise(F.col("latitude").cast("string")).alias("latitude"),
+        F.col("longitude").cast("string").alias("longitude"), "cfg_pos")
+
+
+@register("city_dim_append", _appended_sql(f"select {', '.join(CITY_COLS)}, cfg_pos from appended"))
+def _city_dim_append(i: Inputs) -> DataFrame:
+    return i.city_list().select(*CITY_COLS, "cfg_pos")
+
+
 @register("city_dim_valid", _appended_sql(
-    f"select {', '.join(CITY_COLS)} from appended where city is not null and noaa_station_id is not null"))
+    "select city, noaa_station_id, cfg_pos from edited where city is not null and noaa_station_id is not null"))
 def _city_dim_valid(i: Inputs) -> DataFrame:
-    return clean.valid_cities(i.city_list()).select(*CITY_COLS)
+    return clean.valid_cities(_edited(i)).select("city", "noaa_station_id", "cfg_pos")
 
 
 @register("city_slug", _appended_sql("""
-select city, replace(lower(city), ' ', '_') as slug,
+select city, replace(lower(city), ' ', '_') as slug, cfg_pos,
   city = arg_max(city, cfg_pos) over (partition by replace(lower(city), ' ', '_')) as owns_file
-from appended where city is not null"""))
+from edited where city is not null and noaa_station_id is not null"""))
 def _city_slug(i: Inputs) -> DataFrame:
-    cd = i.city_list().filter(F.col("city").isNotNull())
+    cd = clean.valid_cities(_edited(i))
     owners = mst.slug_owners(cd).select("slug", F.col("city").alias("_owner"))
     return (
-        cd.select("city", city_slug(F.col("city")).alias("slug"))
+        cd.select("city", city_slug(F.col("city")).alias("slug"), "cfg_pos")
         .join(owners, "slug")
-        .select("city", "slug", (F.col("city") == F.col("_owner")).alias("owns_file"))
+        .select("city", "slug", "cfg_pos", (F.col("city") == F.col("_owner")).alias("owns_file"))
     )
 
 
-@register("city_dim_cast", _appended_sql("""
-select city, try_cast(cast(latitude as varchar) as double) as latitude,
-  try_cast(cast(longitude as varchar) as double) as longitude,
-  coalesce(bool_and((latitude is null or try_cast(cast(latitude as varchar) as double) is not null)
-               and (longitude is null or try_cast(cast(longitude as varchar) as double) is not null)) over (), true) as edit_valid
-from appended"""))
+_CAST_SQL = """
+select city, cfg_pos, try_cast(latitude as double) as latitude, try_cast(longitude as double) as longitude,
+  coalesce(bool_and((latitude is null or try_cast(latitude as double) is not null)
+               and (longitude is null or try_cast(longitude as double) is not null)) over (), true) as edit_valid
+from edited"""
+
+
+@register("city_dim_cast", _appended_sql(_CAST_SQL + " where cfg_pos % 11 <> 4"))
 def _city_dim_cast(i: Inputs) -> DataFrame:
-    text = i.city_list().select(
-        "city", F.col("latitude").cast("string").alias("latitude"),
-        F.col("longitude").cast("string").alias("longitude"))
-    return stn.city_dim_cast(text).select("city", "latitude", "longitude", "edit_valid")
+    # an edit without the entries that do not parse is accepted
+    text = _edited(i).filter(F.col("cfg_pos") % 11 != 4)
+    return stn.city_dim_cast(text).select("city", "cfg_pos", "latitude", "longitude", "edit_valid")
 
 
+@register("city_dim_cast_rejected", _appended_sql(_CAST_SQL))
+def _city_dim_cast_rejected(i: Inputs) -> DataFrame:
+    return stn.city_dim_cast(_edited(i)).select("city", "cfg_pos", "latitude", "longitude", "edit_valid")
+
 
 # ============================================================ selection variants
 @register("kpis_city_range", _ana_sql(f"""
@@ -609,19 +631,21 @@ def _usage_heatmap_city_max(i: Inputs) -> DataFrame:
 REFRESH_RANGE = ("1970-01-01", "2029-12-31")
 
 
-def _run_refresh(i: Inputs) -> dict[str, str]:
-    """Land the fixture's raw tables as JSON Lines, then run the refresh job.
+def _root(i: Inputs) -> str:
+    """A fresh folder under the session's checkpoint folder (shared storage on a cluster)."""
+    return _os.path.join(_ckpt_dir(i.spark), f"refresh-{_uuid.uuid4().hex}")
+
 
-    Everything is written under the session's checkpoint folder (shared
-    storage on a cluster), in a fresh sub-folder per call.
-    """
-    root = _os.path.join(_ckpt_dir(i.spark), f"refresh-{_uuid.uuid4().hex}")
+def _run_refresh(i: Inputs) -> dict[str, str]:
+    """Land the fixture's raw tables by years, then run the refresh job."""
+    root = _root(i)
     w_root, e_root = _os.path.join(root, "landing", "noaa"), _os.path.join(root, "landing", "eia")
-    # fixture rows of every city share each task: rebalance by city before landing
-    _sinks.land_readings(i.raw_weather(), w_root, rebalance=True, city_dim=i.city_dim())
-    _sinks.land_readings(i.raw_energy().drop("type"), e_root, rebalance=True, city_dim=i.city_dim())
-    return _refresh(i.spark, w_root, e_root, i.city_dim(), _os.path.join(root, "out"),
-                    RunMode(fetch_range=REFRESH_RANGE))
+    _sinks.land_spans(i.raw_weather(), w_root, "noaa", i.city_dim(), *REFRESH_RANGE, grain="year")
+    _sinks.land_spans(i.raw_energy(), e_root, "eia", i.city_dim(), *REFRESH_RANGE, grain="year")
+    paths = _refresh(i.spark, w_root, e_root, i.city_dim(), _os.path.join(root, "out"),
+                     RunMode(fetch_range=REFRESH_RANGE), layout="spans")
+    _storage.delete(i.spark, _os.path.join(root, "landing"))
+    return paths
 
 
 @register("refresh_master", with_ctes("select date, TMAX_F, TMIN_F, energy_mwh, city from master"))
@@ -638,3 +662,141 @@ _SUFFIX = f"_{REFRESH_RANGE[0]}_to_{REFRESH_RANGE[1]}.json"
     + _NEG_SQL.replace("'.json'", f"'{_SUFFIX}'") + ")"))
 def _refresh_quality_report(i: Inputs) -> DataFrame:
     return _landed.read_quality_report(i.spark, _run_refresh(i)["quality_report"])
+
+
+# ============================================================ a refresh over several landed ranges, some of which failed
+LANDED_RANGES = (("1992-01-01", "1995-12-31"), ("1996-01-01", "2003-12-31"))
+SEVERAL_RANGE = ("1993-07-01", "2002-12-31")
+# a landing of a city whose name ends in 3 loses the days of its cold readings, and so fails as a whole
+_SEVERAL = {
+    "landed_weather": f"""
+select city, cast(date as date) as day, datatype, value, pos,
+  case when cast(date as date) >= date '1996-01-01' then '1996-01-01_to_2003-12-31' else '1992-01-01_to_1995-12-31' end as part,
+  city like '%3' and cast(date as date) >= date '1996-01-01' and value < 0 as lost
+from (select n_name as city, l_shipdate as date,
+  case l_returnflag when 'A' then 'TMAX' when 'R' then 'TMIN' else 'PRCP' end as datatype,
+  (l_quantity*10 - 100 + l_linenumber)/10 as value,
+  row_number() over (partition by n_name order by l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                     l_quantity, l_returnflag, l_shipdate) as pos
+from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey) t""",
+    "in_range": f"""
+select * from landed_weather
+where lost or day between date '{SEVERAL_RANGE[0]}' and date '{SEVERAL_RANGE[1]}'""",
+    "raw_weather": """
+select city, day as date, datatype, value, pos from in_range r
+where not exists (select 1 from in_range b where b.lost and b.city = r.city and b.part = r.part)""",
+    "energy_daily": f"""
+select city, cast(period as date) as date,
+  coalesce(cast(round_even(sum(try_cast(try_cast(value as double) as decimal(28,6))), 2) as double), 0.0) as energy_mwh
+from raw_energy where city in (select city from energy_cities)
+  and cast(period as date) between date '{SEVERAL_RANGE[0]}' and date '{SEVERAL_RANGE[1]}'
+group by city, cast(period as date)""",
+}
+
+
+def _several_sql(body: str) -> str:
+    """The CTEs with those of the landed ranges before the tables that they replace."""
+    first = {k: _SEVERAL[k] for k in ("landed_weather", "in_range")}
+    sql = with_ctes(body, {k: v for k, v in _SEVERAL.items() if k not in first})
+    return "with " + ",\n".join(f"{k} as ({v.strip()})" for k, v in first.items()) + ",\n" + sql[len("with "):]
+
+
+def _run_several(i: Inputs) -> dict[str, str]:
+    """Land two ranges by years, one after the other, and refresh a range that meets both."""
+    root = _root(i)
+    roots = {s: _os.path.join(root, "landing", s) for s in ("noaa", "eia")}
+    lost = F.col("city").endswith("3") & (F.col("value") < 0)
+    for k, (start, end) in enumerate(LANDED_RANGES):
+        for source, raw, day in (("noaa", i.raw_weather(), "date"), ("eia", i.raw_energy(), "period")):
+            part = raw.filter(F.col(day).cast("date").between(start, end))
+            if source == "noaa" and k:
+                part = part.withColumn(day, F.when(lost, F.lit("no day")).otherwise(F.col(day).cast("string")))
+            _sinks.land_spans(part, roots[source], source, i.city_dim(), start, end, grain="year")
+    paths = _refresh(i.spark, roots["noaa"], roots["eia"], i.city_dim(), _os.path.join(root, "out"),
+                     RunMode(fetch_range=SEVERAL_RANGE), layout="spans")
+    _storage.delete(i.spark, _os.path.join(root, "landing"))
+    return paths
+
+
+@register("refresh_several_ranges", _several_sql("select date, TMAX_F, TMIN_F, energy_mwh, city from master"))
+def _refresh_several_ranges(i: Inputs) -> DataFrame:
+    return _landed.read_master(i.spark, _run_several(i)["master"])
+
+
+@register("refresh_file_verdicts", _several_sql("""
+select 'noaa' as source, 'noaa_' || lower(city) || '_' || part || '.json' as file, city, bool_or(bad) as failed,
+  count(*) filter (n > 1) as duplicate_groups, cast(coalesce(sum(n) filter (n > 1), 0) as bigint) as duplicate_rows
+from (select city, part, case when not lost then day end as day, datatype, count(*) as n, bool_or(lost) as bad
+      from in_range group by all) g
+group by city, part
+union all
+select 'eia', 'eia_' || lower(city) || '_' || part || '.json', city, false, 0, 0
+from (select distinct city, case when cast(period as date) >= date '1996-01-01' then '1996-01-01_to_2003-12-31'
+        else '1992-01-01_to_1995-12-31' end as part
+      from raw_energy where city in (select city from energy_cities)
+        and cast(period as date) between date '""" + SEVERAL_RANGE[0] + "' and date '" + SEVERAL_RANGE[1] + "') e"))
+def _refresh_file_verdicts(i: Inputs) -> DataFrame:
+    return i.spark.read.schema(_schemas.FILE_VERDICTS).parquet(_run_several(i)["file_verdicts"])
+
+
+# ============================================================ branches that the plain fixture does not reach
+@register("energy_respondents", with_ctes("""
+select city, cast(period as date) as date,
+  coalesce(cast(round_even(sum(try_cast(try_cast(value as double) as decimal(28,6))), 2) as double), 0.0) as energy_mwh
+from (select r.*, c.eia_ba_code, case when try_cast(value as double) > 200000 then 'OTHER'
+        when type = 'F' then ' ' || c.eia_ba_code || ' ' end as respondent
+      from raw_energy r join city_dim c on r.city = c.city) e
+where city in (select city from energy_cities) and (respondent is null or trim(respondent) = eia_ba_code)
+group by city, cast(period as date)"""))
+def _energy_respondents(i: Inputs) -> DataFrame:
+    # dear orders are another respondent's, those of type F the city's own, and the others name none
+    own = i.city_dim().select("city", "eia_ba_code")
+    other = F.col("value").try_cast("double") > 200000
+    raw = i.raw_energy().join(own, "city").withColumn("respondent", F.when(other, F.lit("OTHER")).when(
+        F.col("type") == "F", F.concat(F.lit(" "), F.col("eia_ba_code"), F.lit(" ")))).drop("eia_ba_code")
+    return clean.energy_daily(raw, i.city_dim())
+
+
+_EXTREME = {"raw_weather": """
+select n_name as city, l_shipdate as date,
+  case l_returnflag when 'A' then 'TMAX' when 'R' then 'TMIN' else 'PRCP' end as datatype,
+  case when l_quantity > 45 then 2 when l_quantity < 5 then 9 else 1 end * (l_quantity*10 - 100 + l_linenumber)/10 as value,
+  row_number() over (partition by n_name order by l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                     l_quantity, l_returnflag, l_shipdate) as pos
+from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey"""}
+
+
+@register("q_outliers_extreme", with_ctes("""
+select city, date, column_name, value, case
+  when column_name in ('TMAX_F', 'TMIN_F') and value > 130 then 'temperature above 130°F'
+  when column_name in ('TMAX_F', 'TMIN_F') and value < -50 then 'temperature below -50°F'
+  when column_name = 'energy_mwh' and value < 0 then 'negative energy' end as rule
+from (select city, date, TMAX_F, TMIN_F, energy_mwh from master)
+unpivot (value for column_name in (TMAX_F, TMIN_F, energy_mwh))
+where rule is not null""", _EXTREME))
+def _q_outliers_extreme(i: Inputs) -> DataFrame:
+    # great and small readings are doubled and multiplied by nine, beyond both bounds (Q7)
+    tenths = F.round(F.col("value") * 10)
+    quantity = (tenths + 100 - F.pmod(tenths + 100, F.lit(10))) / 10
+    times = F.when(quantity > 45, 2).when(quantity < 5, 9).otherwise(1)
+    raw = i.raw_weather().withColumn("value", times * tenths / 10)
+    master = mst.build_master(raw, i.raw_energy(), i.city_dim())
+    return quality.q_outliers(master)
+
+
+@register("master_no_data", with_ctes(
+    "select cast(null as date) as date, cast(null as double) as TMAX_F, cast(null as double) as TMIN_F, "
+    "cast(null as double) as energy_mwh, city from city_dim"))
+def _master_no_data(i: Inputs) -> DataFrame:
+    # a range without a reading: one placeholder per configured city
+    return mst.build_master(i.raw_weather(), i.raw_energy(), i.city_dim(), "2040-01-01", "2040-12-31")
+
+
+@register("q_duplicate_rows_ordered", with_ctes("""
+select city, cast(date as date) as date, datatype, value,
+  row_number() over (partition by city order by cast(date as date), datatype, pos) as place
+from raw_weather r
+where (r.city, cast(r.date as date), r.datatype) in (
+  select (city, cast(date as date), datatype) from raw_weather group by all having count(*) > 1)"""))
+def _q_duplicate_rows_ordered(i: Inputs) -> DataFrame:
+    return quality.ordered_duplicates(i.raw_weather(), i._path("duplicates"))

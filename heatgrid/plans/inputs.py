@@ -37,7 +37,6 @@ def _memo(fn):
 class Inputs:
     spark: SparkSession
     sf_dir: str
-    published_fixture: bool = False   # FIXTURES.md's documented weather variant (tests only)
     _cache: dict = field(default_factory=dict, repr=False)
 
     # landing tables
@@ -47,7 +46,7 @@ class Inputs:
 
     @_memo
     def raw_weather(self) -> DataFrame:
-        return fixtures.raw_weather(self.spark, self.sf_dir, all_flags=not self.published_fixture)
+        return fixtures.raw_weather(self.spark, self.sf_dir)
 
     @_memo
     def raw_energy(self) -> DataFrame:
@@ -61,7 +60,7 @@ class Inputs:
     def city_list(self) -> DataFrame:
         """Configured cities plus every station the search picks (U5), with its BA."""
         found = stn.station_ba_map(stn.station_search(self.stations(), fixtures.STATIONS_AS_OF))
-        return stn.city_dim_append(self.city_dim(), found)
+        return stn.city_dim_append(self.city_dim(), found, self._path("appended-stations"))
 
     # refresh outputs
     @_memo
@@ -96,10 +95,13 @@ class Inputs:
     def _written(self, name: str, df: DataFrame) -> DataFrame:
         """A Parquet table in the session's checkpoint folder (shared storage on a cluster):
         it cuts the lineage to the raw tables and keeps column pruning and pushed filters."""
-        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        path = self._path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _path(self, name: str) -> str:
+        return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
     def master_snapshot(self) -> DataFrame:
         """The refresh's master as a written table (what the dashboard reads)."""
         return self._written("master", self.master())

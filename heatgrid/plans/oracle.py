@@ -18,15 +18,16 @@ select n_name as city, r_name as state,
   case when n_nationkey = 24 then null else cast(25 + n_nationkey as double) end as latitude,
   cast(-120 + 2*n_nationkey as double) as longitude,
   cast(n_nationkey as bigint) as cfg_pos
-from nation join region on n_regionkey = r_regionkey""",
+from nation join region on n_regionkey = r_regionkey
+union all
+select 'UNLANDED CITY', 'NOWHERE', 'GHCND:USW00000099', 'N/A', null, null, 25""",
     "raw_weather": """
 select n_name as city, l_shipdate as date,
   case l_returnflag when 'A' then 'TMAX' when 'R' then 'TMIN' else 'PRCP' end as datatype,
   (l_quantity*10 - 100 + l_linenumber)/10 as value,
   row_number() over (partition by n_name order by l_orderkey, l_linenumber, l_partkey, l_suppkey,
                      l_quantity, l_returnflag, l_shipdate) as pos
-from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
-where n_nationkey <> 23""",
+from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey""",
     "raw_energy": """
 select n_name as city, o_orderdate as period, o_orderstatus as type,
   case when o_orderkey % 97 = 0 then 'n/a'

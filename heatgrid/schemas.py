@@ -25,16 +25,16 @@ RAW_ENERGY = T.StructType([
     T.StructField("_corrupt", T.StringType()),
 ])
 
-# The monthly landing: Parquet under slug= and month= folders. ``seq`` is the landing order, ``landing`` the
+# The landing by spans (months or years): Parquet under slug= and span= folders. ``seq`` is the landing order, ``landing`` the
 # logical file (``<source>_<slug>_<from>_to_<to>.json``) that a row came with.
-def _monthly(*fields: tuple[str, T.DataType]) -> T.StructType:
+def _spans(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in (
         *fields, ("seq", T.LongType()), ("landing", T.StringType()), ("slug", T.StringType()),
-        ("month", T.StringType()))])
+        ("span", T.StringType()))])
 
 
-WEATHER_MONTHS = _monthly(("date", T.StringType()), ("datatype", T.StringType()), ("value", T.DoubleType()))
-ENERGY_MONTHS = _monthly(("period", T.StringType()), ("respondent", T.StringType()), ("value", T.StringType()))
+WEATHER_SPANS = _spans(("date", T.StringType()), ("datatype", T.StringType()), ("value", T.DoubleType()))
+ENERGY_SPANS = _spans(("period", T.StringType()), ("respondent", T.StringType()), ("value", T.StringType()))
 
 WEATHER_DAILY = T.StructType([
     T.StructField("city", T.StringType()),

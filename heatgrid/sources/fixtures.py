@@ -14,11 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heatgrid.schemas import CITY_DIM
+from heatgrid.sources.local import local_table
 from heatgrid.sources.tables import read_table
 
-# Fixed values of the test fixture (FIXTURES.md): the nation that gets no data,
-# the placeholder BA rule and the nation without latitude.
-NO_DATA_NATION = 23
+# Fixed values of the test fixture (FIXTURES.md): the configured city without
+# data, the placeholder BA rule and the nation without latitude.
+NO_DATA_CITY = ("UNLANDED CITY", "NOWHERE", "GHCND:USW00000099", "N/A", None, None, 25)
 NA_BA_MODULUS, NA_BA_REMAINDER = 6, 5
 NO_LATITUDE_NATION = 24
 
@@ -29,11 +31,11 @@ def _nation_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def city_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Configured cities: one per nation, in nation-key (configuration) order."""
+    """Configured cities: one per nation, in nation-key (configuration) order, and one without data."""
     n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     r = F.broadcast(read_table(spark, sf_dir, "region", "r_regionkey", "r_name"))
     key = F.col("n_nationkey")
-    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+    nations = n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_name").alias("city"),
         F.col("r_name").alias("state"),
         F.concat(F.lit("GHCND:USW"), F.lpad(key.cast("string"), 8, "0")).alias("noaa_station_id"),
@@ -44,10 +46,11 @@ def city_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key * 2 - 120).cast("double").alias("longitude"),
         key.cast("long").alias("cfg_pos"),
     )
+    return nations.unionByName(local_table(spark, [NO_DATA_CITY], CITY_DIM))
 
 
 # Bit widths of the packed landing order (see ``landing_order``).
-_LINE_BITS, _PART_BITS, _SUPP_BITS, _QTY_BITS = 3, 35, 30, 13
+_ORDER_BITS, _LINE_BITS, _PART_BITS, _SUPP_BITS, _QTY_BITS = 44, 3, 35, 30, 13
 
 
 def landing_order():
@@ -58,8 +61,9 @@ def landing_order():
     returnflag and the shipdate day are constant, and rows equal on the other
     fields carry the same value, so packing those fields into one
     ``decimal(38,0)`` (3 + 35 + 30 + 13 bits below an orderkey < 2^44, i.e.
-    far past SF 100,000) keeps keep-first exact. Unlike a struct, a decimal
-    ordering keeps ``min_by`` in a hash aggregate (no sort of every task).
+    far past SF 100,000) keeps keep-first exact; a key beyond its bits raises
+    an error. Unlike a struct, a decimal ordering keeps ``min_by`` in a hash
+    aggregate (no sort of every task).
     """
     dec = "decimal(38,0)"
 
@@ -71,16 +75,20 @@ def landing_order():
     k = shift(k, _PART_BITS) + F.col("l_partkey")
     k = shift(k, _SUPP_BITS) + F.col("l_suppkey")
     k = shift(k, _QTY_BITS) + F.round(F.col("l_quantity") * 100).cast("long")
-    return k.cast(dec)
+    fits = F.lit(True)
+    for key, bits in (("l_orderkey", _ORDER_BITS), ("l_linenumber", _LINE_BITS), ("l_partkey", _PART_BITS),
+                      ("l_suppkey", _SUPP_BITS)):
+        fits = fits & (F.col(key) >= 0) & (F.col(key) < F.lit(1 << bits))
+    return F.when(fits, k.cast(dec)).otherwise(F.raise_error(F.lit("a key is beyond its bits of the landing order"))
+                                               .cast(dec))
 
 
-def raw_weather(spark: SparkSession, sf_dir: str, all_flags: bool = True) -> DataFrame:
+def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long-format readings ``(city, date, datatype, value, pos)``.
 
     Every line item becomes a reading: flag ``A`` -> TMAX, ``R`` -> TMIN and
     ``N`` -> PRCP, a datatype the pivot ignores (it still makes day rows and
-    duplicates). ``all_flags=False`` is FIXTURES.md's documented variant
-    without the ``N`` rows, whose published observations the tests check.
+    duplicates).
 
     ``pos`` is the landing order used for keep-first (``landing_order``); it
     needs no window, so no task ever sorts a whole city.
@@ -91,10 +99,8 @@ def raw_weather(spark: SparkSession, sf_dir: str, all_flags: bool = True) -> Dat
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                     "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
     sup = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    nat = _nation_city(spark, sf_dir).filter(F.col("n_nationkey") != NO_DATA_NATION)
+    nat = _nation_city(spark, sf_dir)
     rf = F.col("l_returnflag")
-    if not all_flags:
-        li = li.filter(rf != "N")
     return (
         li.join(sup, li.l_suppkey == sup.s_suppkey)
         .join(nat, F.col("s_nationkey") == nat.n_nationkey)

@@ -8,8 +8,8 @@ Three landing layouts are read:
   folder prunes files of other ranges before they are read (``manifest.py``);
 * ``lines``, written by ``sinks.land_readings``: JSON Lines under
   ``<root>/slug=<slug>/``, splittable into as many tasks as the data needs;
-* ``months``, written by ``sinks.land_months``: Parquet under
-  ``<root>/slug=<slug>/month=<yyyy-MM>/``; a run's range reads its months only.
+* ``spans``, written by ``sinks.land_spans``: Parquet under
+  ``<root>/slug=<slug>/span=<yyyy-MM or yyyy>/``; a run's range reads its spans only.
 
 ``pos`` (landing order, for keep-first) is ``monotonically_increasing_id`` taken
 in the scan projection, before any shuffle: ids grow with the partition index
@@ -62,18 +62,18 @@ def _with_city(df: DataFrame, source: str, city_dim: DataFrame) -> DataFrame:
     return keyed.join(slug_owners(city_dim), "slug").drop("slug")
 
 
-def _read_months(spark: SparkSession, path: str, source: str, start, end) -> DataFrame:
-    """The months of a range, and rows without a day of landings whose range meets it."""
-    schema = schemas.WEATHER_MONTHS if source == "noaa" else schemas.ENERGY_MONTHS
+def _read_spans(spark: SparkSession, path: str, source: str, start, end) -> DataFrame:
+    """The spans that a range meets, and rows without a day of landings whose range meets it."""
+    schema = schemas.WEATHER_SPANS if source == "noaa" else schemas.ENERGY_SPANS
     df = spark.read.schema(schema).parquet(path)
-    month, undated = F.col("month"), F.col("month").isNull()
+    span, undated = F.col("span"), F.col("span").isNull()
     if start is not None:
-        df = df.filter((month >= str(start)[:7]) | undated)
+        df = df.filter((span >= F.substring(F.lit(str(start)), F.lit(1), F.length(span))) | undated)
     if end is not None:
-        df = df.filter((month <= str(end)[:7]) | undated)
+        df = df.filter((span <= F.substring(F.lit(str(end)), F.lit(1), F.length(span))) | undated)
     parts = manifest.name_parts(F.col("landing"))
     meets = manifest.meets(parts["from_day"], parts["to_day"], start, end) | parts["from_day"].isNull()
-    return (df.filter(~undated | meets).withColumnRenamed("landing", "_file").drop("month")
+    return (df.filter(~undated | meets).withColumnRenamed("landing", "_file").drop("span")
             .withColumnRenamed("seq", "pos"))
 
 
@@ -82,13 +82,13 @@ def read_landed(spark: SparkSession, path: str, source: str, city_dim: DataFrame
     """Raw rows of one source (``noaa`` weather or ``eia`` energy) with ``city``, ``pos``, the landed file where
     a city can have several, and the corrupt-record column of JSON layouts.
 
-    ``layout`` is ``array``, ``lines`` or ``months`` (default: ``array`` with
+    ``layout`` is ``array``, ``lines`` or ``spans`` (default: ``array`` with
     ``multi_line``, else ``lines``). A range reads what its landed files hold;
     ``files`` is the run's part of the manifest, if it was made already.
     """
     layout = layout or ("array" if multi_line else "lines")
-    if layout == "months":
-        return _with_city(_read_months(spark, path, source, start, end), source, city_dim)
+    if layout == "spans":
+        return _with_city(_read_spans(spark, path, source, start, end), source, city_dim)
     schema = schemas.RAW_WEATHER if source == "noaa" else schemas.RAW_ENERGY
     if layout == "array":
         files = manifest.chosen(spark, path, source, start, end) if files is None else files

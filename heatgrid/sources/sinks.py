@@ -35,17 +35,20 @@ def land_readings(df: DataFrame, root: str, rebalance: bool = False, city_dim: D
     out.write.mode("overwrite").partitionBy("slug").json(root)
 
 
-def land_months(df: DataFrame, root: str, source: str, city_dim: DataFrame | None = None,
-                start=None, end=None) -> None:
-    """S3: land raw readings as Parquet under ``slug=`` and ``month=`` folders.
-
-    Only the months that ``df`` holds are replaced, each as a whole, so a
-    month can be landed again and the others stay. ``seq`` keeps the landing
-    order (``pos``) in 64 bits: rows are sorted over ranges of (slug, month,
-    pos), so a large city's month is several tasks' work and each task writes
-    few folders. ``landing`` names the reference's file of the run. Rows whose
-    day is missing or does not parse go to their city's folder without a month.
+def land_spans(df: DataFrame, root: str, source: str, city_dim: DataFrame | None = None,
+               start=None, end=None, grain: str = "month") -> None:
+    """S3: land raw readings as Parquet under ``slug=`` and ``span=`` folders.
+
+    A span is a month or, with ``grain="year"``, a year: runs of many years
+    then make fewer, larger folders. Only the spans that ``df`` holds are
+    replaced, each as a whole, so one can be landed again and the others stay.
+    ``seq`` keeps the landing order (``pos``) in 64 bits: rows are sorted over
+    ranges of (slug, span, pos), so a large city's span is several tasks' work
+    and each task writes few folders. ``landing`` names the reference's file of
+    the run. Rows whose day is missing or does not parse go to their city's
+    folder without a span.
     """
+    pattern = {"month": "yyyy-MM", "year": "yyyy"}[grain]
     day = "date" if source == "noaa" else "period"
     cast = lambda c, kind: (F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c)
     named = F.concat(F.lit(f"{source}_"), F.col("slug"),
@@ -57,13 +60,13 @@ def land_months(df: DataFrame, root: str, source: str, city_dim: DataFrame | Non
         out = out.join(slug_owners(city_dim), ["slug", "city"], "left_semi")
     pos = F.col("pos") if "pos" in df.columns else F.monotonically_increasing_id()
     out = out.select(F.col(day).cast("string").alias(day), *fields, pos.alias("pos"), "slug",
-                     F.date_format(to_day(df, day), "yyyy-MM").alias("month"))
-    order = ["slug", "month", "pos"]
+                     F.date_format(to_day(df, day), pattern).alias("span"))
+    order = ["slug", "span", "pos"]
     ranged = out.repartitionByRange(*order).sortWithinPartitions(*order)
     (ranged.withColumns({"seq": F.monotonically_increasing_id(), "landing": named})
-     .select(day, *(f.name for f in (schemas.WEATHER_MONTHS if source == "noaa" else schemas.ENERGY_MONTHS)
+     .select(day, *(f.name for f in (schemas.WEATHER_SPANS if source == "noaa" else schemas.ENERGY_SPANS)
                     if f.name != day))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slug", "month").parquet(root))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slug", "span").parquet(root))
 
 
 def write_processed(merged: DataFrame, path: str) -> None:

@@ -11,9 +11,27 @@ from heatgrid.plans.inputs import Inputs
 from heatgrid.sources.fixtures import STATIONS_AS_OF
 
 
+class Published(Inputs):
+    """The variant whose observations FIXTURES.md publishes: readings of nation 23 and of flag N left out,
+    no configured city besides the nations."""
+
+    def raw_weather(self):
+        return super().raw_weather().filter("city <> 'NATION_23' and datatype <> 'PRCP'")
+
+    def city_dim(self):
+        return super().city_dim().filter("city <> 'UNLANDED CITY'")
+
+
 @pytest.fixture(scope="module")
 def inp(spark):
-    return Inputs(spark, SF01, published_fixture=True)
+    return Published(spark, SF01)
+
+
+def test_every_line_item_is_a_reading(spark):
+    full = Inputs(spark, SF01)
+    assert full.raw_weather().count() == 60000
+    assert full.raw_weather().select("city").distinct().count() == 25
+    assert [r.city for r in full.master().filter(F.col("date").isNull()).collect()] == ["UNLANDED CITY"]
 
 
 def test_refresh_counts(inp):

@@ -251,23 +251,23 @@ def test_a_damaged_processed_file_loses_its_city_only(spark, scratch):
     assert [r.city for r in spark.read.parquet(paths["quarantine"]).collect()] == ["B b/ü"]
 
 
-def test_months_are_pruned_and_landed_again(spark, scratch):
+def test_spans_are_pruned_and_landed_again(spark, scratch):
     rows = [("New York", f"2024-{m:02d}-{d:02d}", "TMAX", float(m), 100 * d - m) for m in range(1, 13) for d in (1, 2)]
     rows += [("Chicago", "2023-12-31", "TMIN", 1.0, 1), ("Chicago", None, "TMIN", 2.0, 2)]
     kinds = "city string, date string, datatype string, value double, pos long"
     cd = landed.city_dim_from_entries(spark, CONFIG)
     root = os.path.join(scratch, "noaa")
-    sinks.land_months(spark.createDataFrame(rows, kinds), root, "noaa", cd, "2023-12-31", "2024-12-31")
-    june = landed.read_weather(spark, root, cd, layout="months", start="2024-06-01", end="2024-06-30")
+    sinks.land_spans(spark.createDataFrame(rows, kinds), root, "noaa", cd, "2023-12-31", "2024-12-31")
+    june = landed.read_weather(spark, root, cd, layout="spans", start="2024-06-01", end="2024-06-30")
     plan = june._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "PartitionFilters: [" in plan and "span" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert sorted((r.city, r.date) for r in june.collect() if r.date) == [("New York", "2024-06-01"), ("New York", "2024-06-02")]
     before = {d: os.listdir(os.path.join(root, "slug=new_york", d)) for d in os.listdir(os.path.join(root, "slug=new_york"))}
     again = [("New York", "2024-06-03", "TMAX", 9.0, 1), ("New York", "2024-06-03", "TMAX", 8.0, 0)]
-    sinks.land_months(spark.createDataFrame(again, kinds), root, "noaa", cd, "2024-06-01", "2024-06-30")
+    sinks.land_spans(spark.createDataFrame(again, kinds), root, "noaa", cd, "2024-06-01", "2024-06-30")
     after = {d: os.listdir(os.path.join(root, "slug=new_york", d)) for d in os.listdir(os.path.join(root, "slug=new_york"))}
-    assert {d for d in before if before[d] != after[d]} == {"month=2024-06"}
-    june = landed.read_weather(spark, root, cd, layout="months", start="2024-06-01", end="2024-06-30")
+    assert {d for d in before if before[d] != after[d]} == {"span=2024-06"}
+    june = landed.read_weather(spark, root, cd, layout="spans", start="2024-06-01", end="2024-06-30")
     got = clean.weather_daily(june, cd).filter("date is not null").collect()
     assert [(r.city, str(r.date), r.TMAX_F) for r in got] == [("New York", "2024-06-03", 46.4)]     # pos 0 is first
 
