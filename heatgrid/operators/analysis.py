@@ -8,7 +8,7 @@ scalar subqueries (evaluated once, no join).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from heatgrid.functions.dates import in_range
@@ -178,17 +178,20 @@ def latest_per_city(base: DataFrame) -> DataFrame:
     return base.groupBy("city").agg(F.max("date").alias("date"), *last).select(*base.columns)
 
 
-def _geo(latest: DataFrame, prev: DataFrame, city: str | None) -> DataFrame:
-    # colour range over every latest row, before the city filter and F7 (A11):
-    # one scalar subquery, evaluated once
-    rng = latest.agg(F.struct(F.min("energy_mwh").alias("lo"), F.max("energy_mwh").alias("hi"))).scalar()
+def _geo(latest: DataFrame, filtered: DataFrame, previous_day: Column, city: str | None) -> DataFrame:
+    """The map's rows from the latest row per city, derived once.
+
+    The colour range over every latest row (A11, before the city filter and
+    F7) and the global previous day are windows over one row per city; previous
+    energies come by one join on city and that day.
+    """
+    every = Window.partitionBy()
     e, p = F.col("energy_mwh"), F.col("energy_prev_day")
-    m = (
-        latest.join(prev, "city", "left")
-        .withColumn("energy_pct_change", pct_change(e, p))
-        .withColumn("color_min", rng.getField("lo"))
-        .withColumn("color_max", rng.getField("hi"))
-    )
+    marked = latest.withColumns({"color_min": F.min("energy_mwh").over(every),
+                                 "color_max": F.max("energy_mwh").over(every), "_day": previous_day})
+    before = filtered.select(F.col("city").alias("_city"), F.col("date").alias("_date"), e.alias("energy_prev_day"))
+    m = marked.join(before, (F.col("city") == F.col("_city")) & (F.col("_day") == F.col("_date")), "left").withColumn(
+        "energy_pct_change", pct_change(e, p))
     m = select_city(m, city).filter(
         F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col(TEMP).isNotNull())
     return m.select(
@@ -207,20 +210,13 @@ def geo_latest(filtered: DataFrame, city: str | None = None) -> DataFrame:
     ``filtered`` is the all-city date-filtered frame. The previous day is one
     global date: the minimum over cities of their latest date, minus one.
     """
-    latest = latest_per_city(filtered)
-    prev_day = latest.agg(F.date_sub(F.min("date"), 1)).scalar()  # scalar subquery
-    prev = filtered.filter(F.col("date") == prev_day).select(
-        "city", F.col("energy_mwh").alias("energy_prev_day"))
-    return _geo(latest, prev, city)
+    previous = F.date_sub(F.min("date").over(Window.partitionBy()), 1)
+    return _geo(latest_per_city(filtered), filtered, previous, city)
 
 
 def geo_latest_per_city_prev(filtered: DataFrame, city: str | None = None) -> DataFrame:
     """Documented variant: each city compared with its own previous day."""
-    latest = latest_per_city(filtered)
-    keys = latest.select("city", F.date_sub("date", 1).alias("date"))
-    prev = filtered.join(keys, ["city", "date"]).select(
-        "city", F.col("energy_mwh").alias("energy_prev_day"))
-    return _geo(latest, prev, city)
+    return _geo(latest_per_city(filtered), filtered, F.date_sub("date", 1), city)
 
 
 # ---------------------------------------------------------------- heatmap

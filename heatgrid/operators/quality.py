@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from heatgrid.functions.dates import to_day
 from heatgrid.functions.text import city_slug, py_float_text
-from heatgrid.operators import clean
+from heatgrid.operators import clean, summary
 from heatgrid.operators.numbering import numbered
 from heatgrid.schemas import QUALITY_COLUMNS
 from heatgrid.sources.local import local_table
@@ -210,16 +210,9 @@ def quality_summary(report: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Q6-Q8
-MEASURES = ["date", "TMAX_F", "TMIN_F", "energy_mwh"]
-
-
 def q_missing_values(master: DataFrame) -> DataFrame:
     """Missing entries per city and column (Q6): counted per city, then unpivoted."""
-    per_city = master.groupBy("city").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[(F.count(F.lit(1)) - F.count(c)).alias(c) for c in MEASURES])
-    return per_city.unpivot(["city", "n_rows"], MEASURES, "column_name", "n_missing").select(
-        "city", "column_name", "n_rows", F.col("n_missing").cast("long").alias("n_missing"))
+    return summary.missing_values(summary.city_summary(master))
 
 
 def q_outliers(master: DataFrame, high: float = TEMP_HIGH_F, low: float = TEMP_LOW_F) -> DataFrame:
@@ -238,6 +231,4 @@ def q_outliers(master: DataFrame, high: float = TEMP_HIGH_F, low: float = TEMP_L
 
 def q_freshness(master: DataFrame, as_of) -> DataFrame:
     """Latest date per city and days since it, against ``as_of`` (Q8)."""
-    return master.groupBy("city").agg(F.max("date").alias("latest_date")).select(
-        "city", "latest_date",
-        F.datediff(F.lit(as_of).cast("date"), F.col("latest_date")).cast("long").alias("days_since_latest"))
+    return summary.freshness(summary.city_summary(master), as_of)

@@ -33,7 +33,7 @@ _ORACLE: dict[str, str] = {}
 
 # Fixed parameters of the registered queries.
 RANGE_START, RANGE_END = "1995-01-01", "1996-06-30"
-MAP_END = "1998-07-21"      # of the map queries: a day on which some cities have energy and some have not
+MAP_END = "1998-07-10"      # of the map queries: six cities have a percent change, one from a negative day
 ONE_CITY = "NATION_7"
 
 
@@ -653,6 +653,15 @@ def _refresh_master(i: Inputs) -> DataFrame:
     return _landed.read_master(i.spark, _run_refresh(i)["master"])
 
 
+@register("refresh_city_summary", with_ctes("""
+select city, count(*) as n_rows, count(*) - count(date) as missing_date, count(*) - count(TMAX_F) as "missing_TMAX_F",
+  count(*) - count(TMIN_F) as "missing_TMIN_F", count(*) - count(energy_mwh) as missing_energy_mwh,
+  min(date) as min_date, max(date) as max_date
+from master group by city"""))
+def _refresh_city_summary(i: Inputs) -> DataFrame:
+    return i.spark.read.parquet(_run_refresh(i)["city_summary"])
+
+
 _SUFFIX = f"_{REFRESH_RANGE[0]}_to_{REFRESH_RANGE[1]}.json"
 
 

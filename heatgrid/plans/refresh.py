@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heatgrid.functions.dates import RunMode
-from heatgrid.operators import clean, master as mst, quality
+from heatgrid.operators import clean, master as mst, quality, summary
 from heatgrid.schemas import MASTER, QUALITY_COLUMNS
 from heatgrid.sources import landed, manifest, sinks, storage
 
-TABLES = ("processed", "master", "quality_report", "file_verdicts", "quarantine")
+TABLES = ("processed", "master", "quality_report", "file_verdicts", "quarantine", "city_summary")
 _STAGES = ("stage_weather_keys", "stage_energy_keys")
 #: Damaged files that a run goes on without; more are a broken store, which stops the run.
 MOST_DAMAGED = 10_000
@@ -80,6 +80,8 @@ def refresh_raw(raw_weather: DataFrame, raw_energy: DataFrame, city_dim: DataFra
     processed, damaged = read_processed(spark, paths["processed"], paths["quarantine"])
 
     sinks.write_master(mst.master_of_processed(processed, city_dim), paths["master"], master_format)
+    written = landed.read_master(spark, paths["master"], master_format)
+    summary.city_summary(written).write.mode("overwrite").parquet(paths["city_summary"])
     sinks.write_quality_report(quality_report(judged, processed, damaged, start, end), paths["quality_report"])
     storage.commit(spark, out_dir, version)
     for stage in _STAGES:

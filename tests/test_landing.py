@@ -302,3 +302,23 @@ def test_a_run_killed_midway_leaves_the_old_snapshot(spark, scratch, monkeypatch
     assert len(os.listdir(os.path.join(out, "versions"))) == 2         # older versions and the killed run's are gone
     assert not [t for v in os.listdir(os.path.join(out, "versions"))
                 for t in os.listdir(os.path.join(out, "versions", v)) if t.startswith("stage")]
+
+
+def test_summary_answers_what_the_master_would(spark, scratch):
+    from heatgrid.operators import quality, summary
+    from heatgrid.plans.refresh import refresh_raw
+    w = spark.createDataFrame([("A", dt.date(2024, 1, d), "TMAX", 0.0, d) for d in (1, 2)]
+                              + [("B", dt.date(2024, 2, 1), "TMIN", 5.0, 9), ("B", None, "TMIN", 5.0, 10)],
+                              "city string, date date, datatype string, value double, pos long")
+    e = spark.createDataFrame([("A", dt.date(2024, 1, 2), "3")], "city string, period date, value string")
+    cd = landed.city_dim_from_entries(spark, [_city("A"), _city("B"), _city("C")])
+    paths = refresh_raw(w, e, cd, os.path.join(scratch, "out"))
+    master = landed.read_master(spark, paths["master"])
+    kept = spark.read.parquet(paths["city_summary"])
+    same = lambda a, b: sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+    assert same(summary.date_bounds(kept), analysis.date_bounds(master))
+    assert same(summary.city_list(kept), analysis.city_list(master))
+    assert same(summary.missing_values(kept), quality.q_missing_values(master))
+    assert same(summary.freshness(kept, "2024-12-31"), quality.q_freshness(master, "2024-12-31"))
+    parts = [summary.city_summary(master.filter(c)) for c in ("date < '2024-01-02'", "not (date < '2024-01-02') or date is null")]
+    assert same(summary.merged(*parts), kept)
