@@ -11,14 +11,15 @@ left are verified on their whole sets, with integers only.
 Steps, each a Spark job:
 
 1. every text's set, its size and a 128-bit signature; equal sets are one class,
-   and its smallest doc_id stands for it;
+   found by salted aggregates, and its smallest doc_id stands for it. Where a
+   doc_id stands for several classes (its rows have several texts), all but one
+   get a number of their own, and the classes of one doc_id are linked;
 2. frequencies: a task sends each range of the hash space one packed block of
    shortened keys; a range's task answers with each document's number of keys
    that occur elsewhere (never too few). Documents with enough keys of their own
    for a whole prefix have no partner and end here;
 3. the classes left exchange their keys once more, and get prefixes and postings.
-   Which texts these are, all tasks know from a bit filter of bounded size, so no
-   text is shuffled; what passes it by chance is sorted out by a join later;
+   Their texts are found by a semi join on doc_id;
 4. candidates: in rounds, a document meets up to ``HUBS`` hubs of its postings
    that are of another component, those that share most postings with it first,
    so a group of n copies takes about n checks and not n squared. Pairs of
@@ -45,7 +46,7 @@ RANGE_BYTES = 24 << 20      # text whose keys meet in one task of the frequency
 RANGE_KEYS = 3 << 20        # keys that meet in one task of the second exchange
 ROUNDS = 4                  # hub rounds at most, before all other pairs are checked
 SEEDS, HUBS = 3, 4          # hubs per posting and round: 2 * SEEDS; checks per document and round
-BITS = 1 << 26              # of the filter on documents, at most
+SALTS = 64                  # parts of a class of equal sets, while its smallest doc_id is found
 LONG = 32                   # rows of a posting, from which on its pairs are compared in blocks
 BLOCK = 512                 # its rows per block
 ORDERS = 3
@@ -86,32 +87,6 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=[*batch.schema.names, "token"])
 
 
-def _slot(ids: np.ndarray, sigs: np.ndarray, bits: int) -> np.ndarray:
-    return (_token(ids, sigs) % U(bits)).astype(np.int64)
-
-
-def _slots(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = _slot(batch.column(0).to_numpy(), batch.column(1).to_numpy(), bits)
-            yield pa.RecordBatch.from_arrays([pa.array(slot)], names=["slot"])
-    return run
-
-
-def _filter(rows: DataFrame) -> np.ndarray:
-    """A bit for each hash value of the rows' (doc_id, sig_a), ``BITS`` at most: a fixed bound.
-
-    Beyond its size, more rows only let more others pass; none of the rows is lost.
-    """
-    bits = min(BITS, 1 << max(10, (16 * rows.count()).bit_length()))
-    filled = (rows.select("doc_id", "sig_a").mapInArrow(_slots(bits), "slot long")
-              .groupBy(F.expr("slot div 8").alias("at"))
-              .agg(F.expr("bit_or(shiftleft(1, cast(slot % 8 as int)))").alias("byte")).collect())
-    out = np.zeros(bits // 8, np.uint8)
-    out[[r.at for r in filled]] = [r.byte for r in filled]
-    return out
-
-
 _BLOCK = pa.schema([("range", pa.int32()), ("ids", pa.binary()), ("sigs", pa.binary()), ("sizes", pa.binary()),
                     ("keys", pa.binary())])
 _BLOCK_SQL = "range int, ids binary, sigs binary, sizes binary, keys binary"
@@ -174,18 +149,6 @@ def _send_short(n: int, ranges: int):
     return run
 
 
-def _passing(n: int, table):
-    """The rows (doc_id, text) that the filter lets pass."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(table.value, bitorder="little")
-        for batch in batches:
-            for s in words.shingle_sets(batch.column(1), n):
-                part = batch.slice(s.first, s.last - s.first)
-                slot = _slot(part.column(0).to_numpy(), _signature(s)[0].to_numpy(), len(bits))
-                yield part.filter(pa.array(bits[slot] == 1))
-    return run
-
-
 def _gather(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """doc ids, signatures, keys and each key's frequency in the range; rows that repeat a text count once."""
     join = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
@@ -369,9 +332,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, orders: i
     sets of distinct ``n``-word shingles (A-Z as a-z; with fewer words, the
     whole sequence is the one shingle). ``component_id`` is the smallest doc_id
     that links reach. Null or empty texts have size 0 and link with nothing.
-    Rows without doc_id get a null component. Rows repeating a doc_id share
-    its component; if their texts differ, the one with the smallest (size,
-    signature) is compared. Other columns are ignored.
+    Rows without doc_id get a null component. Rows repeating a doc_id are one
+    document with all their texts: each text is compared, the links of all of
+    them are the document's, and each row has its own text's size. Other
+    columns are ignored.
     """
     spark = docs.sparkSession
     stage = shared.Stage(spark, "jaccard")
@@ -379,9 +343,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, orders: i
     sigs = stage.keep("sigs", docs.mapInArrow(_signatures(n), "doc_id long, n_shingles long, sig_a long, sig_b long"))
     sig = ["n_shingles", "sig_a", "sig_b"]
     linkable = sigs.filter("n_shingles > 0 and doc_id is not null")
-    one = linkable.groupBy("doc_id").agg(F.min(F.struct(*sig)).alias("s")).select("doc_id", "s.*")
-    classes = one.groupBy(*sig).agg(F.min("doc_id").alias("rep"))
-    members = stage.keep("members", one.join(classes, sig).select("doc_id", "rep", *sig))
+    members, twice = _classes(stage, linkable.select("doc_id", *sig).distinct(), sig)
 
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, min(1 << 20, -(-size // RANGE_BYTES)))
@@ -390,20 +352,19 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, orders: i
     counts = (named.mapInArrow(_send_short(n, ranges), _SHORT_SQL).groupBy("range")
               .applyInArrow(_shared_counts(ranges), "part int, tokens binary, sizes binary")
               .groupBy("part").applyInArrow(_add_up, "token long, shared long"))
-    reps = (members.filter("doc_id = rep").select("doc_id", *sig)
-            .mapInArrow(_tokens, "doc_id long, n_shingles long, sig_a long, sig_b long, token long"))
+    reps = (members.filter("doc_id = rep").select("doc_id", *sig, "node")
+            .mapInArrow(_tokens, "doc_id long, n_shingles long, sig_a long, sig_b long, node long, token long"))
     left = stage.keep("left", reps.join(counts, "token")
-                      .filter(F.col("n_shingles") - F.col("shared") < cut).select("doc_id", *sig))
+                      .filter(F.col("n_shingles") - F.col("shared") < cut).select("doc_id", *sig, "node"))
     stage.release()
     keys = left.agg(F.sum("n_shingles")).first()[0] or 0
-    # texts that pass by chance only add to frequencies, and find no row of `left` afterwards
-    table = spark.sparkContext.broadcast(_filter(left))
-    passing, send = _passing(n, table), _send(n, max(1, -(-keys // RANGE_KEYS)))
-    answered = (named.mapInArrow(lambda batches: send(passing(batches)), _BLOCK_SQL)
+    # another text of a doc_id that is left only adds to frequencies, and finds no row of `left` afterwards
+    passing = named.join(left.select("doc_id").distinct(), "doc_id", "left_semi")
+    answered = (passing.mapInArrow(_send(n, max(1, -(-keys // RANGE_KEYS))), _BLOCK_SQL)
                 .groupBy("range").applyInArrow(_shared_keys, "doc_id long, sig_a long, keys binary, dfs binary")
                 .groupBy("doc_id", "sig_a").agg(F.collect_list(F.struct("keys", "dfs")).alias("parts")))
-    of = left.select("doc_id", "sig_a", F.col("n_shingles").alias("n"))
-    sets = stage.keep("sets", answered.join(of, ["doc_id", "sig_a"]).select("doc_id", "n", "parts")
+    of = left.select("doc_id", "sig_a", F.col("n_shingles").alias("n"), "node")
+    sets = stage.keep("sets", answered.join(of, ["doc_id", "sig_a"]).select(F.col("node").alias("doc_id"), "n", "parts")
                       .mapInArrow(_prefixes(percent, orders),
                                   "doc_id long, n long, keys binary, prefixes array<binary>"))
     stage.release()
@@ -431,7 +392,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, orders: i
                 .applyInArrow(_compare_blocks(percent), "a long, b long"))
         return stage.keep("rest", _links(rest.select("a", "b").distinct(), sets, percent).unionByName(long))
 
-    links, comp, before = None, None, float("inf")
+    links, comp, before = twice, None, float("inf")
+    if twice is not None:
+        comp = shared.components(stage, "comp-twice", twice)
     for r in range(ROUNDS + 1):
         known = _labelled(posts, comp)
         if r:
@@ -459,12 +422,40 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, orders: i
                  .select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct())
         links = _more(links, stage.keep(f"hub{r}", _links(pairs, sets, percent)))
         comp = shared.components(stage, f"comp{r}", links)
-    of = (members.select("doc_id", "rep").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
-          .select("doc_id", F.coalesce("comp", "rep").alias("comp")))
+    of = (members.select("doc_id", "node").join(comp.withColumnRenamed("id", "node"), "node", "left")
+          .groupBy("doc_id").agg(F.min(F.coalesce("comp", "node")).alias("comp")))
     return (sigs.join(of, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id")))
 
 
+def _classes(stage: shared.Stage, texts: DataFrame, sig: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """The texts (doc_id and signature) with their class's smallest doc_id ``rep`` and its number ``node``;
+    links between the classes of one doc_id, None if each has one.
+
+    A class's rows are dealt to ``SALTS`` parts; only the parts' smallest ids meet.
+    """
+    salted = texts.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
+    parts = salted.groupBy(*sig, "salt").agg(F.min("doc_id").alias("low"))
+    reps = parts.groupBy(*sig).agg(F.min("low").alias("rep"))
+    members = stage.keep("members", salted.join(parts.drop("low").join(reps, sig), [*sig, "salt"])
+                         .select("doc_id", "rep", *sig))
+    own = F.col("doc_id") == F.col("rep")
+    several = members.filter(own).groupBy("rep").agg(F.min(F.struct(*sig)).alias("first"), F.count("*").alias("n"))
+    several = stage.keep("several", several.filter("n > 1").select("rep", "first"))
+    shares = members.groupBy("doc_id").agg(F.min(F.struct(*sig)).alias("s"), F.max(F.struct(*sig)).alias("t")).filter(
+        "s <> t")
+    if not shares.limit(1).count():
+        return members.withColumn("node", F.col("rep")), None
+    top = members.agg(F.max("doc_id")).first()[0]
+    others = stage.keep("others", members.filter(own).join(several, "rep").filter(F.struct(*sig) != F.col("first"))
+                        .select(*sig, (F.lit(top) + 1 + F.monotonically_increasing_id()).alias("node")))
+    numbered = stage.keep("nodes", members.join(others, sig, "left").select(
+        "doc_id", "rep", *sig, F.coalesce("node", "rep").alias("node")))
+    hubs = numbered.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
+    links = numbered.join(hubs.select("doc_id", "a"), "doc_id").filter("a < node").select("a", F.col("node").alias("b"))
+    return numbered, stage.keep("twice", links.distinct())
+
+
 def _more(links: DataFrame | None, found: DataFrame) -> DataFrame:
     return found if links is None else links.unionByName(found)
 

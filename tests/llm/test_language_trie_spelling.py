@@ -330,3 +330,31 @@ def test_memory_of_many_short_lines():
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, check=True).stdout
     assert float(out) < 300
+
+
+# ---------------------------------------------------------------- n-gram Jaccard join
+def test_every_text_of_a_repeated_id_is_compared(spark):
+    from heatgrid.llm import ngram_jaccard_join as nj
+    rnd = random.Random(3)
+    base = [" ".join(rnd.choice("abcdefghij") + str(rnd.randrange(30)) for _ in range(60)) for _ in range(9)]
+    near = lambda t: t + " more"
+    rows = [(1, base[0]), (1, base[1]), (1, base[2]), (2, near(base[1])), (3, near(base[2])), (4, base[2]),
+            (5, base[3]), (5, base[4]), (6, base[4]), (7, base[5]), (7, base[6]), (8, near(base[6])), (9, base[7]),
+            (10, base[8]), (10, base[8]), (5, base[0] + " x y"), (11, base[7] + " a b c"), (None, base[0]), (12, None),
+            (12, base[3])]
+    sets = [(i, set(zip(*(w[k:] for k in range(5))))) for i, t in rows for w in [(t or "").split()]]
+    up = {i: i for i, _ in rows if i is not None}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+    for i, a in sets:
+        for j, b in sets:
+            if i is not None and j is not None and i != j and a and b and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = sorted((root(i), root(j)))
+                up[y] = x
+    got = nj.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.component_id) for r in got if r.doc_id is not None} == {(i, root(i)) for i in up}
+    assert sorted((r.doc_id, r.n_shingles) for r in got if r.doc_id) == sorted((i, len(s)) for i, s in sets if i)
