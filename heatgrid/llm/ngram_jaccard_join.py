@@ -359,7 +359,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, orders: i
     stage.release()
     keys = left.agg(F.sum("n_shingles")).first()[0] or 0
     # another text of a doc_id that is left only adds to frequencies, and finds no row of `left` afterwards
-    passing = named.join(left.select("doc_id").distinct(), "doc_id", "left_semi")
+    # by a merge at every size, so the texts' shuffle grows as the input does; a hot doc_id is split by AQE
+    passing = named.join(left.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
     answered = (passing.mapInArrow(_send(n, max(1, -(-keys // RANGE_KEYS))), _BLOCK_SQL)
                 .groupBy("range").applyInArrow(_shared_keys, "doc_id long, sig_a long, keys binary, dfs binary")
                 .groupBy("doc_id", "sig_a").agg(F.collect_list(F.struct("keys", "dfs")).alias("parts")))
