@@ -1,7 +1,8 @@
 """Spark session defaults and shared-storage helpers.
 
-Every operator in the package is ``DataFrame(s) + params -> DataFrame`` and
-never triggers an action; the session settings here decide how the plans run.
+Most operators are lazy; those that write stages (refreshes, snapshots, numbered
+tables, the numbered operators) run jobs when they are called. The session
+settings here decide how the plans run.
 """
 
 from __future__ import annotations
