@@ -3,14 +3,16 @@
 Equal texts are an atomic group. The groups are ordered by their smallest
 doc_id; a shard is a run of them. The smallest feasible capacity is found by
 binary search, checked greedily: fill a shard until the next group would
-overflow it. Then the groups are cut there.
+overflow it. Greedy cuts leave the slack to the last shards, so the groups are
+then cut as near to even shares as that capacity allows.
 
 The search needs the groups' starts in order, and there are as many as distinct
 texts. The driver holds about ``UNITS`` of them at a time: with more groups it
 gets the first and the last start of each of so many stretches of bytes, which
 bound the smallest feasible capacity and each shard's start from both sides. It
 then gets the starts between these bounds, in as many shorter stretches, until
-both sides meet. So the cuts are those of single groups for any number of them.
+both sides meet, and looks up those next to the even shares. So the cuts are
+those of single groups for any number of them.
 """
 
 from __future__ import annotations
@@ -115,6 +117,39 @@ def search(fetch: Callable, runs: list[tuple[int, int, int]], low: int, high: in
         runs = [*fetch(windows, inside <= UNITS), runs[-1]]
 
 
+def earliest(fetch: Callable, runs: list[tuple[int, int, int]], capacity: int, shards: int) -> list[int]:
+    """Per shard the first start from which it and those after it hold the rest: greedy from the end."""
+    total = runs[-1][0]
+
+    def turned(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        return [(total - b, total - a, n) for a, b, n in reversed(found)]
+
+    def fetch_turned(windows: list, single: bool) -> list[tuple[int, int, int]]:
+        found = turned(fetch([(total - b, total - a) for a, b in reversed(windows)], single))
+        return [(0, 0, 0), *found] if windows[0][0] == 0 else found
+
+    back = search(fetch_turned, [*turned(runs), (total, total, 0)], capacity, capacity, shards)
+    return [total - at for at in reversed(back)]
+
+
+def level(around: Callable, early: list[int], capacity: int, shards: int, total: int) -> list[int]:
+    """The shards' starts, and the end: each as near as may be to an even share of what is left.
+
+    ``around`` gives the last start up to a place and the first one after it. No shard exceeds ``capacity``,
+    and none but those after the last group is empty.
+    """
+    found = [0]
+    for k in range(1, shards):
+        last = found[-1]
+        if last < total:
+            goal = last + (total - last) // (shards - k + 1)
+            low, high = around(goal)
+            late = low == last or high - goal < goal - low and high - last <= capacity
+            last = max(high if late else low, early[k])
+        found.append(last)
+    return [*found, total]
+
+
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
     task, total = TaskContext.get().partitionId(), 0
@@ -164,10 +199,45 @@ def shard(docs: DataFrame, shards: int = 40, overhead: int = 16) -> DataFrame:
                  .groupBy("run").agg(F.min("at"), F.max("at"), F.count("*")))
         return sorted(tuple(r)[1:] for r in found.collect())
 
+    def near(runs: list) -> list[tuple[int, int, int]]:
+        """The runs, with those around the even shares in shorter ones."""
+        firsts, reach = [r[0] for r in runs], len(runs) // (8 * shards)
+        at = [bisect_right(firsts, total * k // shards) - 1 for k in range(1, shards)]
+        picked = sorted({i for k in at for i in range(max(0, k - reach), min(len(runs) - 1, k + reach + 1))
+                         if runs[i][2] > 2})
+        if not picked:
+            return runs
+        spans, inner = [], set(picked)
+        for i in picked:
+            if spans and spans[-1][1] == i - 1:
+                spans[-1][1] = i
+            else:
+                spans.append([i, i])
+        found = fetch([(runs[a][0], runs[b][1]) for a, b in spans], sum(runs[i][2] for i in picked) <= UNITS)
+        return sorted(found + [r for i, r in enumerate(runs) if i not in inner])
+
+    def lookup(runs: list) -> Callable:
+        firsts = [r[0] for r in runs]
+
+        def around(place: int) -> tuple[int, int]:
+            k = bisect_right(firsts, place) - 1
+            first, last, n = runs[k]
+            if place >= last:
+                return last, firsts[k + 1]
+            if n == 2:
+                return first, last
+            inside = placed.filter(F.col("at").between(first, last))
+            return tuple(inside.agg(F.max(F.when(F.col("at") <= place, F.col("at"))),
+                                    F.min(F.when(F.col("at") > place, F.col("at")))).first())
+        return around
+
     cuts = []
     if total:
         runs = [*fetch([(0, total)], count <= UNITS), (total, total, 0)]
-        cuts = [at for at in search(fetch, runs, max(largest, -(-total // shards)), total, shards) if at < total]
+        greedy = search(fetch, runs, max(largest, -(-total // shards)), total, shards)
+        capacity = max(b - a for a, b in zip(greedy, greedy[1:]))
+        early = earliest(fetch, runs, capacity, shards)
+        cuts = [at for at in level(lookup(near(runs)), early, capacity, shards, total) if at < total]
     elif count:
         cuts = [0]
     of = F.lit(-1)

@@ -466,6 +466,29 @@ def test_search_in_stretches_equals_single_groups(monkeypatch):
     assert most_asked <= 3 * 2 * 8       # two stretches at least in each of the bounds' windows
 
 
+def test_level_cuts_keep_the_capacity_and_are_no_emptier_than_greedy_ones():
+    rnd = random.Random(12)
+    for _ in range(400):
+        sizes = [rnd.choice([1, 2, 3, rnd.randint(1, 30), rnd.choice([1, 400])]) for _ in range(rnd.randint(1, 120))]
+        k, total = rnd.randint(1, 12), sum(sizes)
+        at = [sum(sizes[:i]) for i in range(len(sizes) + 1)]
+        runs = [*((a, a, 1) for a in at[:-1]), (total, total, 0)]
+
+        def fetch(windows, single):
+            return [(x, x, 1) for x in at[:-1] if any(a <= x <= b for a, b in windows)]
+
+        greedy = ms.search(fetch, runs, max(max(sizes), -(-total // k)), total, k)
+        capacity = max(b - a for a, b in zip(greedy, greedy[1:]))
+        early = ms.earliest(fetch, runs, capacity, k)
+        for j in range(k):      # brute force: the first start whose rest fits into k - j shards
+            fits = lambda x: ms.greedy_cuts([e - x for e in at if e > x], capacity, k - j) is not None
+            assert early[j] == min(x for x in at if fits(x))
+        cuts = ms.level(lambda x: (max(a for a in at if a <= x), min(a for a in at if a > x)), early, capacity, k, total)
+        filled = [b - a for a, b in zip(cuts, cuts[1:])]
+        assert len(filled) == k and max(filled) == capacity and min(filled) >= 0 and set(cuts) <= set(at)
+        assert min(filled) >= min(b - a for a, b in zip(greedy, greedy[1:])) or max(sizes) > total / k / 8
+
+
 def test_shards_of_many_groups_are_those_of_single_groups(spark, monkeypatch):
     docs = sf_docs(spark).select("doc_id", "text")
     whole = sorted(tuple(r)[:5] for r in ms.shard(docs, 5).drop("slot").collect())
