@@ -21,8 +21,11 @@ frequent word loads one task, and a cell needs the counts of its own words only:
    the deleted tenth's counts over (bucket, log estimates);
 3. the driver runs EM on the summed histogram, whose size is bounded by its
    grid and not by the data;
-4. each cell scores its bigrams; its sums per document, packed by ranges of ids,
-   are added up.
+4. each cell scores its bigrams; its sums per document, packed by ranges of
+   hashes, are added up.
+
+A document goes by its id where that is its own. Of rows that repeat an id, each
+different text has a ``copy`` number beside it, and equal ones share their sums.
 """
 
 from __future__ import annotations
@@ -42,15 +45,17 @@ CELL_BYTES = 20 << 20       # text whose bigrams meet in one cell
 CHUNK_BYTES = 3 << 20       # text whose bigrams go into one message
 STEPS = 8                   # histogram steps per unit of the natural logarithm
 EM_ROUNDS = 60
+REPEAT = 1 << 16            # equal rows given out by one task at a time
 NO_ID = -(1 << 63)
 START, END = U(1), U(2)     # a text's start, as a context, and its end, as a token
 
-_SQL = ("cell int, kind int, k1 binary, k2 binary, a binary, b binary, c binary, d binary, "
+_SQL = ("cell int, kind int, k1 binary, k2 binary, a binary, b binary, c binary, d binary, e binary, "
         "n_train long, n_fit long, v_train long, v_fit long")
-_NAMES = ["cell", "kind", "k1", "k2", "a", "b", "c", "d", "n_train", "n_fit", "v_train", "v_fit"]
-_TYPES = [pa.int32(), pa.int32(), *[pa.binary()] * 6, *[pa.int64()] * 4]
+_NAMES = ["cell", "kind", "k1", "k2", "a", "b", "c", "d", "e", "n_train", "n_fit", "v_train", "v_fit"]
+_TYPES = [pa.int32(), pa.int32(), *[pa.binary()] * 7, *[pa.int64()] * 4]
 _SCHEMA = pa.schema(list(zip(_NAMES, _TYPES)))
 CONTEXTS, TOKENS, BIGRAMS, TOTALS = range(4)
+_DIGEST = "unhex(md5(encode(coalesce(text, ''), 'UTF-8')))"
 
 
 def _batch(rows: list[dict], schema: pa.Schema = _SCHEMA) -> pa.RecordBatch:
@@ -146,11 +151,30 @@ def _unpack_ids(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps, dtype=U).view(np.int64), folds
 
 
+def _pack_copies(copies: np.ndarray) -> bytes | None:
+    return pack_ints(copies) if copies.any() else None
+
+
+def _unpack_copies(raw: bytes | None, n: int) -> np.ndarray:
+    return np.zeros(n, U) if raw is None else unpack_ints(raw)
+
+
+def _distinct(ids: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (id, copy) in order, and the place of each among them."""
+    order = np.lexsort((copies, ids))
+    new = np.ones(len(ids), bool)
+    new[1:] = (np.diff(ids[order]) != 0) | (np.diff(copies[order]) != 0)
+    at = np.empty(len(ids), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return ids[order][new], copies[order][new], at
+
+
 def _send_bigrams(side: int):
     """(cell; words as context, words as token, per context its entries, per entry token, text and times)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, folds = batch.column(0).to_numpy(), _folds(batch)
+            copies = batch.column(3).to_numpy().astype(U)
             for before, after, doc in _sequences(batch, CHUNK_BYTES):
                 base, n_docs = int(doc[0]), int(doc[-1] - doc[0]) + 1
                 keys, at = np.unique(np.concatenate([before, after]), return_inverse=True)
@@ -176,12 +200,13 @@ def _send_bigrams(side: int):
                     yield _batch([{"cell": int(c), "kind": BIGRAMS, "k1": pack_sorted(keys[contexts]),
                                    "k2": pack_sorted(keys[tokens]), "a": pack_ints(entries),
                                    "b": pack_ints(np.concatenate([token, text])), "c": pack_ints(times[i]),
-                                   "d": _pack_ids(ids[base + docs], folds[base + docs])}])
+                                   "d": _pack_ids(ids[base + docs], folds[base + docs]),
+                                   "e": _pack_copies(copies[base + docs])}])
     return run
 
 
 _CELL = pa.schema([("cell", pa.int32()), ("kinds", pa.binary()), ("uses", pa.binary()), ("docs", pa.binary()),
-                   ("doc", pa.binary()), ("times", pa.binary()), ("grid", pa.binary()), ("grid_sums", pa.binary())])
+                   ("copies", pa.binary()), ("doc", pa.binary()), ("times", pa.binary()), ("grid", pa.binary()), ("grid_sums", pa.binary())])
 
 
 def _bucket(c: np.ndarray) -> np.ndarray:
@@ -199,9 +224,9 @@ def _fill_cell(n_fit: int):
             keys = _joined(part, "k1", unpack_sorted)
             order = np.argsort(keys, kind="stable")
             counts[k] = (keys[order], *(_joined(part, x)[order].astype(np.int64) for x in "ab"))
-        ids, folds, cols = [], [], {"code": [], "doc": [], "times": []}
-        for k1, k2, a, b, c, d in zip(*(table.filter(pa.array(kind == BIGRAMS)).column(x).to_pylist()
-                                        for x in ("k1", "k2", "a", "b", "c", "d"))):
+        ids, folds, copies, cols = [], [], [], {"code": [], "doc": [], "times": []}
+        for k1, k2, a, b, c, d, e in zip(*(table.filter(pa.array(kind == BIGRAMS)).column(x).to_pylist()
+                                           for x in ("k1", "k2", "a", "b", "c", "d", "e"))):
             times, pair = unpack_ints(c), unpack_ints(b).astype(np.int64)
             u = np.repeat(np.searchsorted(counts[CONTEXTS][0], unpack_sorted(k1)), unpack_ints(a).astype(np.int64))
             w = np.searchsorted(counts[TOKENS][0], unpack_sorted(k2))[pair[:len(times)]]
@@ -211,9 +236,10 @@ def _fill_cell(n_fit: int):
             own, fold = _unpack_ids(d)
             ids.append(own)
             folds.append(fold)
+            copies.append(_unpack_copies(e, len(own)))
         if not ids:
             return pa.Table.from_batches([], _CELL)
-        code, doc, times, ids, fold = (np.concatenate(x) for x in (*cols.values(), ids, folds))
+        code, doc, times, ids, fold, copies = (np.concatenate(x) for x in (*cols.values(), ids, folds, copies))
         order = np.argsort(code, kind="stable")
         code, doc, times = code[order], doc[order], times[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
@@ -226,7 +252,7 @@ def _fill_cell(n_fit: int):
         uses = np.diff(np.append(first, len(code)))
         return pa.Table.from_pylist([{
             "cell": table.column("cell")[0].as_py(), "kinds": pack_ints(kinds.ravel()),
-            "uses": pack_ints(uses), "docs": _pack_ids(ids, fold),
+            "uses": pack_ints(uses), "docs": _pack_ids(ids, fold), "copies": _pack_copies(copies),
             "doc": pack_ints(doc), "times": pack_ints(times),
             "grid": grid.astype("<i8").tobytes(), "grid_sums": sums.astype("<f8").tobytes()}], schema=_CELL)
     return run
@@ -275,7 +301,7 @@ def _score(weights: dict, n_train: int, v_train: int, ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for kinds, uses, docs, doc, times in zip(*(c.to_pylist() for c in batch.columns)):
+            for kinds, uses, docs, copies, doc, times in zip(*(c.to_pylist() for c in batch.columns)):
                 uses, times, doc = (unpack_ints(x).astype(np.int64) for x in (uses, times, doc))
                 both, u, w = unpack_ints(kinds).astype(np.int64).reshape(3, -1)
                 weight = table[_bucket(u)].T
@@ -284,32 +310,51 @@ def _score(weights: dict, n_train: int, v_train: int, ranges: int):
                 lost = np.where(u > 0, 0, weight[0])     # an unseen context's share goes to the words
                 p = np.log10(p + lost * w / max(1, n_train))
                 base = np.log10((w + 0.1) / (n_train + 0.1 * (v_train + 1)))
-                ids, at = np.unique(_unpack_ids(docs)[0], return_inverse=True)
+                ids = _unpack_ids(docs)[0]
+                ids, copies, at = _distinct(ids, _unpack_copies(copies, len(ids)))
                 doc = at[doc]
                 total = lambda x: np.bincount(doc, times * np.repeat(x, uses), minlength=len(ids))
-                cols = [total(x) for x in (np.ones(len(uses)), w > 0, base, p)]
-                used = np.flatnonzero(cols[0])
-                part = words.mix(ids[used].view(U)) % U(ranges)
+                n, known, base, p = (total(x) for x in (np.ones(len(uses)), w > 0, base, p))
+                used = np.flatnonzero(n)
+                part = words.mix(ids[used].view(U) ^ words.mix(copies[used])) % U(ranges)
                 order = used[np.argsort(part, kind="stable")]
                 edges = np.searchsorted(np.sort(part), np.arange(ranges + 1, dtype=U))
-                sums = lambda i: np.concatenate([ids[i].view(np.float64), *(c[i] for c in cols)])
-                yield pa.RecordBatch.from_pylist([
-                    {"range": int(r), "sums": sums(i).tobytes()} for r in np.flatnonzero(np.diff(edges)) for i in [order[edges[r]:edges[r + 1]]]],
-                    schema=pa.schema([("range", pa.int32()), ("sums", pa.binary())]))
+                rows = []
+                for r in np.flatnonzero(np.diff(edges)):
+                    i = order[edges[r]:edges[r + 1]]
+                    rows.append({"range": int(r), "ids": pack_sorted(ids[i].view(U)), "copies": _pack_copies(copies[i]),
+                                 "counts": pack_ints(np.concatenate([n[i], known[i]])),
+                                 "sums": np.concatenate([base[i], p[i]]).tobytes()})
+                yield _batch(rows, _SUMS)
     return run
 
 
+_SUMS = pa.schema([("range", pa.int32()), ("ids", pa.binary()), ("copies", pa.binary()), ("counts", pa.binary()),
+                   ("sums", pa.binary())])
+
+
 def _add_up(table: pa.Table) -> pa.Table:
-    parts = [np.frombuffer(x, "<f8").reshape(5, -1) for x in table.column("sums").to_pylist()]
-    cols = np.concatenate(parts, 1)
-    ids, at = np.unique(cols[0].view(np.int64), return_inverse=True)
-    n, known, base, score = (np.bincount(at, c, minlength=len(ids)) for c in cols[1:])
-    return pa.table({"id": ids, "n_tokens": n.astype(np.int64), "n_known": known.astype(np.int64),
-                     "base_score": base, "score": score})
+    ids = [unpack_sorted(x).view(np.int64) for x in table.column("ids").to_pylist()]
+    copies = [_unpack_copies(x, len(i)) for x, i in zip(table.column("copies").to_pylist(), ids)]
+    counts = np.concatenate([unpack_ints(x).reshape(2, -1) for x in table.column("counts").to_pylist()], 1)
+    sums = np.concatenate([np.frombuffer(x, "<f8").reshape(2, -1) for x in table.column("sums").to_pylist()], 1)
+    ids, copies, at = _distinct(np.concatenate(ids), np.concatenate(copies))
+    n, known, base, score = (np.bincount(at, c, minlength=len(ids)) for c in (*counts, *sums))
+    return pa.table({"id": ids, "copy": copies.astype(np.int64), "n_tokens": n.astype(np.int64),
+                     "n_known": known.astype(np.int64), "base_score": base, "score": score})
+
+
+def _copies(stage: shared.Stage, docs: DataFrame) -> DataFrame:
+    """(id, digest, copy, times) of each different text of the ids that several rows have; copies from 1."""
+    keys = stage.keep("keys", docs.groupBy("id", F.expr(_DIGEST).alias("digest")).agg(F.count("*").alias("times")))
+    many = keys.groupBy("id").agg(F.sum("times").alias("rows")).filter("rows > 1").select("id")
+    found = stage.keep("copies", keys.join(many, "id").withColumn("copy", F.monotonically_increasing_id() + 1))
+    stage.drop("keys")
+    return found
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
-    """One row per doc_id: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    """One row per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Documents whose crc32(doc_id as text) mod 10 is 0 are held out; 1 is the
     deleted tenth, on which the weights are learned; all but 0 are training.
@@ -317,9 +362,9 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     A-Z as a-z), then one end per text. ``score`` is the model's log10
     probability of the text; ``base_score`` that of add-0.1 unigrams.
 
-    A null or empty text is its end alone. Rows that repeat a doc_id are one
-    document, whose sums add up; rows without doc_id likewise, as one held-out
-    row with a null id. No rows, no result rows. Other columns are ignored.
+    A null or empty text is its end alone. Rows that repeat a doc_id are
+    documents of their own; so are rows without doc_id, which are held out. No
+    rows, no result rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     stage = shared.Stage(spark, "lm")
@@ -331,23 +376,37 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     counts = stage.keep("counts", docs.mapInArrow(_word_counts(side), _SQL).groupBy("cell")
                         .applyInArrow(_deal_counts(side), _SQL), "zstd")
     stage.release()
+    copies = _copies(stage, docs)
+    named = (docs.withColumn("digest", F.expr(_DIGEST)).join(copies.select("id", "digest", "copy"), ["id", "digest"], "left")
+             .select("id", "text", "fold", F.coalesce("copy", F.lit(0)).cast("long").alias("copy")))
     n_train, n_fit, v_train, v_fit = (x or 0 for x in counts.filter(f"kind = {TOTALS}").agg(
         *(F.sum(x) for x in _NAMES[-4:])).first())
     cells = stage.keep("cells", counts.filter(f"kind <> {TOTALS}")
-                       .unionByName(docs.mapInArrow(_send_bigrams(side), _SQL)).groupBy("cell")
+                       .unionByName(named.mapInArrow(_send_bigrams(side), _SQL)).groupBy("cell")
                        .applyInArrow(_fill_cell(n_fit), "cell int, kinds binary, uses binary, docs binary, "
-                                     "doc binary, times binary, grid binary, grid_sums binary"), "zstd")
+                                     "copies binary, doc binary, times binary, grid binary, grid_sums binary"), "zstd")
     stage.release()
     stage.drop("counts")
     grid = (cells.select("grid", "grid_sums").mapInArrow(_cells_of, "code long, n double, x double, y double")
             .groupBy("code").agg(F.sum("n"), F.sum("x"), F.sum("y")).collect())
     weights = fit_weights([tuple(r) for r in sorted(grid)], v_fit)
-    sums = (cells.select("kinds", "uses", "docs", "doc", "times")
-            .mapInArrow(_score(weights, n_train, v_train, 4 * side), "range int, sums binary")
-            .groupBy("range").applyInArrow(_add_up, "id long, n_tokens long, n_known long, base_score double, "
-                                                    "score double"))
+    sums = stage.keep("sums", cells.select("kinds", "uses", "docs", "copies", "doc", "times")
+                      .mapInArrow(_score(weights, n_train, v_train, 4 * side),
+                                  "range int, ids binary, copies binary, counts binary, sums binary")
+                      .groupBy("range").applyInArrow(_add_up, "id long, copy long, n_tokens long, n_known long, "
+                                                              "base_score double, score double"))
+    stage.drop("cells")
+    # the sums of equal rows are theirs together; a text of many rows is dealt to tasks before it is repeated
+    shared_by = (sums.filter("copy > 0").join(copies.select("id", "copy", "times"), ["id", "copy"])
+                 .select("id", *(F.expr(f"{c} div times").alias(c) for c in ("n_tokens", "n_known")),
+                         *(F.expr(f"{c} / times").alias(c) for c in ("base_score", "score")), "times")
+                 .withColumn("block", F.explode(F.expr(f"sequence(0, (times - 1) div {REPEAT})")))
+                 .repartition("id", "block", "score")
+                 .withColumn("row", F.explode(F.expr(f"sequence(1, least({REPEAT}, times - block * {REPEAT}))")))
+                 .drop("times", "block", "row"))
+    rows = sums.filter("copy = 0").drop("copy").unionByName(shared_by)
     doc_id = F.when(F.col("id") != NO_ID, F.col("id"))
-    return sums.select(doc_id.alias("doc_id"),
+    return rows.select(doc_id.alias("doc_id"),
                        (F.coalesce(F.crc32(doc_id.cast("string")) % 10, F.lit(0)) == 0).alias("held_out"),
                        "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"),
                        "base_score", "score")

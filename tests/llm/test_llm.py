@@ -209,6 +209,27 @@ def test_language_model_equals_direct_counts(spark):
         assert r.score == pytest.approx(score, rel=2e-3)      # the histogram's steps
 
 
+def test_language_model_of_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(di, "CELL_BYTES", 1 << 16)
+    monkeypatch.setattr(di, "REPEAT", 3)
+    base = [(r.doc_id, r.text) for r in sf_docs(spark).collect()]
+    rows = [*base, *[base[0]] * 9, (base[1][0], "another text " + base[2][1]), (None, base[3][1]), (None, base[3][1])]
+    got = di.lm_scores(table(spark, rows)).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    fold = lambda i: 0 if i is None else zlib.crc32(str(i).encode()) % 10
+    uni = Counter(w for i, t in rows if fold(i) for w in [*tokens(t), "</s>"])
+    n = sum(uni.values())
+    want = Counter()
+    for i, t in rows:
+        seq = [*tokens(t), "</s>"]
+        total = sum(math.log10((uni[w] + 0.1) / (n + 0.1 * (len(uni) + 1))) for w in seq)
+        want[i, len(seq), sum(uni[w] > 0 for w in seq), round(total, 6)] += 1
+    assert Counter((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6)) for r in got) == want
+    assert {r.train_tokens for r in got} == {n}
+    same = {r.score for r in got if r.doc_id == base[0][0]}
+    assert len(same) == 1 and len({round(r.score, 9) for r in got if r.doc_id == base[1][0]}) == 2
+
+
 def test_language_model_probabilities_sum_to_one():
     grid = [((3 << 40) | (4 << 20) | 9, 5.0, -2.0, -5.0), ((3 << 40) | 9, 2.0, 0.0, -2.0)]
     weights = di.fit_weights(grid, 100)
@@ -217,9 +238,11 @@ def test_language_model_probabilities_sum_to_one():
 
 
 def test_language_model_edges(spark):
-    got = {r.doc_id: r for r in di.lm_scores(table(spark, EDGE)).collect()}
-    assert got.keys() == {i for i, _ in EDGE}
-    assert got[2].n_tokens == 1 and got[3].n_tokens == 1 and got[1].n_tokens == 16 and got[None].n_tokens == 9
+    rows = di.lm_scores(table(spark, EDGE)).collect()
+    got = {r.doc_id: r for r in rows}
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in EDGE)
+    assert got[2].n_tokens == 1 and got[3].n_tokens == 1 and got[1].n_tokens == 8
+    assert sorted(r.n_tokens for r in rows if r.doc_id is None) == [1, 8] and all(r.held_out for r in rows if r.doc_id is None)
     assert di.lm_scores(table(spark, [])).count() == 0
     assert all(math.isfinite(r.score) for r in di.lm_scores(table(spark, [(1, None)])).collect())
 
