@@ -203,11 +203,10 @@ def shard(docs: DataFrame, shards: int = 40, overhead: int = 16) -> DataFrame:
         """The runs, with those around the even shares in shorter ones."""
         firsts, reach = [r[0] for r in runs], len(runs) // (8 * shards)
         at = [bisect_right(firsts, total * k // shards) - 1 for k in range(1, shards)]
-        picked = sorted({i for k in at for i in range(max(0, k - reach), min(len(runs) - 1, k + reach + 1))
-                         if runs[i][2] > 2})
-        if not picked:
+        picked = sorted({i for k in at for i in range(max(0, k - reach), min(len(runs) - 1, k + reach + 1))})
+        if all(runs[i][2] <= 2 for i in picked):
             return runs
-        spans, inner = [], set(picked)
+        spans, inner = [], set(picked)      # a window at most for each share
         for i in picked:
             if spans and spans[-1][1] == i - 1:
                 spans[-1][1] = i
