@@ -11,6 +11,10 @@ Cutting may start at any old cut: the pattern does not look back, and a
 pre-token's match looks at most ``AHEAD`` characters beyond its end, so cuts
 that far before the edit are not moved by it, and after a cut on the same
 remaining text all further cuts are the same.
+
+Trees can be kept: ``build_trees`` gives a table with each text's tree, and
+``apply_edits`` the same table after a batch of edits, in which only what the
+edits touch is cut and encoded. Writing that table is the caller's.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from heatgrid.llm.words import pack_ints, unpack_ints
+
 LEAF = 64
 AHEAD = 3
 KEPT = 500_000              # pre-tokens whose number of tokens a worker keeps
@@ -68,10 +74,28 @@ class Tree:
     """The pre-tokens of one text, in leaves of a segment tree with sums of characters and tokens."""
 
     def __init__(self, counter: Counter, text: str):
-        self.counter, self.text, self.encoded = counter, text, 0
         pieces = counter.cut.findall(text)
-        tokens, chars = counter.tokens(pieces), list(map(len, pieces))
-        self.leaves = [(chars[i:i + LEAF], tokens[i:i + LEAF]) for i in range(0, len(pieces), LEAF)] or [([], [])]
+        self._hold(counter, text, list(map(len, pieces)), counter.tokens(pieces))
+
+    @classmethod
+    def load(cls, counter: Counter, text: str, raw: bytes | None) -> "Tree":
+        """The tree that ``pack`` gave, without cutting or encoding; a new one if it isn't this text's length."""
+        chars, tokens = unpack_ints(raw).reshape(2, -1).tolist() if raw else ([], [])
+        if raw is None or sum(chars) != len(text):
+            return cls(counter, text)
+        tree = cls.__new__(cls)
+        tree._hold(counter, text, chars, tokens)
+        return tree
+
+    def pack(self) -> bytes:
+        return pack_ints(np.array([[n for leaf in self.leaves for n in leaf[k]] for k in (0, 1)], np.uint64).ravel())
+
+    def _hold(self, counter: Counter, text: str, chars: list[int], tokens: list[int]) -> None:
+        self.counter, self.text, self.encoded = counter, text, 0
+        self._build([(chars[i:i + LEAF], tokens[i:i + LEAF]) for i in range(0, len(chars), LEAF)])
+
+    def _build(self, leaves: list[tuple[list[int], list[int]]]) -> None:
+        self.leaves = leaves or [([], [])]
         self.first = 1 << (len(self.leaves) - 1).bit_length()
         self.sums = [(0, 0)] * (2 * self.first)
         for i, (c, t) in enumerate(self.leaves):
@@ -126,6 +150,10 @@ class Tree:
         chars = list(map(len, pieces))
         before, after = self.leaves[leaf], self.leaves[end_leaf]
         fresh = tuple(b[:place] + new + a[end_place:] for b, new, a in zip(before, (chars, tokens), after))
+        if len(fresh[0]) > 2 * LEAF:        # grown by more than a leaf: cut it and leave out the empty ones
+            parts = [tuple(x[i:i + LEAF] for x in fresh) for i in range(0, len(fresh[0]), LEAF)]
+            self._build([x for x in (*self.leaves[:leaf], *parts, *self.leaves[end_leaf + 1:]) if x[0]])
+            return
         for i in range(leaf, end_leaf + 1):
             self.leaves[i] = fresh if i == leaf else ([], [])
             self.sums[self.first + i] = tuple(map(sum, self.leaves[i]))
@@ -148,15 +176,17 @@ class Tree:
 _NEW = "n_tokens long, edits_applied long, edited_tokens long, edited_chars long, encoded_chars long"
 
 
-def _count(path: str, pattern: str, text_at: int, edits_at: int, keep_text: bool):
+def _count(path: str, pattern: str, text_at: int, edits_at: int, tree_at: int | None, keep_text: bool,
+           keep_tree: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter.of(path, pattern)
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                rows, texts = [], []
-                for text, edits in zip(part.column(text_at).to_pylist(), part.column(edits_at).to_pylist()):
-                    tree = Tree(counter, text or "")
+                rows, texts, trees = [], [], []
+                kept = [None] * part.num_rows if tree_at is None else part.column(tree_at).to_pylist()
+                for text, edits, raw in zip(part.column(text_at).to_pylist(), part.column(edits_at).to_pylist(), kept):
+                    tree = Tree.load(counter, text or "", raw)
                     before, done = tree.tokens, 0
                     edits = [e for e in edits or [] if e and e["start"] is not None]
                     for e in sorted(edits, key=lambda e: (e["seq"] is None, e["seq"] or 0, e["start"],
@@ -165,12 +195,16 @@ def _count(path: str, pattern: str, text_at: int, edits_at: int, keep_text: bool
                         done += 1
                     rows.append((before, done, tree.tokens, len(tree.text), tree.encoded))
                     texts.append(tree.text)
-                gone = [n for k, n in enumerate(part.schema.names) if k in (text_at, edits_at)]
+                    if keep_tree:
+                        trees.append(tree.pack())
+                gone = [n for k, n in enumerate(part.schema.names) if k in (text_at, edits_at, tree_at)]
                 others = part.drop_columns(gone)
                 cols = [pa.array(np.array(c, np.int64)) for c in zip(*rows)]
                 names = [f.split()[0] for f in _NEW.split(", ")]
                 if keep_text:
                     cols, names = [*cols, pa.array(texts, pa.string())], [*names, "edited_text"]
+                if keep_tree:
+                    cols, names = [*cols, pa.array(trees, pa.binary())], [*names, "edited_tree"]
                 yield pa.RecordBatch.from_arrays([*others.columns, *cols], names=[*others.schema.names, *names])
     return run
 
@@ -186,7 +220,8 @@ def with_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
     return docs.drop("edits").join(of, "doc_id", "left")
 
 
-def count_edited(docs: DataFrame, ranks: str, pattern: str, keep_text: bool = False) -> DataFrame:
+def count_edited(docs: DataFrame, ranks: str, pattern: str, keep_text: bool = False, tree: str | None = None,
+                 keep_tree: bool = False) -> DataFrame:
     """``docs`` without text and edits, with n_tokens, edits_applied, edited_tokens, edited_chars, encoded_chars.
 
     ``docs``: text, edits (array of (seq, start, length, replacement)) and any
@@ -196,10 +231,38 @@ def count_edited(docs: DataFrame, ranks: str, pattern: str, keep_text: bool = Fa
     are held to the text; a null length is 0, a null replacement empty, and an
     edit without start is left out. ``n_tokens``: before the edits;
     ``encoded_chars``: characters cut and encoded anew by the edits.
-    ``edited_text`` on demand. A null text is empty. Every row gives one row.
+    ``edited_text`` and ``edited_tree`` on demand. A null text is empty. Every
+    row gives one row. ``tree`` names a column with the trees kept of the texts,
+    which is dropped; a row where it is null, or of another text length, gets a new one.
     """
-    new = T._parse_datatype_string(_NEW + (", edited_text string" if keep_text else ""))
+    new = T._parse_datatype_string(_NEW + (", edited_text string" if keep_text else "")
+                                   + (", edited_tree binary" if keep_tree else ""))
     docs = docs.drop(*new.names).withColumn("edits", F.col("edits").cast(EDIT))
     names = docs.columns
-    return docs.mapInArrow(_count(ranks, pattern, names.index("text"), names.index("edits"), keep_text),
-                           T.StructType([*docs.drop("text", "edits").schema.fields, *new.fields]))
+    tree_at = None if tree is None else names.index(tree)
+    gone = ["text", "edits", *([] if tree is None else [tree])]
+    return docs.mapInArrow(_count(ranks, pattern, names.index("text"), names.index("edits"), tree_at, keep_text, keep_tree),
+                           T.StructType([*docs.drop(*gone).schema.fields, *new.fields]))
+
+
+def _as_trees(counted: DataFrame) -> DataFrame:
+    return (counted.drop("n_tokens", "edits_applied", "edited_chars").withColumnsRenamed(
+        {"edited_tokens": "n_tokens", "edited_text": "text", "edited_tree": "tree"}))
+
+
+def build_trees(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
+    """``docs`` with each text's tree and n_tokens, as a table to keep; columns of these names are replaced.
+
+    ``encoded_chars`` is 0 here: it counts what edits encode anew. A null text becomes empty.
+    """
+    bare = docs.drop("tree", "n_tokens", "edits").withColumn("edits", F.lit(None).cast(EDIT))
+    return _as_trees(count_edited(bare, ranks, pattern, keep_text=True, keep_tree=True))
+
+
+def apply_edits(trees: DataFrame, edits: DataFrame, ranks: str, pattern: str) -> DataFrame:
+    """The table of ``build_trees`` after a batch of edits (doc_id, seq, start, length, replacement).
+
+    Texts, trees and n_tokens are those after the edits; ``encoded_chars``:
+    what this batch cut and encoded. Texts without edits keep their trees.
+    """
+    return _as_trees(count_edited(with_edits(trees, edits), ranks, pattern, keep_text=True, tree="tree", keep_tree=True))

@@ -536,6 +536,45 @@ def test_edited_counts_equal_a_new_encoding(spark):
             assert tree.sums[1][0] == len(tree.text)
 
 
+def test_kept_trees_take_further_edits_without_encoding_the_rest(spark, scratch):
+    ranks, end = queries.tokenizer("byte_bpe_50k.tiktoken"), "doc_id long, seq long, start long, length long, replacement string"
+    counter = et.Counter.of(ranks, P.PATTERN)
+    count = lambda t: sum(counter.tokens(counter.cut.findall(t)))
+    texts = {r.doc_id: r.text for r in sf_docs(spark).limit(40).collect()} | {-1: "", -2: None, -3: LONG}
+    kept = et.build_trees(table(spark, list(texts.items())).select("doc_id", "text"), ranks, P.PATTERN)
+    rnd = random.Random(4)
+    for batch in range(2):
+        kept.write.parquet(f"{scratch}/{batch}")
+        kept = spark.read.parquet(f"{scratch}/{batch}")
+        edits, want = [], {}
+        for i, t in texts.items():
+            t = t or ""
+            if rnd.random() < 0.3 and i != -3:
+                want[i] = t
+                continue
+            at, new = rnd.randint(0, len(t)), rnd.choice(["", "x", "two words ", "a b " * 200])
+            edits.append((i, 1, at, 5, new))
+            want[i] = t[:at] + new + t[at + 5:]
+        kept, texts = et.apply_edits(kept, spark.createDataFrame(edits, end), ranks, P.PATTERN), want
+        got = {r.doc_id: r for r in kept.collect()}
+        touched = {e[0]: len(e[4]) for e in edits}
+        assert {i: r.text for i, r in got.items()} == want
+        for i, r in got.items():
+            assert r.n_tokens == count(want[i])
+            assert r.encoded_chars <= touched[i] + 300 if i in touched else r.encoded_chars == 0
+
+
+def test_loaded_tree_encodes_nothing_and_leaves_are_split():
+    counter = et.Counter.of(queries.tokenizer("byte_bpe_50k.tiktoken"), P.PATTERN)
+    tree = et.Tree(counter, "some words here " * 500)
+    again = et.Tree.load(None, tree.text, tree.pack())      # no counter: nothing can be encoded
+    assert (again.tokens, again.leaves) == (tree.tokens, tree.leaves)
+    for _ in range(300):
+        tree.edit(100, 0, "more of it ")
+    assert max(len(c) for c, _ in tree.leaves) <= 2 * et.LEAF
+    assert tree.tokens == sum(counter.tokens(counter.cut.findall(tree.text)))
+
+
 def test_edit_edges(spark):
     edits = spark.createDataFrame(
         [(1, 2, 0, 1, "Q"), (1, 1, 2, None, "zz"), (5, 1, None, 1, "x"), (7, 1, 10 ** 9, 5, " tail"), (9, None, 1, 2, None),
