@@ -2,11 +2,14 @@
 
 A hash function turns a unit vector by a pseudo-random rotation (three rounds
 of random signs and a fast Hadamard transform) and names the closest of the
-2 * d signed axes. ``FUNCTIONS`` of them make a table's cell. A vector lies in
-its home cell and in the ``PROBES`` next cells (nearest axes by lost distance)
-of each of ``TABLES`` tables; two vectors with a label in common are a
-candidate pair where one's home cell is a cell of the other. Every candidate's
-cosine is computed in double precision, so no false link is made.
+2 * d signed axes. Some of them make a table's cell: as many as leave
+``OCCUPANCY`` of a label's vectors a cell if these lay evenly, so cells do not
+grow with the rows. A vector lies in its home cell and in the ``PROBES`` next
+cells (nearest axes by lost distance) of each table; two vectors with a label
+in common are a candidate pair where one's home cell is a cell of the other.
+There are as many tables as miss at most ``MISS`` of the pairs right at the
+threshold, by the rate at which random ones meet. Every candidate's cosine is
+computed in double precision, so no false link is made.
 
 Equal vectors are one class from the start. A cell with many members is cut
 into blocks, and each pair of blocks is a group of its own, so no cell's size
@@ -26,10 +29,14 @@ from pyspark.sql import functions as F
 
 from heatgrid.llm import shared
 
-TABLES, FUNCTIONS, PROBES = 6, 2, 3
+PROBES = 3
+OCCUPANCY = 4               # vectors of a label per cell, were they spread evenly
+MISS = 1e-4                 # share of the pairs at the threshold that meet in no cell
+NARROWEST = 16              # narrower vectors are padded: they have few rotations
 BLOCK = 1024                # members of a cell per block
 SEED = 20_240_229
 _PAIRS = 100_000
+_SLICE = 1 << 21            # numbers turned at once
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -44,7 +51,7 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 
 def rotations(x: np.ndarray, count: int, seed: int) -> Iterator[np.ndarray]:
     """``count`` pseudo-random rotations of the rows, padded with zeros to a power of two."""
-    wide = 1 << max(1, (x.shape[1] - 1).bit_length())
+    wide = max(NARROWEST, 1 << (x.shape[1] - 1).bit_length())
     x = np.pad(x, ((0, 0), (0, wide - x.shape[1])))
     random = np.random.default_rng(seed)
     for _ in range(count):
@@ -67,11 +74,29 @@ def cells(x: np.ndarray, tables: int, functions: int, probes: int, seed: int) ->
             loss = (np.abs(near[:, :1]) - np.abs(near)) ** 2
             codes = (codes[:, :, None] * (2 * y.shape[1]) + axis[:, None, :]).reshape(n, -1)
             losses = (losses[:, :, None] + loss[:, None, :]).reshape(n, -1)
-        best = np.argsort(losses, axis=1, kind="stable")[:, :1 + probes]
-        out.append(np.take_along_axis(codes, best, 1))
+            best = np.argsort(losses, axis=1, kind="stable")[:, :1 + probes]    # no other can lead to one of these
+            codes, losses = np.take_along_axis(codes, best, 1), np.take_along_axis(losses, best, 1)
+        out.append(codes)
     return np.stack(out, 1)
 
 
+def tables_needed(wide: int, functions: int, probes: int, threshold: float, seed: int, pairs: int = 256) -> int:
+    """Tables that miss at most ``MISS`` of the pairs at the threshold, from the share of ``pairs``
+    random ones that meet in a table (a quarter of a pair less, so the share is never one)."""
+    random, trial = np.random.default_rng(seed), 4
+    if not 0 < threshold < 1:
+        return trial
+    a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in random.normal(size=(2, pairs, wide)))
+    b -= (a * b).sum(1, keepdims=True) * a
+    b *= np.sqrt(1 - threshold ** 2) / np.linalg.norm(b, axis=1, keepdims=True)
+    at_a, at_b = (cells(x, trial, functions, probes, seed) for x in (a, threshold * a + b))
+    met = (at_b == at_a[:, :, :1]).any(2) | (at_a == at_b[:, :, :1]).any(2)
+    share = (met.sum() - 0.25) / met.size
+    if share <= 0:
+        raise ValueError(f"no pair at {threshold} meets in {functions} functions of width {wide}")
+    return int(np.ceil(np.log(MISS) / np.log1p(-share)))
+
+
 def _matrix(raw: list[bytes]) -> np.ndarray:
     """Rows of float64, as unit vectors; all of one width."""
     x = np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1)
@@ -79,23 +104,36 @@ def _matrix(raw: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _code(tables: int, functions: int, probes: int, seed: int):
+def _rows(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, their vectors as a matrix) of each length."""
+    length = column.value_lengths().to_numpy()
+    start, flat = column.offsets.to_numpy()[:-1], column.values.to_numpy(zero_copy_only=False)
+    for width in np.unique(length).tolist():
+        rows = np.flatnonzero(length == width)
+        step = max(1, _SLICE // max(NARROWEST, width))
+        for k in range(0, len(rows), step):
+            part = rows[k:k + step]
+            yield part, flat[start[part][:, None] + np.arange(width)].astype("<f8")
+
+
+def _code(tables: dict[tuple[int, int], int], probes: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column(1)
-            raw = np.array([np.array(v, "<f8").tobytes() for v in column.to_pylist()], object)
-            for width in sorted({len(r) for r in raw}):
-                rows = np.flatnonzero([len(r) == width for r in raw])
-                code = cells(_matrix(list(raw[rows])), tables, functions, probes, seed)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows)), pa.array(list(raw[rows]), pa.binary()),
-                     pa.array([c.astype("<i8").tobytes() for c in code], pa.binary()),
-                     pa.array(code.reshape(len(rows), -1).tolist(), pa.list_(pa.int64()))],
-                    names=["cid", "vector", "cells", "flat"])
+            wide, functions = (batch.column(k).to_numpy() for k in (2, 3))
+            for rows, vectors in _rows(batch.column(1)):
+                for count in np.unique(functions[rows]).tolist():
+                    of = functions[rows] == count
+                    some, raw = rows[of], [v.tobytes() for v in vectors[of]]
+                    code = cells(_matrix(raw), tables[int(wide[some[0]]), count], count, probes, seed)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(some)), pa.array(raw, pa.binary()),
+                         pa.array([c.astype("<i8").tobytes() for c in code], pa.binary()),
+                         pa.array(code.reshape(len(some), -1).tolist(), pa.list_(pa.int64()))],
+                        names=["cid", "vector", "cells", "flat"])
     return run
 
 
-def _compare(threshold: float, tables: int, probes: int):
+def _compare(threshold: float, probes: int):
     names = ["a", "b", "links"]
 
     def group(g: dict) -> list[tuple]:
@@ -104,7 +142,7 @@ def _compare(threshold: float, tables: int, probes: int):
         side = g["block"][order]
         low, high, table, code = g["low"], g["high"], g["table"], g["code"]
         x = _matrix([g["vector"][i] for i in order])
-        at = np.stack([np.frombuffer(g["cells"][i], "<i8").reshape(tables, 1 + probes) for i in order])
+        at = np.stack([np.frombuffer(g["cells"][i], "<i8").reshape(-1, 1 + probes) for i in order])
         home = at[:, table, 0] == code
         counts, edges = np.zeros(len(cid), np.int64), []
         for a in range(0, len(cid), 256):
@@ -178,8 +216,8 @@ def _first(a: np.ndarray, b: np.ndarray, table: int, code: int) -> np.ndarray:
     return first & (place == code)
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.98, tables: int = TABLES, functions: int = FUNCTIONS,
-                    probes: int = PROBES, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.98, probes: int = PROBES, block: int = BLOCK,
+                    occupancy: float = OCCUPANCY, seed: int = SEED) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding, label): vec_id, n_links, component_id, kept.
 
     Vectors link if their labels are equal and not null and their cosine is
@@ -207,8 +245,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, tables: int = T
     classes = (usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
                .withColumn("cid", F.monotonically_increasing_id()))
     classes = stage.keep("classes", classes)
-    coded = stage.keep("coded", classes.select("cid", "embedding").mapInArrow(
-        _code(tables, functions, probes, seed), "cid long, vector binary, cells binary, flat array<long>"))
+    wide = F.expr(f"greatest({NARROWEST}, shiftleft(1, length(bin(size(embedding) - 1))))").alias("wide")
+    sizes = classes.groupBy("label", wide).agg(F.count("*").alias("n")).select("label", "wide", F.greatest(
+        F.lit(2), F.ceil(F.log(F.col("n") / occupancy) / F.log(F.lit(2) * F.col("wide")))).cast("int")
+        .alias("functions"))
+    sizes = stage.keep("sizes", sizes)
+    # one row for each power of two and number of functions, so a few dozen
+    kinds = [(r.wide, r.functions) for r in sizes.select("wide", "functions").distinct().collect()]
+    tables = {kind: tables_needed(*kind, probes, threshold, seed) for kind in kinds}
+    coded = stage.keep("coded", classes.select("cid", "embedding", "label", wide).join(sizes, ["label", "wide"])
+                       .select("cid", "embedding", "wide", "functions").mapInArrow(
+        _code(tables, probes, seed), "cid long, vector binary, cells binary, flat array<long>"))
     of = coded.join(classes.select("cid", "label", "copies"), "cid")
     spots = (of.select("cid", "label", F.octet_length("vector").alias("width"), F.posexplode("flat").alias("p", "code"))
              .withColumn("table", F.floor(F.col("p") / (1 + probes)).cast("int")))
@@ -223,7 +270,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, tables: int = T
     compared = (members.join(of.select("cid", "vector", "cells", "copies"), "cid")
                 .repartition(*_KEY).sortWithinPartitions(*_KEY)
                 .select(*_KEY, "cid", "copies", "block", "vector", "cells")
-                .mapInArrow(_compare(threshold, tables, probes), "a long, b long, links long"))
+                .mapInArrow(_compare(threshold, probes), "a long, b long, links long"))
     compared = stage.keep("compared", compared)
     linked = compared.filter("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
     name = lambda side: classes.select(F.col("cid").alias(side), F.col("rep").alias(f"{side}_rep"))

@@ -259,14 +259,27 @@ def test_vectors_recall_and_no_false_link(spark):
     label = np.array([r[2] for r in rows])
     true = (x @ x.T >= 0.98) & (label[:, None] == label) & ~np.eye(900, dtype=bool)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    for block in (cp.BLOCK, 7):
-        got = {r.vec_id: r for r in cp.near_duplicates(df, block=block).collect()}
+    # the last one takes five functions for a cell
+    for block, occupancy in ((cp.BLOCK, cp.OCCUPANCY), (7, cp.OCCUPANCY), (cp.BLOCK, 1e-7)):
+        got = {r.vec_id: r for r in cp.near_duplicates(df, block=block, occupancy=occupancy).collect()}
         n = np.array([got[k].n_links for k in range(900)])
         assert (n <= true.sum(1)).all() and n.sum() >= 0.9 * true.sum()
         assert all(got[k].kept == (got[k].component_id == k) for k in got)
         assert all(got[got[k].component_id].component_id == got[k].component_id for k in got)
 
 
+def test_tables_meet_pairs_at_the_threshold():
+    rnd = np.random.default_rng(6)
+    for width, functions in ((16, 8), (64, 2), (64, 5), (128, 4)):
+        a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in rnd.normal(size=(2, 400, width)))
+        b -= (a * b).sum(1, keepdims=True) * a
+        c = 0.98 * a + np.sqrt(1 - 0.98 ** 2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+        tables = cp.tables_needed(width, functions, cp.PROBES, 0.98, cp.SEED)
+        at_a, at_c = (cp.cells(x, tables, functions, cp.PROBES, cp.SEED) for x in (a, c))
+        met = ((at_c == at_a[:, :, :1]).any(2) | (at_a == at_c[:, :, :1]).any(2)).any(1)
+        assert met.mean() >= 0.99
+
+
 def test_vector_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0, 0.5], 1), (2, [2.0, 0.0, 1.0], 1), (3, [1.0, 0.0, 0.5], 2), (4, None, 1), (5, [], 1),
