@@ -254,6 +254,13 @@ def _stage_report(i: Inputs) -> DataFrame:
     return report_from_stage(keys, processed)
 
 
+def _written_report(i: Inputs) -> DataFrame:
+    """The report as its readers get it: written by the refresh's sink (S13), then read."""
+    path = i._path("quality-report")
+    _sinks.write_quality_report(_stage_report(i), path)
+    return _landed.read_quality_report(i.spark, path)
+
+
 @register("quality_report", _q_sql(
     "select * from (" + _DUP_SQL + ") union all select * from (" + _TEMP_SQL
     + ") union all select * from (" + _NEG_SQL + ")"))
@@ -265,8 +272,7 @@ def _quality_report(i: Inputs) -> DataFrame:
     "select level, \"check\", message, file from (select * from (" + _DUP_SQL + ") union all select * from ("
     + _TEMP_SQL + ") union all select * from (" + _NEG_SQL + "))"))
 def _quality_view(i: Inputs) -> DataFrame:
-    return quality.quality_view(
-        _stage_report(i))
+    return quality.quality_view(_written_report(i))
 
 
 @register("quality_summary", _q_sql(
@@ -274,8 +280,7 @@ def _quality_view(i: Inputs) -> DataFrame:
     + ") union all select * from (" + _TEMP_SQL + ") union all select * from (" + _NEG_SQL
     + ")) group by all"))
 def _quality_summary(i: Inputs) -> DataFrame:
-    return quality.quality_summary(
-        _stage_report(i))
+    return quality.quality_summary(_written_report(i))
 
 
 @register("q_missing_values", with_ctes("""
