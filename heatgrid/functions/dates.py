@@ -14,11 +14,14 @@ def to_day(df: DataFrame, col: str) -> Column:
     """Calendar date of ``col``, time of day dropped.
 
     Text is parsed leniently (unparsable -> NULL, never an ANSI error);
-    timestamps and dates are cast.
+    timestamps and dates are cast. Rows of a landing by spans carry the day of
+    their text in ``_day``.
     """
     dtype = df.schema[col].dataType
     c = F.col(col)
     if isinstance(dtype, T.StringType):
+        if "_day" in df.columns:
+            return F.col("_day")
         return F.try_to_timestamp(c).cast("date")
     return c.cast("date")
 
@@ -30,6 +33,14 @@ def bad_day(df: DataFrame, col: str) -> Column:
     return F.col(col).isNotNull() & to_day(df, col).isNull()
 
 
+def span_of(day: Column, grain: str) -> Column:
+    """The month or year of a day as text; years beyond four digits as ``date_format`` writes them."""
+    year = F.lpad(F.year(day).cast("string"), 4, "0")
+    text, pattern = (year, "yyyy") if grain == "year" else (
+        F.concat(year, F.lit("-"), F.lpad(F.month(day).cast("string"), 2, "0")), "yyyy-MM")
+    return F.when(F.year(day).between(1, 9999), text).otherwise(F.date_format(day, pattern))
+
+
 @dataclass(frozen=True)
 class RunMode:
     """How a refresh picks its date range.

@@ -25,11 +25,12 @@ RAW_ENERGY = T.StructType([
     T.StructField("_corrupt", T.StringType()),
 ])
 
-# The landing by spans (months or years): Parquet under slug= and span= folders. ``seq`` is the landing order, ``landing`` the
-# logical file (``<source>_<slug>_<from>_to_<to>.json``) that a row came with.
+# The landing by spans (months or years): Parquet under slug= and span= folders. ``pos`` is the landing order, ``day``
+# the day of the row's text, null where it does not parse, ``landing`` the logical file (``<source>_<slug>_<from>_to_<to>.json``)
+# that a row came with. Landings of older versions have ``seq`` in place of ``pos`` and no ``day``.
 def _spans(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in (
-        *fields, ("seq", T.LongType()), ("landing", T.StringType()), ("slug", T.StringType()),
+        *fields, ("day", T.DateType()), ("pos", T.DecimalType(38, 0)), ("seq", T.LongType()), ("landing", T.StringType()), ("slug", T.StringType()),
         ("span", T.StringType()))])
 
 

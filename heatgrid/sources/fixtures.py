@@ -51,6 +51,7 @@ def city_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Bit widths of the packed landing order (see ``landing_order``).
 _ORDER_BITS, _LINE_BITS, _PART_BITS, _SUPP_BITS, _QTY_BITS = 44, 3, 35, 30, 13
+_HIGH_PART_BITS = 16        # bits of the partkey in the upper of two longs
 
 
 def landing_order():
@@ -63,18 +64,17 @@ def landing_order():
     ``decimal(38,0)`` (3 + 35 + 30 + 13 bits below an orderkey < 2^44, i.e.
     far past SF 100,000) keeps keep-first exact; a key beyond its bits raises
     an error. Unlike a struct, a decimal ordering keeps ``min_by`` in a hash
-    aggregate (no sort of every task).
+    aggregate (no sort of every task). The bits are put together in two longs
+    that the partkey is cut between, so a row costs one decimal product.
     """
     dec = "decimal(38,0)"
-
-    def shift(x, bits):
-        return x * F.lit(2 ** bits).cast(dec)
-
-    k = F.col("l_orderkey").cast(dec)
-    k = shift(k, _LINE_BITS) + F.col("l_linenumber")
-    k = shift(k, _PART_BITS) + F.col("l_partkey")
-    k = shift(k, _SUPP_BITS) + F.col("l_suppkey")
-    k = shift(k, _QTY_BITS) + F.round(F.col("l_quantity") * 100).cast("long")
+    low_bits = _PART_BITS - _HIGH_PART_BITS
+    part, below = F.col("l_partkey"), low_bits + _SUPP_BITS + _QTY_BITS
+    high = (F.shiftleft(F.col("l_orderkey"), _LINE_BITS + _HIGH_PART_BITS)
+            + F.shiftleft(F.col("l_linenumber").cast("long"), _HIGH_PART_BITS) + F.shiftright(part, low_bits))
+    low = (F.shiftleft(part.bitwiseAND(F.lit((1 << low_bits) - 1)), _SUPP_BITS + _QTY_BITS)
+           + F.shiftleft(F.col("l_suppkey"), _QTY_BITS) + F.round(F.col("l_quantity") * 100).cast("long"))
+    k = high.cast("decimal(19,0)") * F.lit(1 << below).cast("decimal(19,0)") + low
     fits = F.lit(True)
     for key, bits in (("l_orderkey", _ORDER_BITS), ("l_linenumber", _LINE_BITS), ("l_partkey", _PART_BITS),
                       ("l_suppkey", _SUPP_BITS)):

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heatgrid import schemas
+from heatgrid.functions.dates import to_day
 from heatgrid.operators.master import slug_owners
 from heatgrid.sources import manifest, storage
 from heatgrid.sources.local import local_table
@@ -73,8 +74,11 @@ def _read_spans(spark: SparkSession, path: str, source: str, start, end) -> Data
         df = df.filter((span <= F.substring(F.lit(str(end)), F.lit(1), F.length(span))) | undated)
     parts = manifest.name_parts(F.col("landing"))
     meets = manifest.meets(parts["from_day"], parts["to_day"], start, end) | parts["from_day"].isNull()
-    return (df.filter(~undated | meets).withColumnRenamed("landing", "_file").drop("span")
-            .withColumnRenamed("seq", "pos"))
+    text = "date" if source == "noaa" else "period"
+    return df.filter(~undated | meets).select(
+        text, *(f.name for f in schema if f.name not in (text, "day", "pos", "seq", "landing", "slug", "span")),
+        F.coalesce("day", to_day(df, text)).alias("_day"), F.coalesce("pos", F.col("seq").cast("decimal(38,0)")).alias("pos"),
+        F.col("landing").alias("_file"), "slug")
 
 
 def read_landed(spark: SparkSession, path: str, source: str, city_dim: DataFrame, multi_line: bool = False,

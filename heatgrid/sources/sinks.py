@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heatgrid import schemas
-from heatgrid.functions.dates import to_day
+from heatgrid.functions.dates import span_of, to_day
 from heatgrid.functions.text import city_slug
 from heatgrid.operators.master import slug_owners
 from heatgrid.schemas import MASTER_COLUMNS, QUALITY_COLUMNS
@@ -42,30 +42,30 @@ def land_spans(df: DataFrame, root: str, source: str, city_dim: DataFrame | None
     A span is a month or, with ``grain="year"``, a year: runs of many years
     then make fewer, larger folders. Only the spans that ``df`` holds are
     replaced, each as a whole, so one can be landed again and the others stay.
-    ``seq`` keeps the landing order (``pos``) in 64 bits: rows are sorted over
-    ranges of (slug, span, pos), so a large city's span is several tasks' work
-    and each task writes few folders. ``landing`` names the reference's file of
-    the run. Rows whose day is missing or does not parse go to their city's
-    folder without a span.
+    Rows are rebalanced by (slug, span): each task writes few folders, and a
+    large city's span is several tasks' work. They keep the landing order
+    (``pos``), so nothing is sorted by it and the input is read once. ``day``
+    is the day of the row's text, parsed here for good. ``landing`` names the
+    reference's file of the run. Rows whose day is missing or does not parse go
+    to their city's folder without a span.
     """
-    pattern = {"month": "yyyy-MM", "year": "yyyy"}[grain]
     day = "date" if source == "noaa" else "period"
     cast = lambda c, kind: (F.col(c) if c in df.columns else F.lit(None)).cast(kind).alias(c)
     named = F.concat(F.lit(f"{source}_"), F.col("slug"),
                      F.lit(f"_{start}_to_{end}.json" if start is not None and end is not None else ".json"))
     fields = [cast("datatype", "string"), cast("value", "double")] if source == "noaa" else [
         cast("respondent", "string"), cast("value", "string")]
-    out = df.withColumn("slug", city_slug(F.col("city")))
     if city_dim is not None:
-        out = out.join(slug_owners(city_dim), ["slug", "city"], "left_semi")
+        out = df.drop("slug").join(slug_owners(city_dim), "city")
+    else:
+        out = df.withColumn("slug", city_slug(F.col("city")))
     pos = F.col("pos") if "pos" in df.columns else F.monotonically_increasing_id()
-    out = out.select(F.col(day).cast("string").alias(day), *fields, pos.alias("pos"), "slug",
-                     F.date_format(to_day(df, day), pattern).alias("span"))
-    order = ["slug", "span", "pos"]
-    ranged = out.repartitionByRange(*order).sortWithinPartitions(*order)
-    (ranged.withColumns({"seq": F.monotonically_increasing_id(), "landing": named})
-     .select(day, *(f.name for f in (schemas.WEATHER_SPANS if source == "noaa" else schemas.ENERGY_SPANS)
-                    if f.name != day))
+    out = out.select(F.col(day).cast("string").alias(day), *fields, to_day(df, day).alias("day"),
+                     pos.cast("decimal(38,0)").alias("pos"), "slug")
+    out = out.withColumn("span", span_of(F.col("day"), grain)).hint("rebalance", "slug", "span")
+    (out.withColumn("landing", named)
+     .select(*(f.name for f in (schemas.WEATHER_SPANS if source == "noaa" else schemas.ENERGY_SPANS)
+               if f.name != "seq"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slug", "span").parquet(root))
 
 

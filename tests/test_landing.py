@@ -322,3 +322,80 @@ def test_summary_answers_what_the_master_would(spark, scratch):
     assert same(summary.freshness(kept, "2024-12-31"), quality.q_freshness(master, "2024-12-31"))
     parts = [summary.city_summary(master.filter(c)) for c in ("date < '2024-01-02'", "not (date < '2024-01-02') or date is null")]
     assert same(summary.merged(*parts), kept)
+
+
+def _span_rows(spark):
+    rows = [(c, f"{y}-0{m}-0{d}", t, float(d), (1 << 80) + k * 1000 - y)
+            for k, (c, y, m, d, t) in enumerate((c, y, m, d, t) for c in ("New York", "Chicago") for y in (2001, 2002)
+                                                for m in (1, 2) for d in (1, 2, 3) for t in ("TMAX", "TMIN"))]
+    rows += [(c, d, t, v + 50, p - 1) for c, d, t, v, p in rows[::3]] + [("Chicago", "no day", "TMAX", 1.0, 5)]
+    df = spark.createDataFrame([(*r[:4], str(r[4])) for r in rows],
+                               "city string, date string, datatype string, value double, pos string")
+    return rows, df.withColumn("pos", F.col("pos").cast("decimal(38,0)"))
+
+
+def test_spans_are_landed_in_one_pass_and_keep_their_order(spark, scratch):
+    rows, df = _span_rows(spark)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        seen.add(1)
+        return value
+    cd = landed.city_dim_from_entries(spark, CONFIG)
+    root = os.path.join(scratch, "noaa")
+    sinks.land_spans(df.repartition(4).withColumn("value", F.udf(count, "double")("value")), root, "noaa", cd,
+                     "2001-01-01", "2002-12-31", grain="year")
+    assert seen.value == len(rows)                                      # a sample of the ranges read all rows before
+    back = landed.read_weather(spark, root, cd, layout="spans", start="2001-01-01", end="2002-12-31")
+    assert sorted((r.city, r.date, r.datatype, r.value, int(r.pos)) for r in back.collect()) == sorted(rows)
+    first = {}
+    for c, d, t, v, p in sorted(rows, key=lambda r: r[4]):
+        first.setdefault((c, d, t), v)
+    got = {(r.city, str(r.date), r.datatype): r.value for r in clean.weather_dedup(back).collect()}
+    assert got == {(c, "None" if d == "no day" else d, t): v for (c, d, t), v in first.items()}
+    assert [r.city for r in clean.failed_files(clean.weather_keys(back)).collect()] == ["Chicago"]
+
+
+def test_days_of_landed_spans_are_not_parsed_again(spark, scratch):
+    _, df = _span_rows(spark)
+    cd = landed.city_dim_from_entries(spark, CONFIG)
+    root = os.path.join(scratch, "noaa")
+    sinks.land_spans(df, root, "noaa", cd, grain="year")
+    days = {(r.date, r.day) for r in spark.read.parquet(root).select("date", "day").collect()}
+    assert len(days) == 13 and ("no day", None) in days and ("2001-02-03", dt.date(2001, 2, 3)) in days
+    back = landed.read_weather(spark, root, cd, layout="spans", start="2001-02-01", end="2001-12-31")
+    kept = clean.weather_in_range(back, "2001-02-01", "2001-12-31")
+    assert {r.date for r in kept.collect()} == {"2001-02-01", "2001-02-02", "2001-02-03", "no day"}
+
+
+def test_spans_landed_by_older_versions_are_read(spark, scratch):
+    rows = [("2001-01-01", "TMAX", 7.0, 1), ("2001-01-01", "TMAX", 5.0, 0), ("2001-01-02", "TMIN", 1.0, 2)]
+    old = spark.createDataFrame(rows, "date string, datatype string, value double, seq long")
+    root = os.path.join(scratch, "noaa")
+    (old.selectExpr("*", "'noaa_new_york_2001-01-01_to_2001-12-31.json' as landing", "'new_york' as slug", "'2001' as span")
+     .write.partitionBy("slug", "span").parquet(root))
+    cd = landed.city_dim_from_entries(spark, CONFIG)
+    back = landed.read_weather(spark, root, cd, layout="spans", start="2001-01-01", end="2001-12-31")
+    got = clean.weather_daily(back, cd).collect()
+    assert sorted((r.city, str(r.date), r.TMAX_F, r.TMIN_F) for r in got) == [
+        ("New York", "2001-01-01", 41.0, None), ("New York", "2001-01-02", None, 33.8)]
+
+
+def test_span_names_are_those_of_date_format(spark):
+    from heatgrid.functions.dates import span_of
+    days = spark.sql("select explode(array(date'0001-01-01', date'0000-05-05', date'-0007-02-03', date'0476-09-04',"
+                     " date'2024-12-31', date'9999-01-01', date'+12345-10-01', cast(null as date))) as day")
+    for grain, pattern in (("year", "yyyy"), ("month", "yyyy-MM")):
+        rows = days.select(span_of(F.col("day"), grain), F.date_format("day", pattern)).collect()
+        assert len(rows) == 8 and all(a == b for a, b in rows)
+
+
+def test_landing_order_packs_all_keys(spark):
+    from heatgrid.sources.fixtures import landing_order
+    most = (2 ** 44 - 1, 2 ** 35 - 1, 2 ** 30 - 1, 7, 81.91)
+    keys = [(0, 0, 0, 0, 0.0), most, (1, 2 ** 19 - 1, 5, 3, 50.0), (1, 2 ** 19, 5, 3, 50.0), (2 ** 43 + 9, 2 ** 34 + 1, 2 ** 29 + 3, 1, 0.29),
+            (7, 8, 9, 2, -3.5), (7, 8, 9, 2, 123456.78)]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double"
+    got = spark.createDataFrame(keys, names).select(*(n.split()[0] for n in names.split(", ")), landing_order().alias("pos")).collect()
+    for o, p, s, n, q, pos in got:
+        assert int(pos) == (((o * 8 + n) * 2 ** 35 + p) * 2 ** 30 + s) * 2 ** 13 + round(q * 100)
